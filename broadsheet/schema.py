@@ -24,6 +24,9 @@ def _article_struct(date_type: T.DataType) -> T.StructType:
 
 ARTICLE = _article_struct(T.LongType())
 
-# As found in a JSON line. The date is read as text first, so that "1325376562000"
-# and 1325376562000 give the same number.
-ARTICLE_LINE = _article_struct(T.StringType())
+# As found in a JSON line. The date is read as text first, so that "1325376562000" and
+# 1325376562000 give the same number. A line that does not fit goes into the last field.
+MALFORMED = "_malformed"
+ARTICLE_LINE = T.StructType(
+    _article_struct(T.StringType()).fields + [T.StructField(MALFORMED, T.StringType())]
+)

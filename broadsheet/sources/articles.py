@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.schema import ARTICLE, ARTICLE_FIELDS, ARTICLE_LINE
+from broadsheet.schema import ARTICLE, ARTICLE_FIELDS, ARTICLE_LINE, MALFORMED
 from broadsheet.sources.lines import scan_lines
 
 MODES = ("failfast", "permissive", "drop")
@@ -31,15 +31,15 @@ def check_article_lines(lines: DataFrame) -> DataFrame:
     parsed = lines.select(
         "value",
         F.from_json(
-            "value", ARTICLE_LINE.add("_malformed", "string"),
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"},
+            "value", ARTICLE_LINE,
+            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED},
         ).alias("article"),
         _unknown_fields(F.col("value")).alias("unknown"),
     )
     date = F.col("article.published_date")
     malformed = (
         F.col("article").isNull()
-        | F.col("article._malformed").isNotNull()
+        | F.col(f"article.{MALFORMED}").isNotNull()
         | F.col("unknown").isNull()
         | (date.isNotNull() & date.try_cast("decimal(38,6)").isNull())
     )
