@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.cluster import new_folder
+from broadsheet.cluster import checkpointed, is_small, new_folder
 from broadsheet.functions import distance, tokens
 from broadsheet.operators import articles as article_ops
 from broadsheet.operators import indexing, ranking, stats, terms
@@ -43,18 +43,25 @@ def _index_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return articles.select("doc_id", text.alias("index_text"))
 
 
+_kept: list[ranking_job.Corpus] = []
+
+
 def _corpus(spark: SparkSession, sf_dir: str) -> ranking_job.Corpus:
-    return ranking_job.prepare(
+    """The statistics a query starts from. Its rows are computed after it has returned, so
+    the tables behind it are released when the next query asks for its own."""
+    while _kept:
+        _kept.pop().release()
+    corpus = ranking_job.prepare(
         tables.articles(spark, sf_dir), tables.queries(spark, sf_dir),
         partitions=tables.scan_partitions(spark, sf_dir),
     )
+    _kept.append(corpus)
+    return corpus
 
 
 def _diverse(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus = _corpus(spark, sf_dir)
-    top = ranking.diverse_top_k(corpus.scores(), corpus.tokens, corpus.n_queries)
-    corpus.release()
-    return top
+    return ranking.diverse_top_k(corpus.scores(), corpus.tokens, corpus.n_queries)
 
 
 def _rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +187,7 @@ def title_distance(spark, sf_dir):
     """How far each of a query's ten best titles is from the very best one."""
     corpus = _corpus(spark, sf_dir)
     top = ranking.top_k(corpus.scores()).join(corpus.tokens.select("doc_id", "title"), "doc_id")
-    top = top.persist()
+    top = checkpointed(top)
     best = top.where("rank = 1").select("query_id", F.col("title").alias("best"))
     return top.where("rank > 1").join(best, "query_id").select(
         "query_id", "rank", "doc_id",
@@ -218,7 +225,8 @@ def ranked_articles(spark, sf_dir):
 
 
 def ranking_with_articles(spark, sf_dir):
-    entries = ranking_job.with_articles(_diverse(spark, sf_dir), tables.articles(spark, sf_dir))
+    top = _diverse(spark, sf_dir)
+    entries = ranking_job.with_articles(top, tables.articles(spark, sf_dir), is_small(top))
     return entries.select(
         "query_id", "rank", "doc_id", "article.title", "article.type", "article.source"
     )

@@ -39,9 +39,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has at most ``rows`` rows, reading no more than needed to tell."""
-    return df.limit(rows + 1).count() <= rows
+def is_small(df: DataFrame) -> bool:
+    """Whether ``df`` may be broadcast. It is counted, so it should be a table that is
+    kept: counting it then computes nothing that is not needed anyway."""
+    return df.count() <= BROADCAST_ROWS
 
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:

@@ -14,16 +14,8 @@ MAX_CHARS = 20    # a longer token is dropped
 MAX_DIGITS = 4    # a token with more digits is dropped
 MAX_REPEATS = 3   # a token with more equal characters in a row is dropped
 
-# One scan of the text finds the tokens that keep all limits: whole runs of letters and
-# digits, looking ahead from the start of the run for whatever would drop it. The length
-# is looked at first, so the other two look at 20 characters at most.
-TOKEN = (
-    r"(?<![a-z0-9])"
-    rf"(?![a-z0-9]{{{MAX_CHARS + 1}}})"
-    rf"(?!(?:[a-z]*[0-9]){{{MAX_DIGITS + 1}}})"
-    rf"(?![a-z0-9]*?([a-z0-9])\1{{{MAX_REPEATS}}})"
-    r"[a-z0-9]+"
-)
+RUN = "[a-z0-9]+"
+_DROPPED = rf"([a-z0-9])\1{{{MAX_REPEATS}}}|(?:[0-9][a-z]*){{{MAX_DIGITS + 1}}}"
 
 # The two characters outside ASCII whose lower case holds an ASCII letter. They separate
 # tokens like any other character outside ASCII, so they go before lower-casing.
@@ -34,8 +26,16 @@ def tokenize(text: Column) -> Column:
     """The tokens of a text in order, repeats kept; of a null text, none."""
     for letter in _FALSE_LETTERS:
         text = F.replace(text, F.lit(letter), F.lit(" "))
-    found = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
-    return F.coalesce(found, F.array().cast("array<string>"))
+    runs = F.regexp_extract_all(F.lower(text), F.lit(RUN), F.lit(0))
+    return F.filter(F.coalesce(runs, F.array().cast("array<string>")), _kept)
+
+
+def _kept(token: Column) -> Column:
+    """Whether a run of letters and digits is a token. No rule can drop a run as short as
+    the limit on repeats, and most are, so the pattern is tried on the others only."""
+    return (F.length(token) <= MAX_REPEATS) | (
+        (F.length(token) <= MAX_CHARS) & ~token.rlike(_DROPPED)
+    )
 
 
 def remove_stopwords(tokens: Column, stopwords: Iterable[str] = ENGLISH) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from broadsheet.cluster import checkpointed
+from broadsheet.cluster import broadcast_if, checkpointed, is_small
 
 # monotonically_increasing_id() holds the partition above this bit, the row below it.
 _ROW_BITS = 33
@@ -17,7 +17,7 @@ def number_rows(df: DataFrame, order: list[Column], out: str, within: str | None
 
     The rows are sorted by ranges into many partitions and numbered there; each partition
     then adds the number of rows before it. No value of ``within`` has to fit one task,
-    and what is broadcast is one row per partition and value in it. The sorted rows are
+    and the offsets are one row per partition and value in it. The sorted rows are
     checkpointed, so that both readings of them see the same partitions.
     """
     order = ([F.col(within)] if within else []) + order
@@ -36,8 +36,8 @@ def number_rows(df: DataFrame, order: list[Column], out: str, within: str | None
         Window.unboundedPreceding, -1
     )
     offset = F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first")
-    offsets = sizes.select(*group, offset.alias("_offset"))
-    return rows.join(F.broadcast(offsets), group).select(
+    offsets = checkpointed(sizes.select(*group, offset.alias("_offset")))
+    return rows.join(broadcast_if(offsets, is_small(offsets)), group).select(
         *df.columns, (F.col("_row") + F.col("_offset")).alias(out)
     )
 

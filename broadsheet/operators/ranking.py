@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from broadsheet.cluster import BROADCAST_ROWS, broadcast_if, checkpointed, has_at_most
+from broadsheet.cluster import BROADCAST_ROWS, broadcast_if, checkpointed, is_small
 from broadsheet.functions.distance import too_near
 from broadsheet.operators.indexing import number_rows
 
@@ -159,7 +159,5 @@ def ranked_article_ids(ranking: DataFrame) -> DataFrame:
 def ranked_articles(articles: DataFrame, ranking: DataFrame) -> DataFrame:
     """The articles that any query ranks. The ids are broadcast if they are few enough,
     so that the articles are filtered where they are read."""
-    ids = ranked_article_ids(ranking)
-    return articles.join(
-        broadcast_if(ids, has_at_most(ids, BROADCAST_ROWS)), "doc_id", "left_semi"
-    )
+    ids = checkpointed(ranked_article_ids(ranking))
+    return articles.join(broadcast_if(ids, is_small(ids)), "doc_id", "left_semi")

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from broadsheet.cluster import BROADCAST_ROWS, broadcast_if, has_at_most
+from broadsheet.cluster import broadcast_if, checkpointed, is_small
 from broadsheet.functions.porter import shared_letters, stem
 from broadsheet.functions.stopwords import ENGLISH
 from broadsheet.functions.tokens import remove_stopwords, tokenize
@@ -31,9 +31,8 @@ def text_to_terms(texts: DataFrame, key: str, text: str,
         key,
         F.posexplode(remove_stopwords(tokenize(F.col(text)), stopwords)).alias("pos", "token"),
     )
-    vocabulary = stem_vocabulary(tokens.select("token")).select("token", "stem").persist()
-    small = has_at_most(vocabulary, BROADCAST_ROWS)
-    return tokens.join(broadcast_if(vocabulary, small), "token").select(
+    vocabulary = checkpointed(stem_vocabulary(tokens.select("token")).select("token", "stem"))
+    return tokens.join(broadcast_if(vocabulary, is_small(vocabulary)), "token").select(
         key, "pos", F.col("stem").alias("term")
     )
 
@@ -63,15 +62,16 @@ def query_terms(parsed: DataFrame) -> DataFrame:
     return counts.withColumn("n_terms", F.sum("qn").over(whole_query))
 
 
-def term_starts(terms: DataFrame) -> list[str]:
-    """The leading letters that any token with one of these terms as its stem has.
+def term_starts(terms: DataFrame) -> tuple[int, list[str]]:
+    """How many rows there are, and the leading letters that any token with one of these
+    terms as its stem has.
 
     At most three letters each, so at most 36 + 36^2 + 36^3 values come to the driver,
     however many terms there are.
     """
     start = F.left("term", shared_letters(F.length("term")))
-    rows = terms.select(start.alias("start")).distinct().collect()
-    return sorted(row["start"] for row in rows)
+    row = terms.agg(F.count("*").alias("n"), F.collect_set(start).alias("starts")).first()
+    return row["n"], sorted(row["starts"])
 
 
 def keep_possible_tokens(tokens: DataFrame, starts: list[str]) -> DataFrame:

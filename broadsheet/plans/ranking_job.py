@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.cluster import BROADCAST_ROWS, broadcast_if, has_at_most
+from broadsheet.cluster import BROADCAST_ROWS, broadcast_if, is_small
 from broadsheet.functions.stopwords import ENGLISH
 from broadsheet.operators import ranking, scoring, stats, terms
 from broadsheet.operators.articles import article_tokens
@@ -80,8 +80,8 @@ def prepare(articles: DataFrame, queries: DataFrame, stopwords: Iterable[str] =
         return kept[-1]
 
     query_terms = keep(terms.query_terms(terms.parse_queries(queries, stopwords)))
-    starts = terms.term_starts(query_terms)
-    terms_small = has_at_most(query_terms, BROADCAST_ROWS)
+    n_terms, starts = terms.term_starts(query_terms)
+    terms_small = n_terms <= BROADCAST_ROWS
 
     articles = articles.select("doc_id", "title", "contents")
     if partitions:
@@ -90,26 +90,25 @@ def prepare(articles: DataFrame, queries: DataFrame, stopwords: Iterable[str] =
     tokens = keep(tokens.repartition("doc_id"))
 
     surfaces = keep(terms.surface_forms(tokens, query_terms, terms_small))
-    surfaces_small = has_at_most(surfaces, BROADCAST_ROWS)
     return Corpus(
-        tokens, query_terms, surfaces, terms_small, surfaces_small, queries.count(), kept
+        tokens, query_terms, surfaces, terms_small, is_small(surfaces), queries.count(), kept
     )
 
 
-def with_articles(rank_rows: DataFrame, articles: DataFrame,
+def with_articles(rank_rows: DataFrame, articles: DataFrame, small: bool,
                   duplicates: str = "error") -> DataFrame:
     """``(query_id, rank, doc_id, score, article)``: the full article of each entry.
 
-    The entries are broadcast if they are few enough, so the articles are filtered where
-    they are read. If two articles have the id of an entry, the job fails; with
+    Entries that may be broadcast (``small``) filter the articles where they are read. If two articles have the id of an entry, the job fails; with
     ``duplicates="drop"`` it takes one of them. Either way copies are merged before they
     are shuffled, so it does not matter how many there are.
     """
     if duplicates not in ("error", "drop"):
         raise ValueError(f"duplicates must be error or drop, not {duplicates!r}")
-    entries = broadcast_if(rank_rows, has_at_most(rank_rows, BROADCAST_ROWS))
     article = F.struct(*[F.col(c) for c in articles.columns if c != "doc_id"])
-    found = entries.join(articles.select("doc_id", article.alias("article")), "doc_id")
+    found = broadcast_if(rank_rows, small).join(
+        articles.select("doc_id", article.alias("article")), "doc_id"
+    )
     merged = found.groupBy("query_id", "rank", "doc_id", "score").agg(
         F.count("*").alias("n"), F.first("article").alias("article")
     )
@@ -159,7 +158,8 @@ def rank_documents(articles: DataFrame, queries: DataFrame, k: int = ranking.TOP
     )
     corpus.release()
     queries.unpersist()
-    return document_rankings(queries, with_articles(entries, articles, duplicates))
+    small = corpus.n_queries * k <= BROADCAST_ROWS
+    return document_rankings(queries, with_articles(entries, articles, small, duplicates))
 
 
 def rank_files(spark: SparkSession, query_path: str, article_path: str, out: str,
