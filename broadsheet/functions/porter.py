@@ -150,9 +150,16 @@ def stem(token: Column) -> Column:
     return F.when(whole, token).otherwise(F.regexp_replace(word[0], "^Y", "y"))
 
 
-# A stem starts like its tokens: every rule above takes letters off the end, or changes
-# letters that follow at least this much of the word. So a token with this stem starts
-# with as many letters of it.
-def shared_letters(stem_length: Column) -> Column:
-    """How many leading letters a token has in common with its stem of this length."""
-    return F.least(stem_length, F.when(stem_length <= 3, F.lit(2)).otherwise(F.lit(3)))
+def starts(term: Column) -> Column:
+    """Letters, three at most, one of which every token with this stem starts with.
+
+    The rules take letters off the end of a word or change its last letter, so that a stem
+    of four letters has its first three from the token, and one of three its first two.
+    In one of two letters, a last "i" may have been a "y".
+    """
+    length = F.length(term)
+    either = F.array(term, F.concat(F.left(term, F.lit(1)), F.lit("y")))
+    same = F.when(length <= 3, F.lit(2)).otherwise(F.lit(3))
+    return F.when((length == 2) & term.endswith("i"), either).otherwise(
+        F.array(F.left(term, same))
+    )

@@ -24,6 +24,15 @@ def articles_with_title(articles: DataFrame) -> DataFrame:
     return articles.where(F.col("title").isNotNull() & (F.col("title") != ""))
 
 
+def one_per_id(articles: DataFrame) -> DataFrame:
+    """One article of each ``doc_id``: of several, the least by its other columns, so that
+    the same one is taken whenever the rows are read. Copies are merged before they are
+    shuffled. The shuffle is of whole articles; sources with unique ids do not need it."""
+    rest = [c for c in articles.columns if c != "doc_id"]
+    least = articles.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("article"))
+    return least.select("doc_id", "article.*").select(*articles.columns)
+
+
 def lead_paragraphs(contents: Column) -> Column:
     """The texts of the first five paragraphs; a paragraph without text reads "null"."""
     paragraphs = F.filter(contents, lambda item: item["subtype"].eqNullSafe(PARAGRAPH))

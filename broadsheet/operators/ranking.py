@@ -54,11 +54,17 @@ def top_k(scores: DataFrame, k: int = TOP_K) -> DataFrame:
 
 
 def _chunks(candidates: DataFrame, titles: DataFrame, small: bool) -> DataFrame:
-    """``(query_id, candidates)``: the candidates with titles as an array, best first."""
+    """``(query_id, candidates)``: the candidates with titles as an array, best first.
+
+    Ids should be unique. Should they not be, a candidate still comes once, so an array
+    never is longer than there are candidates.
+    """
     candidate = F.struct("rank", "doc_id", "score", "title")
     return (
         broadcast_if(candidates, small)
         .join(titles.select("doc_id", "title"), "doc_id")
+        .groupBy("query_id", "rank", "doc_id", "score")
+        .agg(F.min("title").alias("title"))
         .groupBy("query_id")
         .agg(F.array_sort(F.collect_list(candidate)).alias("candidates"))
         .withColumn(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadsheet.cluster import broadcast_if, checkpointed, is_small
-from broadsheet.functions.porter import shared_letters, stem
+from broadsheet.functions.porter import starts, stem
 from broadsheet.functions.stopwords import ENGLISH
 from broadsheet.functions.tokens import remove_stopwords, tokenize
 
@@ -63,15 +63,16 @@ def query_terms(parsed: DataFrame) -> DataFrame:
 
 
 def term_starts(terms: DataFrame) -> tuple[int, list[str]]:
-    """How many rows there are, and the leading letters that any token with one of these
-    terms as its stem has.
+    """How many rows there are, and letters that any token with one of these terms as its
+    stem starts with.
 
-    At most three letters each, so at most 36 + 36^2 + 36^3 values come to the driver,
+    Three letters each at most, so at most 36 + 36^2 + 36^3 values come to the driver,
     however many terms there are.
     """
-    start = F.left("term", shared_letters(F.length("term")))
-    row = terms.agg(F.count("*").alias("n"), F.collect_set(start).alias("starts")).first()
-    return row["n"], sorted(row["starts"])
+    row = terms.agg(
+        F.count("*").alias("n"), F.collect_set(starts(F.col("term"))).alias("starts")
+    ).first()
+    return row["n"], sorted({start for group in row["starts"] for start in group})
 
 
 def keep_possible_tokens(tokens: DataFrame, starts: list[str]) -> DataFrame:

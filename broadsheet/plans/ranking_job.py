@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from broadsheet.cluster import BROADCAST_ROWS, broadcast_if, is_small
 from broadsheet.functions.stopwords import ENGLISH
 from broadsheet.operators import ranking, scoring, stats, terms
-from broadsheet.operators.articles import article_tokens
+from broadsheet.operators.articles import article_tokens, one_per_id
 from broadsheet.operators.indexing import spread
 from broadsheet.sinks.rankings import write_rankings
 from broadsheet.sources.articles import read_articles
@@ -95,29 +95,25 @@ def prepare(articles: DataFrame, queries: DataFrame, stopwords: Iterable[str] =
     )
 
 
-def with_articles(rank_rows: DataFrame, articles: DataFrame, small: bool,
-                  duplicates: str = "error") -> DataFrame:
+def with_articles(entries: DataFrame, articles: DataFrame, small: bool) -> DataFrame:
     """``(query_id, rank, doc_id, score, article)``: the full article of each entry.
 
-    Entries that may be broadcast (``small``) filter the articles where they are read. If two articles have the id of an entry, the job fails; with
-    ``duplicates="drop"`` it takes one of them. Either way copies are merged before they
+    Entries that may be broadcast (``small``) filter the articles where they are read. If
+    several articles have the id of an entry, the job fails. They are counted before they
     are shuffled, so it does not matter how many there are.
     """
-    if duplicates not in ("error", "drop"):
-        raise ValueError(f"duplicates must be error or drop, not {duplicates!r}")
     article = F.struct(*[F.col(c) for c in articles.columns if c != "doc_id"])
-    found = broadcast_if(rank_rows, small).join(
+    found = broadcast_if(entries, small).join(
         articles.select("doc_id", article.alias("article")), "doc_id"
     )
     merged = found.groupBy("query_id", "rank", "doc_id", "score").agg(
         F.count("*").alias("n"), F.first("article").alias("article")
     )
-    if duplicates == "error":
-        message = F.concat(F.lit("several articles have the id "), F.col("doc_id").cast("string"))
-        merged = merged.where(
-            F.when(F.col("n") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
-        )
-    return merged.select("query_id", "rank", "doc_id", "score", "article")
+    message = F.concat(F.lit("several articles have the id "), F.col("doc_id").cast("string"))
+    unique = F.when(F.col("n") == 1, F.lit(True)).otherwise(
+        F.raise_error(message).cast("boolean")
+    )
+    return merged.where(unique).select("query_id", "rank", "doc_id", "score", "article")
 
 
 def document_rankings(queries: DataFrame, entries: DataFrame) -> DataFrame:
@@ -148,9 +144,16 @@ def rank_documents(articles: DataFrame, queries: DataFrame, k: int = ranking.TOP
     ``partitions`` deals the articles out evenly over so many partitions before their
     text is read: for a source with fewer splits than cores. By default they stay where
     their source put them, as shuffling the text of a large corpus costs more than it gains.
+
+    Several articles with one id fail the job if a query ranks them; ``duplicates="drop"``
+    takes one article of each id instead.
     """
+    if duplicates not in ("error", "drop"):
+        raise ValueError(f"duplicates must be error or drop, not {duplicates!r}")
     if "doc_id" not in articles.columns:
         articles = articles.withColumn("doc_id", F.col("id"))
+    if duplicates == "drop":
+        articles = one_per_id(articles)
     queries = unique_queries(queries).persist()
     corpus = prepare(articles, queries, stopwords, partitions)
     entries = ranking.diverse_top_k(
@@ -159,7 +162,7 @@ def rank_documents(articles: DataFrame, queries: DataFrame, k: int = ranking.TOP
     corpus.release()
     queries.unpersist()
     small = corpus.n_queries * k <= BROADCAST_ROWS
-    return document_rankings(queries, with_articles(entries, articles, small, duplicates))
+    return document_rankings(queries, with_articles(entries, articles, small))
 
 
 def rank_files(spark: SparkSession, query_path: str, article_path: str, out: str,

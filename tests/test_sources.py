@@ -1,0 +1,84 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from broadsheet.sources.articles import bad_article_lines, parse_articles, read_articles
+from broadsheet.sources.lines import scan_lines
+from broadsheet.sources.queries import read_queries
+
+GOOD = {"id": "a1", "title": "Flood warning", "published_date": 1325376562000,
+        "contents": [{"content": "Rain.", "subtype": "paragraph", "surprise": 1,
+                      "imageHeight": 300}]}
+
+
+def lines(spark, *values):
+    text = [v if isinstance(v, str) else json.dumps(v) for v in values]
+    return spark.createDataFrame([(t,) for t in text], "value string")
+
+
+def test_article_fields(spark):
+    row = parse_articles(lines(spark, GOOD)).first()
+    assert (row.id, row.title, row.published_date) == ("a1", "Flood warning", 1325376562000)
+    assert row.author is None
+    item = row.contents[0]
+    assert (item.content, item.subtype, item.imageHeight) == ("Rain.", "paragraph", "300")
+
+
+@pytest.mark.parametrize("date, expected", [
+    (None, 0), ("1325376562000", 1325376562000), (1.9, 1)])
+def test_published_date(spark, date, expected):
+    assert parse_articles(lines(spark, {"id": "a", "published_date": date})).first()[
+        "published_date"] == expected
+
+
+def test_missing_published_date_is_zero(spark):
+    assert parse_articles(lines(spark, {"id": "a"})).first()["published_date"] == 0
+
+
+BAD = {
+    "not json": "malformed line",
+    "": "malformed line",
+    "[1]": "malformed line",
+    '{"id": "a", ': "malformed line",
+    '{"id": "a", "contents": 7}': "malformed line",
+    '{"id": "a", "published_date": "soon"}': "malformed line",
+    '{"id": "a", "colour": "red"}': "unknown field",
+}
+
+
+@pytest.mark.parametrize("line", BAD)
+def test_bad_lines(spark, line):
+    both = lines(spark, GOOD, line)
+    for mode in ("drop", "permissive"):
+        assert [r.id for r in parse_articles(both, mode).collect()] == ["a1"]
+    bad = bad_article_lines(both).collect()
+    assert [(r.value, r.problem) for r in bad] == [(line, BAD[line])]
+    with pytest.raises(Exception, match=BAD[line]):
+        parse_articles(both).collect()
+
+
+def test_a_bad_line_fails_the_job_whatever_is_read(spark):
+    with pytest.raises(Exception, match="unknown field"):
+        parse_articles(lines(spark, GOOD, '{"id": "a", "colour": "red"}')).count()
+
+
+def test_unknown_mode(spark):
+    with pytest.raises(ValueError):
+        parse_articles(lines(spark, GOOD), "ignore")
+
+
+def test_files(spark, tmp_path):
+    (tmp_path / "articles").mkdir()
+    for name in "ab":
+        (tmp_path / "articles" / f"{name}.json").write_text(json.dumps(GOOD | {"id": name}) + "\n")
+    assert sorted(r.id for r in read_articles(spark, str(tmp_path / "articles")).collect()) == [
+        "a", "b"]
+    assert scan_lines(spark, str(tmp_path / "articles" / "*.json")).count() == 2
+
+
+def test_queries_are_distinct_and_in_file_order(spark, tmp_path):
+    path = tmp_path / "queries"
+    path.write_text("rain\nflood\nrain\n\nsun\n")
+    rows = read_queries(spark, str(path)).orderBy("query_id").collect()
+    assert [r.original_query for r in rows] == ["rain", "flood", "", "sun"]
