@@ -33,14 +33,14 @@ def _article_file(spark: SparkSession, sf_dir: str, extra_fields: bool = False)
     return path
 
 
-def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return article_ops.article_tokens(tables.spread_articles(spark, sf_dir))
+def _index_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = article_ops.index_texts(tables.articles(spark, sf_dir))
+    partitions = tables.scan_partitions(spark, sf_dir)
+    return indexing.spread(texts, partitions) if partitions else texts
 
 
-def _index_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = article_ops.index_text(F.col("title"), F.col("contents"))
-    articles = article_ops.articles_with_title(tables.spread_articles(spark, sf_dir))
-    return articles.select("doc_id", text.alias("index_text"))
+def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return article_ops.article_tokens(_index_texts(spark, sf_dir))
 
 
 _kept: list[ranking_job.Corpus] = []
@@ -146,7 +146,9 @@ def lead_paragraphs(spark, sf_dir):
 
 
 def index_text(spark, sf_dir):
-    return _index_texts(spark, sf_dir)
+    return article_ops.index_texts(tables.articles(spark, sf_dir)).select(
+        "doc_id", "index_text"
+    )
 
 
 def article_stats(spark, sf_dir):

@@ -34,13 +34,19 @@ def one_per_id(articles: DataFrame) -> DataFrame:
 
 
 def lead_paragraphs(contents: Column) -> Column:
-    """The texts of the first five paragraphs; a paragraph without text reads "null"."""
-    paragraphs = F.filter(contents, lambda item: item["subtype"].eqNullSafe(PARAGRAPH))
-    texts = F.transform(
-        F.slice(paragraphs, 1, LEAD_PARAGRAPHS),
-        lambda item: F.coalesce(item["content"], F.lit("null")),
+    """The texts of the first five paragraphs; a paragraph without text reads "null".
+
+    Of the items, only two fields are named, so that a columnar source reads no others.
+    """
+    paragraphs = F.zip_with(
+        contents["content"],
+        contents["subtype"],
+        lambda content, subtype: F.when(
+            subtype.eqNullSafe(PARAGRAPH), F.coalesce(content, F.lit("null"))
+        ),
     )
-    return F.coalesce(texts, F.array().cast("array<string>"))
+    leads = F.slice(F.filter(paragraphs, F.isnotnull), 1, LEAD_PARAGRAPHS)
+    return F.coalesce(leads, F.array().cast("array<string>"))
 
 
 def index_text(title: Column, contents: Column) -> Column:
@@ -48,17 +54,19 @@ def index_text(title: Column, contents: Column) -> Column:
     return F.array_join(F.concat(F.array(title), lead_paragraphs(contents)), " ")
 
 
-def article_tokens(articles: DataFrame, stopwords: Iterable[str] = ENGLISH) -> DataFrame:
-    """``(doc_id, title, length, tokens)`` of the articles that have a title.
+def index_texts(articles: DataFrame) -> DataFrame:
+    """``(doc_id, title, index_text)`` of the articles that have a title."""
+    text = index_text(F.col("title"), F.col("contents"))
+    return articles_with_title(articles).select("doc_id", "title", text.alias("index_text"))
+
+
+def article_tokens(texts: DataFrame, stopwords: Iterable[str] = ENGLISH) -> DataFrame:
+    """``(doc_id, title, length, tokens)`` of index texts.
 
     The tokens are not stemmed. A stemmer drops no token, so their number already is the
     length of the document.
     """
-    tokens = remove_stopwords(
-        tokenize(index_text(F.col("title"), F.col("contents"))), stopwords
-    )
-    return (
-        articles_with_title(articles)
-        .select("doc_id", "title", tokens.alias("tokens"))
-        .select("doc_id", "title", F.size("tokens").alias("length"), "tokens")
+    tokens = remove_stopwords(tokenize(F.col("index_text")), stopwords)
+    return texts.select("doc_id", "title", tokens.alias("tokens")).select(
+        "doc_id", "title", F.size("tokens").alias("length"), "tokens"
     )

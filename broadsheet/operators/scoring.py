@@ -9,15 +9,10 @@ from broadsheet.cluster import broadcast_if
 from broadsheet.functions.dph import dph_score
 
 
-def dph_term_score(tf: DataFrame, corpus_tf: DataFrame, n_docs: Column, avg_length: Column,
-                   small: bool) -> DataFrame:
+def dph_term_score(tf: DataFrame, n_docs: Column, avg_length: Column) -> DataFrame:
     """``(doc_id, length, term, score)`` for each query term of each document."""
-    score = dph_score(
-        F.col("tf"), F.col("corpus_tf"), F.col("length"), avg_length, n_docs
-    )
-    return tf.join(broadcast_if(corpus_tf, small), "term").select(
-        "doc_id", "length", "term", score.alias("score")
-    )
+    score = dph_score(F.col("tf"), F.col("corpus_tf"), F.col("length"), avg_length, n_docs)
+    return tf.select("doc_id", "length", "term", score.alias("score"))
 
 
 def dph_query_score(term_scores: DataFrame, terms: DataFrame, small: bool) -> DataFrame:

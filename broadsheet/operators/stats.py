@@ -23,22 +23,25 @@ def corpus_stats(tokens: DataFrame) -> DataFrame:
 
 
 def term_frequency(tokens: DataFrame, surfaces: DataFrame, small: bool) -> DataFrame:
-    """``(doc_id, length, term, tf)``: how often each document has each query term.
+    """``(doc_id, length, term, corpus_tf, tf)``: how often each document has each query
+    term, next to how often the corpus has it.
 
     Where the tokens are partitioned by ``doc_id`` and the surface forms are broadcast
     (``small``), nothing is shuffled.
     """
     occurrences = tokens.select("doc_id", "length", F.explode("tokens").alias("token"))
     return (
-        occurrences.join(broadcast_if(surfaces.select("token", "term"), small), "token")
-        .groupBy("doc_id", "length", "term")
+        occurrences.join(
+            broadcast_if(surfaces.select("token", "term", "corpus_tf"), small), "token"
+        )
+        .groupBy("doc_id", "length", "term", "corpus_tf")
         .agg(F.count("*").alias("tf"))
     )
 
 
 def corpus_term_frequency(surfaces: DataFrame, terms: DataFrame) -> DataFrame:
     """``(term, corpus_tf)``: occurrences of each query term in the corpus, 0 for none."""
-    counts = surfaces.groupBy("term").agg(F.sum("n").alias("corpus_tf"))
+    counts = surfaces.select("term", "corpus_tf").distinct()
     return (
         terms.select("term")
         .distinct()

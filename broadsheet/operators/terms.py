@@ -92,8 +92,9 @@ def keep_possible_tokens(tokens: DataFrame, starts: list[str]) -> DataFrame:
 
 
 def surface_forms(tokens: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
-    """``(token, term, n)``: the tokens of the corpus whose stem is one of the terms, and
-    how often each occurs. ``small`` says that the terms may be broadcast."""
+    """``(token, term, n, corpus_tf)``: the tokens of the corpus whose stem is one of the
+    terms, how often each occurs, and how often its term does in all its forms. ``small``
+    says that the terms may be broadcast."""
     exploded = tokens.select(F.explode("tokens").alias("token"))
     wanted = terms.select("term").distinct()
     # The terms are distinct, so this is a semi-join. As a semi-join it would be moved
@@ -101,4 +102,5 @@ def surface_forms(tokens: DataFrame, terms: DataFrame, small: bool) -> DataFrame
     # check on the stem, which is why the stem is never null.
     term = F.coalesce("stem", F.lit("")).alias("term")
     vocabulary = stem_vocabulary(exploded).select("token", term, "n")
-    return vocabulary.join(broadcast_if(wanted, small), "term").select("token", "term", "n")
+    forms = vocabulary.join(broadcast_if(wanted, small), "term").select("token", "term", "n")
+    return forms.withColumn("corpus_tf", F.sum("n").over(Window.partitionBy("term")))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from broadsheet.cluster import BROADCAST_ROWS, broadcast_if, is_small
 from broadsheet.functions.stopwords import ENGLISH
 from broadsheet.operators import ranking, scoring, stats, terms
-from broadsheet.operators.articles import article_tokens, one_per_id
+from broadsheet.operators.articles import article_tokens, index_texts, one_per_id
 from broadsheet.operators.indexing import spread
 from broadsheet.sinks.rankings import write_rankings
 from broadsheet.sources.articles import read_articles
@@ -30,7 +30,7 @@ class Corpus:
 
     tokens: DataFrame      # doc_id, title, length, tokens
     terms: DataFrame       # query_id, term, qn, n_terms
-    surfaces: DataFrame    # token, term, n
+    surfaces: DataFrame    # token, term, n, corpus_tf
     terms_small: bool
     surfaces_small: bool
     n_queries: int
@@ -47,10 +47,7 @@ class Corpus:
 
     def term_scores(self) -> DataFrame:
         n_docs, avg_length = self._scalars()
-        return scoring.dph_term_score(
-            self.term_frequency(), self.corpus_term_frequency(), n_docs, avg_length,
-            self.terms_small,
-        )
+        return scoring.dph_term_score(self.term_frequency(), n_docs, avg_length)
 
     def scores(self) -> DataFrame:
         return scoring.dph_query_score(self.term_scores(), self.terms, self.terms_small)
@@ -69,7 +66,7 @@ def prepare(articles: DataFrame, queries: DataFrame, stopwords: Iterable[str] =
             partitions: int | None = None) -> Corpus:
     """Tokenise the articles and match their tokens with the terms of the queries.
 
-    ``partitions`` spreads the articles before the text work; see ``rank_documents``.
+    ``partitions`` spreads the index texts before the work on them; see ``rank_documents``.
     The tables of the result are kept in memory and on disk until ``release``.
     """
     stopwords = list(stopwords)
@@ -83,10 +80,10 @@ def prepare(articles: DataFrame, queries: DataFrame, stopwords: Iterable[str] =
     n_terms, starts = terms.term_starts(query_terms)
     terms_small = n_terms <= BROADCAST_ROWS
 
-    articles = articles.select("doc_id", "title", "contents")
+    texts = index_texts(articles)
     if partitions:
-        articles = spread(articles, partitions)
-    tokens = terms.keep_possible_tokens(article_tokens(articles, stopwords), starts)
+        texts = spread(texts, partitions)
+    tokens = terms.keep_possible_tokens(article_tokens(texts, stopwords), starts)
     tokens = keep(tokens.repartition("doc_id"))
 
     surfaces = keep(terms.surface_forms(tokens, query_terms, terms_small))
@@ -141,8 +138,8 @@ def rank_documents(articles: DataFrame, queries: DataFrame, k: int = ranking.TOP
     none), and any other columns; ``queries`` has ``query_id`` and ``original_query``.
     ``results`` is an array of ``(rank, doc_id, score, article)``.
 
-    ``partitions`` deals the articles out evenly over so many partitions before their
-    text is read: for a source with fewer splits than cores. By default they stay where
+    ``partitions`` deals the index texts out evenly over so many partitions before they
+    are tokenised: for a source with fewer splits than cores. By default they stay where
     their source put them, as shuffling the text of a large corpus costs more than it gains.
 
     Several articles with one id fail the job if a query ranks them; ``duplicates="drop"``

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.operators.indexing import spread
 from broadsheet.schema import CONTENT_FIELDS
 from broadsheet.sources.queries import unique_queries
 
@@ -34,8 +33,8 @@ def articles(spark: SparkSession, sf_dir: str, extra_fields: bool = False) -> Da
     """
     documents = read_table(spark, sf_dir, "documents")
     titled = F.contains("text", F.lit("\n"))
-    lines = F.split("text", "\n")
-    body = F.when(titled, F.slice(lines, F.lit(2), F.size(lines))).otherwise(lines)
+    after_title = F.substring("text", F.instr("text", "\n") + 1, F.length("text"))
+    body = F.split(F.when(titled, after_title).otherwise(F.col("text")), "\n")
 
     def item(line):
         fields = {
@@ -62,12 +61,6 @@ def articles(spark: SparkSession, sf_dir: str, extra_fields: bool = False) -> Da
     )
 
 
-def spread_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The articles over at least as many partitions as there are cores."""
-    n = scan_partitions(spark, sf_dir)
-    return spread(articles(spark, sf_dir), n) if n else articles(spark, sf_dir)
-
-
 def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each benchmark item as a query, its text on one line."""
     return unique_queries(

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from broadsheet.operators.articles import (
-    article_tokens, articles_with_title, index_text, lead_paragraphs)
+    article_tokens, articles_with_title, index_text, index_texts, lead_paragraphs)
 
 SCHEMA = "doc_id long, title string, contents array<struct<content string, subtype string>>"
 
@@ -30,7 +30,7 @@ def test_paragraph_without_text_reads_null(spark):
     df = article(spark, "Rain", [(None, "paragraph"), ("", "paragraph"), ("sun", "paragraph")])
     text = df.select(index_text(F.col("title"), F.col("contents"))).first()[0]
     assert text == "Rain null  sun"
-    assert article_tokens(df).first()["tokens"] == ["rain", "null", "sun"]
+    assert article_tokens(index_texts(df)).first()["tokens"] == ["rain", "null", "sun"]
 
 
 @pytest.mark.parametrize("contents", [None, [], [None]])
@@ -41,6 +41,18 @@ def test_no_paragraphs(spark, contents):
 
 def test_length_counts_what_is_left_and_may_be_zero(spark):
     df = article(spark, "The rain", [("is here today", "paragraph")])
-    row = article_tokens(df).first()
+    row = article_tokens(index_texts(df)).first()
     assert (row.length, row.tokens) == (2, ["rain", "today"])
-    assert article_tokens(article(spark, "The", [])).first()["length"] == 0
+    assert article_tokens(index_texts(article(spark, "The", []))).first()["length"] == 0
+
+
+def test_a_columnar_source_reads_two_fields_of_the_items(spark, tmp_path):
+    from broadsheet.schema import ARTICLE
+    path = str(tmp_path / "articles")
+    spark.createDataFrame([], ARTICLE).withColumn("doc_id", F.col("id")).write.parquet(path)
+    tokens = article_tokens(index_texts(spark.read.parquet(path)))
+    plan = tokens._jdf.queryExecution().executedPlan().toString()
+    schema = plan.split("ReadSchema: ")[1].splitlines()[0]
+    assert "contents:array<struct<content:string,subtype:string>>" in schema
+    assert "author" not in schema
+    assert "IsNotNull(title)" in plan.split("PushedFilters: ")[1].splitlines()[0]
