@@ -14,9 +14,9 @@ from pyspark.sql import SparkSession
 from broadsheet.catalog import QUERIES
 
 HEADLINE = (
-    "document_rankings", "top10_diverse", "top10_plain", "rank_by_score", "dph_query_score",
-    "term_frequency", "corpus_stats", "stem_vocabulary", "text_to_terms", "parse_articles",
-    "article_index",
+    "article_index", "parse_articles", "corpus_stats", "stem_vocabulary", "text_to_terms",
+    "term_frequency", "dph_query_score", "rank_by_score", "top10_plain", "top10_diverse",
+    "document_rankings",
 )
 
 

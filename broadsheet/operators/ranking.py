@@ -20,16 +20,16 @@ MIN_DISTANCE = 0.5
 CHUNK = 200
 
 # Sums of the same scores in another order differ in the last digits, so ranks compare
-# scores to nine places and then ids.
-SCORE_PLACES = 9
+# scores to nine places, as whole numbers of 1e-9, and then ids.
+SCORE_UNITS = 1e9
 
 
-def rank_key() -> Column:
-    return F.round("score", SCORE_PLACES)
+def rank_key(score: Column) -> Column:
+    return F.rint(score * SCORE_UNITS)
 
 
 def _best_first() -> list[Column]:
-    return [rank_key().desc(), F.col("doc_id")]
+    return [rank_key(F.col("score")).desc(), F.col("doc_id")]
 
 
 def rank_by_score(scores: DataFrame) -> DataFrame:
@@ -89,7 +89,7 @@ def _take_from_chunk(chunks: DataFrame, k: int, min_distance: float, chunk: int)
     return chunks.select(
         "query_id",
         F.aggregate("candidates", F.col("taken"), step).alias("taken"),
-        F.round(last["score"], SCORE_PLACES).alias("last_score"),
+        rank_key(last["score"]).alias("last_key"),
         last["doc_id"].alias("last_doc"),
         (F.size("candidates") == chunk).alias("more"),
     )
@@ -98,9 +98,9 @@ def _take_from_chunk(chunks: DataFrame, k: int, min_distance: float, chunk: int)
 def _remaining(scores: DataFrame, titles: DataFrame, state: DataFrame, small: bool,
                min_distance: float) -> DataFrame:
     """The pairs of open queries after their last candidate and not near a taken title."""
-    key = rank_key()
-    after = (key < F.col("last_score")) | (
-        (key == F.col("last_score")) & (F.col("doc_id") > F.col("last_doc"))
+    key = rank_key(F.col("score"))
+    after = (key < F.col("last_key")) | (
+        (key == F.col("last_key")) & (F.col("doc_id") > F.col("last_doc"))
     )
     rejected = F.exists(
         "taken", lambda t: too_near(t["title"], F.col("title"), min_distance)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,12 +47,23 @@ class Corpus:
         return stats.corpus_term_frequency(self.surfaces, self.terms)
 
     def term_scores(self) -> DataFrame:
-        n_docs, avg_length = self._scalars()
-        return scoring.dph_term_score(self.term_frequency(), n_docs, avg_length)
+        return scoring.dph_term_score(self.term_frequency(), *self._scalars)
 
     def scores(self) -> DataFrame:
-        return scoring.dph_query_score(self.term_scores(), self.terms, self.terms_small)
-
+        """``(query_id, doc_id, score)`` of the pairs whose score is not 0.
+
+        A term with more occurrences than there are documents scores 0 everywhere and adds
+        nothing to any sum. Its tokens are left out of the join with the surface forms, so
+        the most frequent terms, which would make most of the rows, make none.
+        """
+        n_docs, avg_length = self._scalars
+        telling = self.surfaces.where(F.col("corpus_tf") <= n_docs)
+        tf = stats.term_frequency(self.tokens, telling, self.surfaces_small)
+        return scoring.dph_query_score(
+            scoring.dph_term_score(tf, n_docs, avg_length), self.terms, self.terms_small
+        )
+
+    @cached_property
     def _scalars(self) -> tuple[Column, Column]:
         row = self.corpus_stats().first()
         average = row["avg_length"] if row["n_docs"] else 0.0
