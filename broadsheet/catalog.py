@@ -61,7 +61,9 @@ def _corpus(spark: SparkSession, sf_dir: str) -> ranking_job.Corpus:
 
 def _diverse(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus = _corpus(spark, sf_dir)
-    return ranking.diverse_top_k(corpus.scores(), corpus.tokens, corpus.n_queries)
+    return ranking.diverse_top_k(
+        corpus.scores(), corpus.tokens, corpus.n_queries, scores_of=corpus.scores
+    )
 
 
 def _rankings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -114,7 +115,8 @@ def _remaining(scores: DataFrame, titles: DataFrame, state: DataFrame, small: bo
 
 
 def diverse_top_k(scores: DataFrame, titles: DataFrame, n_queries: int, k: int = TOP_K,
-                  min_distance: float = MIN_DISTANCE, chunk: int = CHUNK) -> DataFrame:
+                  min_distance: float = MIN_DISTANCE, chunk: int = CHUNK,
+                  scores_of: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``(query_id, rank, doc_id, score)``: per query, best first, each document whose
     title keeps ``min_distance`` from every title taken before it, until there are ``k``.
 
@@ -124,9 +126,10 @@ def diverse_top_k(scores: DataFrame, titles: DataFrame, n_queries: int, k: int =
     thus taken in each round: there are at most ``k`` rounds, also where copies of one
     title fill most of a query. A round holds ``chunk + k`` titles per query.
 
-    ``scores`` is read once per round, after the first only for the queries still open.
-    Titles are looked up for the candidates, not for all pairs. There are at most
-    ``n_queries * chunk`` candidates, which are broadcast if that is few enough.
+    The first round reads ``scores``. Later rounds read ``scores_of(queries)``, the scores
+    of the queries still open, by default rows of ``scores``. Titles are looked up for the
+    candidates, not for all pairs. There are at most ``n_queries * chunk`` candidates,
+    which are broadcast if that is few enough.
     """
     small = n_queries * chunk <= BROADCAST_ROWS
     finished = []
@@ -140,7 +143,8 @@ def diverse_top_k(scores: DataFrame, titles: DataFrame, n_queries: int, k: int =
         still_open = state.where(is_open)
         if still_open.isEmpty():
             break
-        remaining = _remaining(scores, titles, still_open, small, min_distance)
+        open_scores = scores_of(still_open.select("query_id")) if scores_of else scores
+        remaining = _remaining(open_scores, titles, still_open, small, min_distance)
         found = _chunks(top_k(remaining, chunk), titles, small)
         chunks = still_open.select("query_id", "taken").join(found, "query_id", "left")
         chunks = chunks.withColumn(

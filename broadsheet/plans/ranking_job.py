@@ -49,18 +49,24 @@ class Corpus:
     def term_scores(self) -> DataFrame:
         return scoring.dph_term_score(self.term_frequency(), *self._scalars)
 
-    def scores(self) -> DataFrame:
-        """``(query_id, doc_id, score)`` of the pairs whose score is not 0.
+    def scores(self, only: DataFrame | None = None) -> DataFrame:
+        """``(query_id, doc_id, score)`` of the pairs whose score is not 0, for all queries
+        or ``only`` for those with a ``query_id`` in a table.
 
         A term with more occurrences than there are documents scores 0 everywhere and adds
         nothing to any sum. Its tokens are left out of the join with the surface forms, so
         the most frequent terms, which would make most of the rows, make none.
         """
         n_docs, avg_length = self._scalars
+        asked = self.terms
         telling = self.surfaces.where(F.col("corpus_tf") <= n_docs)
+        if only is not None:
+            small = self.terms_small
+            asked = asked.join(broadcast_if(only, small), "query_id", "left_semi")
+            telling = telling.join(broadcast_if(asked.select("term"), small), "term", "left_semi")
         tf = stats.term_frequency(self.tokens, telling, self.surfaces_small)
         return scoring.dph_query_score(
-            scoring.dph_term_score(tf, n_docs, avg_length), self.terms, self.terms_small
+            scoring.dph_term_score(tf, n_docs, avg_length), asked, self.terms_small
         )
 
     @cached_property
@@ -143,7 +149,7 @@ def document_rankings(queries: DataFrame, entries: DataFrame) -> DataFrame:
 def rank_documents(articles: DataFrame, queries: DataFrame, k: int = ranking.TOP_K,
                    min_distance: float = ranking.MIN_DISTANCE,
                    stopwords: Iterable[str] = ENGLISH, partitions: int | None = None,
-                   duplicates: str = "error") -> DataFrame:
+                   duplicates: str = "error", chunk: int = ranking.CHUNK) -> DataFrame:
     """Rank the articles for each query: ``(query_id, original_query, results)``.
 
     ``articles`` has ``title``, ``contents`` and a unique ``doc_id`` (``id`` if there is
@@ -155,7 +161,8 @@ def rank_documents(articles: DataFrame, queries: DataFrame, k: int = ranking.TOP
     their source put them, as shuffling the text of a large corpus costs more than it gains.
 
     Several articles with one id fail the job if a query ranks them; ``duplicates="drop"``
-    takes one article of each id instead.
+    takes one article of each id instead. ``chunk`` is how many candidates of a query the
+    choice of distant titles looks at in one round; it does not change the result.
     """
     if duplicates not in ("error", "drop"):
         raise ValueError(f"duplicates must be error or drop, not {duplicates!r}")
@@ -166,7 +173,8 @@ def rank_documents(articles: DataFrame, queries: DataFrame, k: int = ranking.TOP
     queries = unique_queries(queries).persist()
     corpus = prepare(articles, queries, stopwords, partitions)
     entries = ranking.diverse_top_k(
-        corpus.scores(), corpus.tokens, corpus.n_queries, k, min_distance
+        corpus.scores(), corpus.tokens, corpus.n_queries, k, min_distance, chunk,
+        scores_of=corpus.scores,
     )
     corpus.release()
     queries.unpersist()

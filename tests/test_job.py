@@ -86,6 +86,17 @@ def test_other_k_and_distance(spark):
     same(results(found), rank(articles, QUERIES, 3, 0.2))
 
 
+def test_copies_of_one_title_fill_a_query(spark):
+    # A third of the corpus has one title, and more of it than fits a round.
+    articles = corpus() + [
+        {"id": f"e{i:03d}", "title": "rain and flood", "contents": [
+            {"subtype": "paragraph", "content": "rain " * (i % 7) + "storm " * (i % 5)}]}
+        for i in range(90)
+    ]
+    found = rank_documents(*frames(spark, articles, QUERIES, 5), chunk=20)
+    same(results(found), rank(articles, QUERIES))
+
+
 def test_full_articles_come_with_the_results(spark):
     articles = corpus()
     by_id = {a["id"]: a for a in articles}
