@@ -23,9 +23,11 @@ def too_near(a: Column, b: Column, min_distance: float) -> Column:
     """Whether two titles are closer than ``min_distance``.
 
     The edit distance is at least the difference of the lengths, so titles whose lengths
-    alone keep them apart are not compared letter by letter.
+    alone keep them apart are not compared letter by letter; nor are equal ones.
     """
+    if min_distance <= 0:
+        return F.lit(False)
     longer = F.nullif(_longer(a, b), F.lit(0))
     apart = F.abs(F.length(a) - F.length(b)) / longer >= min_distance
-    near = ~apart & (F.levenshtein(a, b) / longer < min_distance)
+    near = ~apart & ((a == b) | (F.levenshtein(a, b) / longer < min_distance))
     return F.coalesce(near, F.lit(False))

@@ -54,29 +54,51 @@ def top_k(scores: DataFrame, k: int = TOP_K) -> DataFrame:
     )
 
 
-def _chunks(candidates: DataFrame, titles: DataFrame, small: bool) -> DataFrame:
-    """``(query_id, candidates)``: the candidates with titles as an array, best first.
+def _chunks(candidates: DataFrame, titles: DataFrame, n_queries: int, small: bool,
+            min_distance: float) -> DataFrame:
+    """One row per query: ``candidates``, an array with titles, best first; ``last``, the
+    last one; and ``n``, how many there are.
+
+    Of several candidates with one title the array holds the best: the others are near
+    that one if it is taken, and near what it is near to if not. (Where no distance is
+    asked for, nothing is near, and all are held.)
 
     Ids should be unique. Should they not be, a candidate still comes once, so an array
     never is longer than there are candidates.
     """
-    candidate = F.struct("rank", "doc_id", "score", "title")
-    return (
+    spark = candidates.sparkSession
+    parallel = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        spark.sparkContext.defaultParallelism,
+    )
+    best = F.struct("rank", "doc_id", "score")
+    rows = (
         broadcast_if(candidates, small)
         .join(titles.select("doc_id", "title"), "doc_id")
         .groupBy("query_id", "rank", "doc_id", "score")
         .agg(F.min("title").alias("title"))
-        .groupBy("query_id")
-        .agg(F.array_sort(F.collect_list(candidate)).alias("candidates"))
-        .withColumn(
-            "candidates",
-            F.transform("candidates", lambda c: F.struct(c["doc_id"], c["score"], c["title"])),
-        )
+        # Few bytes, much work: the number of partitions is given, so that they are not
+        # put together for being small.
+        .repartition(max(1, min(n_queries, parallel)), "query_id")
+    )
+    alike = ["query_id", "title"] if min_distance > 0 else ["query_id", "title", "rank"]
+    by_title = rows.groupBy(*alike).agg(
+        F.min(best).alias("best"), F.max(best).alias("last"), F.count("*").alias("n")
+    )
+    candidate = F.struct("best.rank", "best.doc_id", "best.score", "title")
+    return by_title.groupBy("query_id").agg(
+        F.array_sort(F.collect_list(candidate)).alias("candidates"),
+        F.max("last").alias("last"),
+        F.sum("n").alias("n"),
+    ).withColumn(
+        "candidates",
+        F.transform("candidates", lambda c: F.struct(c["doc_id"], c["score"], c["title"])),
     )
 
 
 def _take_from_chunk(chunks: DataFrame, k: int, min_distance: float, chunk: int) -> DataFrame:
     """Fold the candidates of each query into its ``taken`` array."""
+
     def step(taken: Column, candidate: Column) -> Column:
         rejected = F.exists(
             taken, lambda t: too_near(t["title"], candidate["title"], min_distance)
@@ -86,13 +108,12 @@ def _take_from_chunk(chunks: DataFrame, k: int, min_distance: float, chunk: int)
             F.concat(taken, F.array(candidate))
         )
 
-    last = F.try_element_at("candidates", F.lit(-1))
     return chunks.select(
         "query_id",
         F.aggregate("candidates", F.col("taken"), step).alias("taken"),
-        rank_key(last["score"]).alias("last_key"),
-        last["doc_id"].alias("last_doc"),
-        (F.size("candidates") == chunk).alias("more"),
+        rank_key(F.col("last.score")).alias("last_key"),
+        F.col("last.doc_id").alias("last_doc"),
+        (F.coalesce("n", F.lit(0)) >= chunk).alias("more"),
     )
 
 
@@ -133,9 +154,11 @@ def diverse_top_k(scores: DataFrame, titles: DataFrame, n_queries: int, k: int =
     """
     small = n_queries * chunk <= BROADCAST_ROWS
     finished = []
-    chunks = _chunks(top_k(scores, chunk), titles, small).withColumn(
-        "taken", F.slice("candidates", 1, 0)
-    )
+
+    def best_of(pairs: DataFrame) -> DataFrame:
+        return _chunks(top_k(pairs, chunk), titles, n_queries, small, min_distance)
+
+    chunks = best_of(scores).withColumn("taken", F.slice("candidates", 1, 0))
     while True:
         state = checkpointed(_take_from_chunk(chunks, k, min_distance, chunk))
         is_open = F.col("more") & (F.size("taken") < k)
@@ -145,8 +168,9 @@ def diverse_top_k(scores: DataFrame, titles: DataFrame, n_queries: int, k: int =
             break
         open_scores = scores_of(still_open.select("query_id")) if scores_of else scores
         remaining = _remaining(open_scores, titles, still_open, small, min_distance)
-        found = _chunks(top_k(remaining, chunk), titles, small)
-        chunks = still_open.select("query_id", "taken").join(found, "query_id", "left")
+        chunks = still_open.select("query_id", "taken").join(
+            best_of(remaining), "query_id", "left"
+        )
         chunks = chunks.withColumn(
             "candidates", F.coalesce("candidates", F.slice("taken", 1, 0))
         )
