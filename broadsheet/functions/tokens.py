@@ -15,7 +15,7 @@ MAX_DIGITS = 4    # a token with more digits is dropped
 MAX_REPEATS = 3   # a token with more equal characters in a row is dropped
 
 RUN = "[a-z0-9]+"
-_DROPPED = rf"([a-z0-9])\1{{{MAX_REPEATS}}}|(?:[0-9][a-z]*){{{MAX_DIGITS + 1}}}"
+_DROPPED = rf"(.)\1{{{MAX_REPEATS}}}|[0-9](?:[a-z]*[0-9]){{{MAX_DIGITS}}}"
 
 # The two characters outside ASCII whose lower case holds an ASCII letter. They separate
 # tokens like any other character outside ASCII, so they go before lower-casing.
@@ -31,8 +31,8 @@ def tokenize(text: Column) -> Column:
 
 
 def _kept(token: Column) -> Column:
-    """Whether a run of letters and digits is a token. No rule can drop a run as short as
-    the limit on repeats, and most are, so the pattern is tried on the others only."""
+    """Whether a run of letters and digits is a token. No rule can drop a run that is no
+    longer than the limit on repeats, so the pattern is tried on longer ones only."""
     return (F.length(token) <= MAX_REPEATS) | (
         (F.length(token) <= MAX_CHARS) & ~token.rlike(_DROPPED)
     )
