@@ -172,12 +172,14 @@ def rank_documents(articles: DataFrame, queries: DataFrame, k: int = ranking.TOP
         articles = one_per_id(articles)
     queries = unique_queries(queries).persist()
     corpus = prepare(articles, queries, stopwords, partitions)
-    entries = ranking.diverse_top_k(
-        corpus.scores(), corpus.tokens, corpus.n_queries, k, min_distance, chunk,
-        scores_of=corpus.scores,
-    )
-    corpus.release()
-    queries.unpersist()
+    try:
+        entries = ranking.diverse_top_k(
+            corpus.scores(), corpus.tokens, corpus.n_queries, k, min_distance, chunk,
+            scores_of=corpus.scores,
+        )
+    finally:
+        corpus.release()
+        queries.unpersist()
     small = corpus.n_queries * k <= BROADCAST_ROWS
     return document_rankings(queries, with_articles(entries, articles, small))
 
