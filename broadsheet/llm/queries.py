@@ -4,24 +4,106 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.llm import debruijn, suffixes
+from broadsheet.llm import debruijn, forest, minhash, mixing, packing, suffixes, topk
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer of the queries, where it is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_order(_table(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return debruijn.remove_repeated_words(documents, with_text=False).drop("kept_text")
 
 
+def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.removed_strings(_table(spark, sf_dir, "documents"))
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = _table(spark, sf_dir, "embeddings")
+    return topk.exact_top_k(embeddings.where("vec_id % 20 = 0"), embeddings, k=20)
+
+
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = _table(spark, sf_dir, "embeddings")
+    return forest.nearest(embeddings.where("vec_id % 100 = 0"), embeddings, k=10)
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_substring_dedup, op5_suffix_array_dedup,
+    op1_mix_sources, op2_substring_dedup, op3_pack_sequences, op4_minhash_near_dedup,
+    op5_suffix_array_dedup, op7_exact_top_k, op9_nearest_neighbours,
 )}
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op2_substring_dedup": f"""
+WITH words AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, sha256(array_to_string(list_slice(w, i, i + 19), ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 18, 1))) AS i FROM words)),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (
+    PARTITION BY h ORDER BY doc_id, i) AS n FROM windows) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+single AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words),
+kept AS (
+  SELECT s.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY s.i) AS t
+  FROM single s ANTI JOIN gone g ON s.doc_id = g.doc_id AND s.i = g.i GROUP BY s.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words d LEFT JOIN kept k ON d.doc_id = k.doc_id""",
+    "op4_minhash_near_dedup": f"""
+WITH RECURSIVE words AS (SELECT doc_id, {_WORDS.format(_LOWERED)} AS w FROM documents),
+shingles AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.s = b.s
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  WHERE a.doc_id <> b.doc_id AND 100 * x.n >= 80 * y.n AND 100 * y.n >= 80 * x.n
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+reach AS (
+  SELECT doc_id AS node, doc_id AS seen FROM sizes
+  UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.seen),
+least AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, w.doc_id) AS component_id,
+  coalesce(component, w.doc_id) = w.doc_id AS kept
+FROM words w LEFT JOIN sizes s ON w.doc_id = s.doc_id LEFT JOIN least l ON w.doc_id = l.node""",
+    "op7_exact_top_k": """
+WITH parts AS (
+  SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS i,
+    CAST(floor(64 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x FROM embeddings),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM parts q JOIN parts c ON q.i = c.i
+  WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id GROUP BY q.vec_id, c.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scores)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 20""",
+}

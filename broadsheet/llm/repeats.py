@@ -114,13 +114,14 @@ def repeated_runs(docs: DataFrame, unit: Unit) -> tuple[DataFrame, DataFrame]:
     set of equal runs, where ``k`` > 1 different runs share the minimizer ``m``. Runs that
     are in neither table hold no repeat.
 
-    Counting is by hash and pre-aggregated where the text is read; joins on minimizers are
-    plain equi-joins, in which adaptive execution splits a minimizer that fills a partition.
+    Counting is by hash and pre-aggregated where the text is read.
     """
     texts = usable(docs)
-    shared = texts.mapInArrow(_run_rows(unit, ["m"]), "m long").groupBy("m").agg(
-        F.count("*").alias("c")
-    ).where("c > 1").select("m")
+    # Written first, so that the join below is between two plain shuffles, which adaptive
+    # execution can split where a minimizer fills a partition.
+    shared = written(texts.mapInArrow(_run_rows(unit, ["m"]), "m long").groupBy("m").agg(
+        F.count("*").alias("c")).where("c > 1").select("m"), "shared")
+    free_shuffles(docs.sparkSession)
     found = written(texts.mapInArrow(_run_rows(unit), RUN).join(shared, "m"), "runs")
     free_shuffles(docs.sparkSession)
     place = F.struct("doc_id", "start")
@@ -131,6 +132,7 @@ def repeated_runs(docs: DataFrame, unit: Unit) -> tuple[DataFrame, DataFrame]:
         found.join(equal, ["m", "s"]).where(place != F.col("first")).select(
             "doc_id", "start", "n"), "again")
     remove(found)
+    remove(shared)
     branching = paths.groupBy("m").agg(F.count("*").alias("k")).where("k > 1")
     opened = written(paths.join(branching, "m").select("m", "first.*", "n", "k"), "open")
     remove(paths)
@@ -191,9 +193,9 @@ def repeated_edges(docs: DataFrame, runs: DataFrame, unit: Unit) -> DataFrame:
             _edge_rows(unit), "e1 long, e2 long, doc_id long, start int"), "edges",
     )
     free_shuffles(docs.sparkSession)
-    first = edges.groupBy("e1", "e2").agg(
+    first = written(edges.groupBy("e1", "e2").agg(
         F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("c")
-    ).where("c > 1").drop("c")
+    ).where("c > 1").drop("c"), "first")
     return edges.join(first, ["e1", "e2"]).where(
         F.struct("doc_id", "start") != F.col("first")
     ).select("doc_id", "start", F.lit(1).alias("n"))
