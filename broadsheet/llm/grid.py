@@ -38,11 +38,10 @@ def _finite(name: str) -> Column:
 
 def matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Ids and vectors of a cell's side."""
-    table = table.combine_chunks()
-    ids = table.column("vec_id").to_numpy()
-    lists = table.column("v")
-    flat = pa.concat_arrays([c.flatten() for c in lists.chunks]) if lists.num_chunks else pa.array([], pa.float64())
-    return ids, flat.to_numpy(zero_copy_only=False).reshape(len(ids), -1) if len(ids) else np.zeros((0, 0))
+    if not table.num_rows:
+        return np.zeros(0, np.int64), np.zeros((0, 0))
+    flat = pa.concat_arrays([chunk.flatten() for chunk in table.column("v").chunks])
+    return table.column("vec_id").to_numpy(), flat.to_numpy().reshape(table.num_rows, -1)
 
 
 def search(queries: DataFrame, candidates: DataFrame, found: Callable, kind: str, k: int,

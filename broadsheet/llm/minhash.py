@@ -26,8 +26,10 @@ from broadsheet.llm.textarrays import Hasher, mix, ragged, signed, text_slices,
 # Rows of a band and bands: two sets of similarity 0.8 share no band once in 500,000 times.
 ROWS, BANDS = 7, 56
 
-# Star rounds before the remaining pairs of a bucket are compared one by one.
+# Star rounds before what remains apart in a bucket is compared block by block, and the
+# members of a block.
 STAR_ROUNDS = 2
+BLOCK = 1024
 
 _STEP, _BAND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _LOW, _32 = np.uint64(0xFFFFFFFF), np.uint64(32)
@@ -139,6 +141,28 @@ def _linked_rows(percent: int):
     return work
 
 
+def _links_of_cell(percent: int):
+    def links(cell: pa.Table) -> pa.Table:
+        ids = cell.column("doc_id").to_numpy()
+        _, component = np.unique(cell.column("component").to_numpy(), return_inverse=True)
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in cell.column("shingles")]
+        size = np.array([len(s) for s in sets])
+        names, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.cumsum(size) - size
+        found = []
+        # Every pair has a member outside the largest component.
+        for x in np.flatnonzero(component != np.bincount(component).argmax()):
+            own = np.zeros(len(names), bool)
+            own[flat[starts[x]:starts[x] + size[x]]] = True
+            both = np.add.reduceat(own[flat], starts, dtype=np.int64)
+            near = (100 * both >= percent * (size + size[x] - both)) & (component != component[x])
+            found += [(min(ids[x], y), max(ids[x], y)) for y in ids[near]]
+        pairs = np.array(sorted(set(found)), np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return links
+
+
 class _Links:
     """Confirmed links among candidates, and the components they make."""
 
@@ -155,6 +179,23 @@ class _Links:
         self.links = found if self.links is None else self.links.union(found)
         free_shuffles(pairs.sparkSession)
 
+    def confirm_apart(self, buckets: DataFrame) -> None:
+        """Add all links between members of a bucket that are in different components.
+
+        Buckets are cut into blocks of bounded size, and every two blocks of a bucket meet in
+        one cell; there the sets are compared, and nothing but links comes out."""
+        blocks = written(buckets.groupBy("key").agg(
+            F.ceil(F.count("*") / BLOCK).alias("blocks")), "blocks")
+        own = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
+        cells = buckets.join(blocks, "key").withColumn("own", own).withColumn(
+            "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+            "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+            "doc_id", "component")
+        found = written(cells.join(self.sets, "doc_id").groupBy("key", "i", "j").applyInArrow(
+            _links_of_cell(self.percent), "a long, b long").distinct(), "links")
+        self.links = self.links.union(found)
+        free_shuffles(buckets.sparkSession)
+
     def components(self) -> DataFrame:
         return written(components(self.links), "components")
 
@@ -173,7 +214,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
 
     In a bucket of a band, all classes are first compared with its least one only, then what
     still is in other components with the next; pairs in one component need no test. What
-    then remains apart is compared pair by pair, so no link between candidates is lost.
+    then remains apart is compared in blocks, so no link between candidates is lost.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -215,13 +256,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
         labels = links.components()
         rest = open_buckets if star == 0 else stars.where("doc_id != h").select(*open_buckets.columns)
         open_buckets = _apart(rest, labels)
-    a, b = open_buckets.alias("a"), open_buckets.alias("b")
-    apart = a.join(b, F.col("a.key") == F.col("b.key")).where(
-        (F.col("a.component") < F.col("b.component"))
-        & (F.col("a.n") * 100 >= F.col("b.n") * percent)
-        & (F.col("b.n") * 100 >= F.col("a.n") * percent)
-    ).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")).distinct()
-    links.confirm(apart)
+    links.confirm_apart(open_buckets)
     labels = links.components()
 
     classed = sketched.select("doc_id", "n", "s1", "s2").join(classes, ["n", "s1", "s2"], "left")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from broadsheet.llm import debruijn, forest, minhash, mixing, packing, suffixes, topk
+from broadsheet.llm import (
+    debruijn, forest, minhash, mixing, packing, ppm, quality, suffixes, topk, toxicity,
+)
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -41,19 +43,33 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.removed_strings(_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return toxicity.severities(documents, toxicity.train(documents, _table(spark, sf_dir, "labels")))
+
+
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = _table(spark, sf_dir, "embeddings")
     return topk.exact_top_k(embeddings.where("vec_id % 20 = 0"), embeddings, k=20)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = _table(spark, sf_dir, "embeddings")
     return forest.nearest(embeddings.where("vec_id % 100 = 0"), embeddings, k=10)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_texts(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_substring_dedup, op3_pack_sequences, op4_minhash_near_dedup,
-    op5_suffix_array_dedup, op7_exact_top_k, op9_nearest_neighbours,
+    op5_suffix_array_dedup, op6_toxicity, op7_exact_top_k, op8_quality, op9_nearest_neighbours,
+    op10_lm_scoring,
 )}
 
 _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"

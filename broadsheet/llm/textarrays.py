@@ -157,3 +157,8 @@ def signed(x: np.ndarray) -> np.ndarray:
 def list_column(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A list column out of flat values and offsets."""
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+
+def totals(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of values per row, as doubles, for ``n`` rows."""
+    return np.bincount(rows, values, n).astype(np.float64)

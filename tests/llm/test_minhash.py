@@ -45,8 +45,10 @@ def test_against_all_pairs(small_docs, words):
     assert found(near_duplicates(small_docs, words)) == plain(texts_of(small_docs), words)
 
 
-def test_chains_and_groups(spark):
+@pytest.mark.parametrize("block", [1024, 5])
+def test_chains_and_groups(spark, monkeypatch, block):
     """Versions that drift apart: links make chains, and buckets hold several components."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
     rng = np.random.default_rng(1)
     rows = []
     for group in range(6):
