@@ -20,6 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.llm.scratch import written
 from broadsheet.llm.textarrays import Hasher, text_slices, totals
 
 # Hash buckets; beginnings of words in bytes; labelled rows to train on, toxic and not
@@ -40,8 +41,8 @@ _LETTER[97:123] = True
 _LETTER[128:] = True
 
 
-def _features(data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(row, bucket, is a whole word)`` of all features of lower-cased texts."""
+def _features(data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, feature)`` of all words of lower-cased texts, odd, and beginnings, even."""
     n = len(data)
     letter = np.zeros(n + 2, bool)
     letter[1:-1] = _LETTER[data]
@@ -51,20 +52,17 @@ def _features(data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> tuple[np
     ends = np.flatnonzero(letter[:-1] & (~letter[1:] | edge))
     row = np.searchsorted(offsets, starts, "right") - 1
     sums = hasher.prefix(data)
-    mask = np.uint64(BUCKETS - 1)
-    # A word hashes apart from a beginning of the same letters: it stands with what follows.
-    rows, buckets = [row], [(hasher.spans(sums, starts, ends) >> np.uint64(7)) & mask]
+    mask, one = np.uint64(BUCKETS - 2), np.uint64(1)
+    rows, features = [row], [hasher.spans(sums, starts, ends) & mask | one]
     for size in BEGINNINGS:
         some = ends - starts > size
         rows.append(row[some])
-        buckets.append(hasher.spans(sums, starts[some], starts[some] + size) & mask)
-    words = np.zeros(sum(map(len, rows)), bool)
-    words[:len(row)] = True
-    return np.concatenate(rows), np.concatenate(buckets).astype(np.int64), words
+        features.append(hasher.spans(sums, starts[some], starts[some] + size) & mask)
+    return np.concatenate(rows), np.concatenate(features).astype(np.int64)
 
 
-def _counted(row: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    pairs, n = np.unique(row * BUCKETS + bucket, return_counts=True)
+def _counted(row: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    pairs, n = np.unique(row * BUCKETS + feature, return_counts=True)
     return pairs // BUCKETS, pairs % BUCKETS, np.log1p(n)
 
 
@@ -78,27 +76,44 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(sums[:, None] - self.thresholds, -500, 500)))
 
     def sums(self, data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> np.ndarray:
-        row, bucket, _ = _features(data, offsets, hasher)
-        used = self.weights[bucket] != 0
-        row, bucket, value = _counted(row[used], bucket[used])
-        return totals(row, self.weights[bucket] * value, len(offsets) - 1)
+        row, feature = _features(data, offsets, hasher)
+        used = self.weights[feature] != 0
+        row, feature, value = _counted(row[used], feature[used])
+        return totals(row, self.weights[feature] * value, len(offsets) - 1)
 
 
-def _example_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _frequency_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per feature the number of toxic and of other texts that have it."""
     hasher = Hasher()
     for batch in batches:
+        toxic = batch.column("grade").to_numpy() > 0
         for first, end, data, offsets in text_slices(batch.column("text"), lower=True):
-            row, bucket, words = _features(data, offsets, hasher)
-            whole = np.unique(row[words] * BUCKETS + bucket[words])
-            at, bucket, value = _counted(row, bucket)
-            is_word = np.isin(at * BUCKETS + bucket, whole, assume_unique=True)
-            edges = np.searchsorted(at, np.arange(end - first + 1)).astype(np.int32)
-            code = bucket * 2 + is_word
-            yield pa.RecordBatch.from_arrays([
-                batch.column("grade").slice(first, end - first),
-                pa.ListArray.from_arrays(pa.array(edges), pa.array(code.astype(np.int32))),
-                pa.ListArray.from_arrays(pa.array(edges), pa.array(value.astype(np.float32))),
-            ], names=["grade", "buckets", "values"])
+            at, feature, _ = _counted(*_features(data, offsets, hasher))
+            bad = toxic[first:end][at]
+            names, inverse = np.unique(feature, return_inverse=True)
+            in_bad = np.bincount(inverse, bad, len(names)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names), pa.array(in_bad), pa.array(np.bincount(inverse, minlength=len(names)) - in_bad)],
+                names=["feature", "bad", "good"])
+
+
+def _example_rows(chosen: Broadcast):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, wanted = Hasher(), np.zeros(BUCKETS, bool)
+        wanted[chosen.value] = True
+        for batch in batches:
+            for first, end, data, offsets in text_slices(batch.column("text"), lower=True):
+                row, feature = _features(data, offsets, hasher)
+                used = wanted[feature]
+                at, feature, value = _counted(row[used], feature[used])
+                edges = np.searchsorted(at, np.arange(end - first + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("grade").slice(first, end - first),
+                    pa.ListArray.from_arrays(pa.array(edges), pa.array(feature.astype(np.int32))),
+                    pa.ListArray.from_arrays(pa.array(edges), pa.array(value.astype(np.float32))),
+                ], names=["grade", "features", "values"])
+
+    return work
 
 
 def _thresholds(free: np.ndarray) -> np.ndarray:
@@ -106,9 +121,9 @@ def _thresholds(free: np.ndarray) -> np.ndarray:
     return free[0] + np.concatenate(([0.0], np.cumsum(np.exp(free[1:]))))
 
 
-def fit(row: np.ndarray, bucket: np.ndarray, value: np.ndarray, grade: np.ndarray, grades: int) -> Model:
+def fit(row: np.ndarray, feature: np.ndarray, value: np.ndarray, grade: np.ndarray, grades: int) -> Model:
     """Maximum likelihood with a penalty on squared weights, by adaptive gradient steps."""
-    used, column = np.unique(bucket, return_inverse=True)
+    used, column = np.unique(feature, return_inverse=True)
     n = len(grade)
     w = np.zeros(len(used))
     share = [(grade > k).mean() for k in range(grades)]
@@ -155,30 +170,40 @@ def train(docs: DataFrame, labels: DataFrame, grades: int = GRADES, toxic_rows:
     chosen = rows.where("grade > 0").orderBy(*order).limit(toxic_rows).union(
         rows.where("grade <= 0").orderBy(*order).limit(clean_rows))
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").cast("string").alias("text"))
-    examples = texts.join(F.broadcast(chosen), "_doc").select("grade", "text").mapInArrow(
-        _example_rows, "grade int, buckets array<int>, values array<float>").toArrow()
-    grade = examples.column("grade").to_numpy().astype(np.int64) if examples.num_rows else np.zeros(0, np.int64)
-    if not len(grade) or grade.min() > 0 or grade.max() <= 0:
+    examples = written(texts.join(F.broadcast(chosen), "_doc").select("grade", "text"), "examples")
+    none = Model(np.zeros(BUCKETS), np.arange(1.0, grades + 1) * 50)
+    n_bad, n_good = examples.agg(
+        F.count(F.when(F.col("grade") > 0, 1)), F.count(F.when(F.col("grade") <= 0, 1))).first()
+    if not n_bad or not n_good:
         # One class alone, or none, tells nothing apart: everything is grade 0.
-        return Model(np.zeros(BUCKETS), np.arange(1.0, grades + 1) * 50)
-    lists = examples.column("buckets").combine_chunks()
-    code = lists.flatten().to_numpy().astype(np.int64)
-    value = examples.column("values").combine_chunks().flatten().to_numpy().astype(float)
+        return none
+    frequent = examples.mapInArrow(_frequency_rows, "feature long, bad long, good long").groupBy(
+        "feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    bad, good = F.col("bad") + 0.5, F.col("good") + 0.5
+    rest_bad, rest_good = n_bad - F.col("bad") + 0.5, n_good - F.col("good") + 0.5
+    z = (F.log(bad / rest_bad) - F.log(good / rest_good)) / F.sqrt(
+        1 / bad + 1 / rest_bad + 1 / good + 1 / rest_good)
+    telling = frequent.where(F.abs(z) > TELLING).toArrow()
+    names = telling.column("feature").to_numpy()
+    p = (telling.column("bad").to_numpy() + 0.5) / (n_bad + 1)
+    q = (telling.column("good").to_numpy() + 0.5) / (n_good + 1)
+    chosen_names = docs.sparkSession.sparkContext.broadcast(names)
+    rows = examples.mapInArrow(_example_rows(chosen_names),
+                               "grade int, features array<int>, values array<float>").toArrow()
+    grade = rows.column("grade").to_numpy().astype(np.int64)
+    lists = rows.column("features").combine_chunks()
+    feature = lists.flatten().to_numpy().astype(np.int64)
+    value = rows.column("values").combine_chunks().flatten().to_numpy().astype(float)
     row = np.repeat(np.arange(len(grade)), np.diff(lists.offsets.to_numpy()))
-    bucket, is_word = code >> 1, (code & 1).astype(bool)
-    bad = grade[row] > 0
-    n_bad, n_good = (grade > 0).sum(), (grade <= 0).sum()
-    in_bad, in_good = np.bincount(bucket[bad], minlength=BUCKETS), np.bincount(bucket[~bad], minlength=BUCKETS)
-    p, q = (in_bad + 0.5) / (n_bad + 1), (in_good + 0.5) / (n_good + 1)
-    z = (np.log(p / (1 - p)) - np.log(q / (1 - q))) / np.sqrt(
-        1 / (in_bad + 0.5) + 1 / (n_bad - in_bad + 0.5) + 1 / (in_good + 0.5) + 1 / (n_good - in_good + 0.5))
+    if not len(feature):
+        return none
     if not has_grade:
-        telling = (z > TELLING) & (p > 20 * q)
-        marks = np.bincount(row, telling[bucket] & is_word, len(grade))
+        strong = np.zeros(BUCKETS, bool)
+        strong[names[(p > 20 * q) & (names % 2 == 1)]] = True
+        marks = np.bincount(row, strong[feature], len(grade))
         cuts = np.quantile(marks[grade > 0], np.arange(1, grades) / grades)
         grade = np.where(grade > 0, 1 + np.searchsorted(cuts, marks, "left"), 0)
-    keep = np.abs(z)[bucket] > TELLING
-    return fit(row[keep], bucket[keep], value[keep], np.clip(grade, 0, grades), grades)
+    return fit(row, feature, value, np.clip(grade, 0, grades), grades)
 
 
 def _score_rows(shared: Broadcast):
