@@ -37,6 +37,7 @@ def main():
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_CHECKPOINT_DIR", "spark-warehouse/checkpoints"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -11,6 +11,7 @@ from broadsheet.operators import articles as article_ops
 from broadsheet.operators import indexing, ranking, stats, terms
 from broadsheet.plans import ranking_job, tables
 from broadsheet.sinks.rankings import ranking_text as rankings_as_text
+from broadsheet.sinks.rankings import read_ranking_texts, write_rankings
 from broadsheet.sources import articles as article_source
 from broadsheet.sources.lines import scan_lines
 
@@ -26,10 +27,14 @@ def _query_file(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def _article_file(spark: SparkSession, sf_dir: str, extra_fields: bool = False) -> str:
-    path = new_folder(spark, "article-lines")
+def _article_lines(spark: SparkSession, sf_dir: str, extra_fields: bool = False) -> DataFrame:
     articles = tables.articles(spark, sf_dir, extra_fields).drop("doc_id")
-    articles.select(F.to_json(F.struct(*articles.columns)).alias("value")).write.text(path)
+    return articles.select(F.to_json(F.struct(*articles.columns)).alias("value"))
+
+
+def _article_file(spark: SparkSession, sf_dir: str) -> str:
+    path = new_folder(spark, "article-lines")
+    _article_lines(spark, sf_dir).write.text(path)
     return path
 
 
@@ -43,20 +48,24 @@ def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return article_ops.article_tokens(_index_texts(spark, sf_dir))
 
 
-_kept: list[ranking_job.Corpus] = []
+# The statistics that the last query of a session started from.
+_kept: dict[str, ranking_job.Corpus] = {}
 
 
 def _corpus(spark: SparkSession, sf_dir: str) -> ranking_job.Corpus:
     """The statistics a query starts from. Its rows are computed after it has returned, so
-    the tables behind it are released when the next query asks for its own."""
-    while _kept:
-        _kept.pop().release()
-    corpus = ranking_job.prepare(
+    the tables behind it are released when the next query of the session asks for its own.
+    Those of a session that has ended went with it."""
+    session = spark.sparkContext.applicationId
+    for other in list(_kept):
+        corpus = _kept.pop(other)
+        if other == session:
+            corpus.release()
+    _kept[session] = ranking_job.prepare(
         tables.articles(spark, sf_dir), tables.queries(spark, sf_dir),
         partitions=tables.scan_partitions(spark, sf_dir),
     )
-    _kept.append(corpus)
-    return corpus
+    return _kept[session]
 
 
 def _diverse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +101,7 @@ def scan_articles(spark, sf_dir):
 
 
 def parse_articles(spark, sf_dir):
-    articles = article_source.read_articles(spark, _article_file(spark, sf_dir))
+    articles = article_source.parse_articles(_article_lines(spark, sf_dir))
     paragraphs = F.filter("contents", lambda item: item["subtype"].eqNullSafe("paragraph"))
     return articles.select(
         "id", "title", "published_date",
@@ -101,7 +110,7 @@ def parse_articles(spark, sf_dir):
 
 
 def bad_article_lines(spark, sf_dir):
-    lines = scan_lines(spark, _article_file(spark, sf_dir, extra_fields=True))
+    lines = _article_lines(spark, sf_dir, extra_fields=True)
     return article_source.bad_article_lines(lines).select(
         F.get_json_object("value", "$.id").alias("id"),
         "problem", F.array_join("unknown", ",").alias("unknown"),
@@ -155,8 +164,8 @@ def index_text(spark, sf_dir):
 
 def article_stats(spark, sf_dir):
     corpus = _corpus(spark, sf_dir)
-    parsed = terms.parse_queries(tables.queries(spark, sf_dir))
-    return stats.article_stats(corpus.tokens, corpus.term_frequency(), parsed)
+    parsed = checkpointed(terms.parse_queries(tables.queries(spark, sf_dir)))
+    return stats.article_stats(corpus.term_frequency("title"), parsed, is_small(parsed))
 
 
 # Statistics
@@ -215,10 +224,25 @@ def top10_plain(spark, sf_dir):
     )
 
 
+def top2000_plain(spark, sf_dir):
+    return ranking.top_k(_corpus(spark, sf_dir).scores(), 2000).select(
+        "query_id", "rank", "doc_id", _reported()
+    )
+
+
 def top10_diverse(spark, sf_dir):
     return _diverse(spark, sf_dir).select("query_id", "rank", "doc_id", _reported())
 
 
+def diverse_far_titles(spark, sf_dir):
+    """Up to 25 titles far from each other, a few candidates at a time: takes many rounds."""
+    corpus = _corpus(spark, sf_dir)
+    return ranking.diverse_top_k(
+        corpus.scores(), corpus.tokens, corpus.n_queries, k=25, min_distance=0.9, chunk=5,
+        scores_of=corpus.scores,
+    ).select("query_id", "rank", "doc_id", _reported())
+
+
 def ranked_article_ids(spark, sf_dir):
     return ranking.ranked_article_ids(_diverse(spark, sf_dir))
 
@@ -243,6 +267,29 @@ def document_rankings(spark, sf_dir):
     )
 
 
+def word_rankings(spark, sf_dir):
+    """Each distinct token of the benchmark texts as a query: many find little or nothing."""
+    words = tables.queries(spark, sf_dir).select(
+        F.explode(tokens.tokenize(F.col("original_query"), tokens.NO_LIMITS)).alias("word"))
+    queries = words.groupBy("word").agg(F.xxhash64("word").alias("query_id")).select(
+        "query_id", F.col("word").alias("original_query"))
+    ids = F.transform("results", lambda result: result["doc_id"].cast("string"))
+    return ranking_job.rank_documents(
+        tables.articles(spark, sf_dir), queries, partitions=tables.scan_partitions(spark, sf_dir),
+    ).select(F.col("original_query").alias("word"), F.size("results").alias("n_results"),
+             F.array_join(ids, ",").alias("doc_ids"))
+
+
+def written_rankings(spark, sf_dir):
+    """The rankings of all queries, written as text files and read back."""
+    path = write_rankings(_rankings(spark, sf_dir), new_folder(spark, "rankings"))
+    names = spark.read.parquet(f"{path}/queries")
+    first = F.substring_index("body", "\n", 1)
+    return read_ranking_texts(spark, path).join(names, "query_id").select(
+        "query_id", (first == F.col("original_query")).alias("names_query"),
+        (F.size(F.split(F.regexp_replace("body", "\n$", ""), "\n")) - 1).alias("n_results"))
+
+
 def ranking_text(spark, sf_dir):
     six_places = lambda score: F.format_string("%.6f", F.round(score, REPORTED_PLACES))
     return rankings_as_text(_rankings(spark, sf_dir), six_places).select("query_id", "body")
@@ -267,8 +314,10 @@ QUERIES = {
         articles_with_title, lead_paragraphs, index_text, article_stats,
         document_length, term_frequency, corpus_stats, corpus_term_frequency,
         dph_term_score, dph_query_score, title_distance,
-        rank_by_score, top10_plain, top10_diverse, ranked_article_ids, ranked_articles,
-        ranking_with_articles, document_rankings, ranking_text,
+        rank_by_score, top10_plain, top2000_plain, top10_diverse, diverse_far_titles,
+        ranked_article_ids, ranked_articles,
+        ranking_with_articles, document_rankings, word_rankings,
+        ranking_text, written_rankings,
         article_index, index_partition,
     )
 }

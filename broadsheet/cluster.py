@@ -2,27 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, NumericType, StringType
 
-# Rows up to which a table of short rows is broadcast: a few hundred MB at most.
-BROADCAST_ROWS = 2_000_000
+# Bytes up to which a table is broadcast, as ``row_bytes`` adds them up.
+BROADCAST_BYTES = 100_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``, or one already set.
-
-    Only a local session without either gets a temporary folder of its own.
-    """
+    """The folder all executors see: ``spark.checkpoint.dir``, or one already set. Without
+    either it is a folder in the warehouse, which the session shares in any case."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="broadsheet-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_broadsheet"
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
@@ -39,10 +35,26 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes in memory: strings count with all their letters."""
+
+    def size(name: str, kind: DataType) -> Column:
+        if isinstance(kind, NumericType):
+            return F.lit(16)
+        if isinstance(kind, StringType):
+            return F.coalesce(F.octet_length(name), F.lit(0)) + 32
+        return 4 * F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0)) + 32
+
+    total = F.lit(0)
+    for f in df.schema.fields:
+        total = total + size(f"`{f.name}`", f.dataType)
+    return total.cast("long")
+
+
 def is_small(df: DataFrame) -> bool:
-    """Whether ``df`` may be broadcast. It is counted, so it should be a table that is
-    kept: counting it then computes nothing that is not needed anyway."""
-    return df.count() <= BROADCAST_ROWS
+    """Whether ``df`` may be broadcast. Its bytes are added up, so it should be a table that
+    is kept: reading it then computes nothing that is not needed anyway."""
+    return (df.agg(F.sum(row_bytes(df))).first()[0] or 0) <= BROADCAST_BYTES
 
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions.stopwords import ENGLISH
-from broadsheet.functions.tokens import remove_stopwords, tokenize
+from broadsheet.functions.tokens import Limits, remove_stopwords, tokenize
 
 # The part of an article that is indexed.
 PARAGRAPH = "paragraph"
@@ -60,13 +60,14 @@ def index_texts(articles: DataFrame) -> DataFrame:
     return articles_with_title(articles).select("doc_id", "title", text.alias("index_text"))
 
 
-def article_tokens(texts: DataFrame, stopwords: Iterable[str] = ENGLISH) -> DataFrame:
+def article_tokens(texts: DataFrame, stopwords: Iterable[str] = ENGLISH,
+                   limits: Limits = Limits()) -> DataFrame:
     """``(doc_id, title, length, tokens)`` of index texts.
 
     The tokens are not stemmed. A stemmer drops no token, so their number already is the
     length of the document.
     """
-    tokens = remove_stopwords(tokenize(F.col("index_text")), stopwords)
+    tokens = remove_stopwords(tokenize(F.col("index_text"), limits), stopwords)
     return texts.select("doc_id", "title", tokens.alias("tokens")).select(
         "doc_id", "title", F.size("tokens").alias("length"), "tokens"
     )

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from broadsheet.cluster import BROADCAST_ROWS, broadcast_if, checkpointed, is_small
+from broadsheet.cluster import broadcast_if, checkpointed, is_small
 from broadsheet.functions.distance import too_near
 from broadsheet.operators.indexing import number_rows
 
@@ -17,9 +17,12 @@ TOP_K = 10
 MIN_DISTANCE = 0.5
 
 # Candidates per query and round of the diverse ranking. It sets the size of a step, not
-# the result. Spark prunes a window to its first rows before the shuffle up to 1000.
+# the result.
 CHUNK = 200
 
+# Parts of a query of which the best are taken first, each in a task of its own.
+PARTS = 64
+
 # Sums of the same scores in another order differ in the last digits, so ranks compare
 # scores to nine places, as whole numbers of 1e-9, and then ids.
 SCORE_UNITS = 1e9
@@ -34,37 +37,36 @@ def _best_first() -> list[Column]:
 
 
 def rank_by_score(scores: DataFrame) -> DataFrame:
-    """``(query_id, doc_id, score, rank)`` of all scored pairs, however many a query has."""
-    places = number_rows(scores, _best_first(), "_place", within="query_id")
-    return places.select(
-        "query_id", "doc_id", "score", (F.col("_place") + 1).cast("int").alias("rank")
-    )
+    """``(query_id, doc_id, score, rank)`` of all scored pairs, however many a query has.
+
+    The scores are worked out once and kept: sorting by ranges reads its input twice."""
+    places = number_rows(checkpointed(scores), _best_first(), "_place", within="query_id")
+    return places.select("query_id", "doc_id", "score", (F.col("_place") + 1).alias("rank"))
 
 
 def top_k(scores: DataFrame, k: int = TOP_K) -> DataFrame:
     """``(query_id, rank, doc_id, score)`` of the ``k`` best per query.
 
-    Spark cuts each query down to ``k`` rows per task before the shuffle.
+    Each query is dealt out into parts by document; the best of each part are taken, and of
+    these the best. So no task sees more than a part of a query, or ``k`` rows of each part,
+    whatever ``k`` is.
     """
-    best = Window.partitionBy("query_id").orderBy(*_best_first())
-    return (
-        scores.withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "doc_id", "score")
-    )
+    def best(rows: DataFrame, *group: str) -> DataFrame:
+        order = Window.partitionBy(*group).orderBy(*_best_first())
+        return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
+    parted = scores.withColumn("_part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)))
+    return best(best(parted, "query_id", "_part"), "query_id").select(
+        "query_id", "rank", "doc_id", "score")
 
-def _chunks(candidates: DataFrame, titles: DataFrame, n_queries: int, small: bool,
-            min_distance: float) -> DataFrame:
+
+def _chunks(candidates: DataFrame, n_queries: int, min_distance: float) -> DataFrame:
     """One row per query: ``candidates``, an array with titles, best first; ``last``, the
     last one; and ``n``, how many there are.
 
     Of several candidates with one title the array holds the best: the others are near
     that one if it is taken, and near what it is near to if not. (Where no distance is
     asked for, nothing is near, and all are held.)
-
-    Ids should be unique. Should they not be, a candidate still comes once, so an array
-    never is longer than there are candidates.
     """
     spark = candidates.sparkSession
     parallel = max(
@@ -72,15 +74,9 @@ def _chunks(candidates: DataFrame, titles: DataFrame, n_queries: int, small: boo
         spark.sparkContext.defaultParallelism,
     )
     best = F.struct("rank", "doc_id", "score")
-    rows = (
-        broadcast_if(candidates, small)
-        .join(titles.select("doc_id", "title"), "doc_id")
-        .groupBy("query_id", "rank", "doc_id", "score")
-        .agg(F.min("title").alias("title"))
-        # Few bytes, much work: the number of partitions is given, so that they are not
-        # put together for being small.
-        .repartition(max(1, min(n_queries, parallel)), "query_id")
-    )
+    # Few bytes, much work: the number of partitions is given, so that they are not put
+    # together for being small.
+    rows = candidates.repartition(max(1, min(n_queries, parallel)), "query_id")
     alike = ["query_id", "title"] if min_distance > 0 else ["query_id", "title", "rank"]
     by_title = rows.groupBy(*alike).agg(
         F.min(best).alias("best"), F.max(best).alias("last"), F.count("*").alias("n")
@@ -117,8 +113,7 @@ def _take_from_chunk(chunks: DataFrame, k: int, min_distance: float, chunk: int)
     )
 
 
-def _remaining(scores: DataFrame, titles: DataFrame, state: DataFrame, small: bool,
-               min_distance: float) -> DataFrame:
+def _remaining(pairs: DataFrame, state: DataFrame, min_distance: float) -> DataFrame:
     """The pairs of open queries after their last candidate and not near a taken title."""
     key = rank_key(F.col("score"))
     after = (key < F.col("last_key")) | (
@@ -127,12 +122,8 @@ def _remaining(scores: DataFrame, titles: DataFrame, state: DataFrame, small: bo
     rejected = F.exists(
         "taken", lambda t: too_near(t["title"], F.col("title"), min_distance)
     )
-    later = scores.join(broadcast_if(state, small), "query_id").where(after)
-    return (
-        later.join(titles.select("doc_id", "title"), "doc_id")
-        .where(~rejected)
-        .select("query_id", "doc_id", "score")
-    )
+    later = pairs.join(broadcast_if(state, is_small(state)), "query_id").where(after)
+    return later.where(~rejected).select("query_id", "doc_id", "score", "title")
 
 
 def diverse_top_k(scores: DataFrame, titles: DataFrame, n_queries: int, k: int = TOP_K,
@@ -147,18 +138,19 @@ def diverse_top_k(scores: DataFrame, titles: DataFrame, n_queries: int, k: int =
     thus taken in each round: there are at most ``k`` rounds, also where copies of one
     title fill most of a query. A round holds ``chunk + k`` titles per query.
 
-    The first round reads ``scores``. Later rounds read ``scores_of(queries)``, the scores
-    of the queries still open, by default rows of ``scores``. Titles are looked up for the
-    candidates, not for all pairs. There are at most ``n_queries * chunk`` candidates,
-    which are broadcast if that is few enough.
+    The first round reads ``scores`` and looks titles up for its candidates only. If queries
+    stay open, the scores of those, ``scores_of(queries)``, are written once with their
+    titles, and later rounds read what the round before has left. Ids are unique.
     """
-    small = n_queries * chunk <= BROADCAST_ROWS
     finished = []
 
-    def best_of(pairs: DataFrame) -> DataFrame:
-        return _chunks(top_k(pairs, chunk), titles, n_queries, small, min_distance)
+    def named(pairs: DataFrame) -> DataFrame:
+        # A candidate without a title row stays: how many there are decides if more follow.
+        return pairs.join(titles.select("doc_id", "title"), "doc_id", "left")
 
-    chunks = best_of(scores).withColumn("taken", F.slice("candidates", 1, 0))
+    chunks = _chunks(named(top_k(scores, chunk)), n_queries, min_distance).withColumn(
+        "taken", F.slice("candidates", 1, 0))
+    pairs = None
     while True:
         state = checkpointed(_take_from_chunk(chunks, k, min_distance, chunk))
         is_open = F.col("more") & (F.size("taken") < k)
@@ -166,10 +158,12 @@ def diverse_top_k(scores: DataFrame, titles: DataFrame, n_queries: int, k: int =
         still_open = state.where(is_open)
         if still_open.isEmpty():
             break
-        open_scores = scores_of(still_open.select("query_id")) if scores_of else scores
-        remaining = _remaining(open_scores, titles, still_open, small, min_distance)
+        if pairs is None:
+            pairs = named(scores_of(still_open.select("query_id")) if scores_of else scores)
+        pairs = checkpointed(_remaining(pairs, still_open, min_distance))
+        best = top_k(pairs, chunk).join(pairs.select("query_id", "doc_id", "title"), ["query_id", "doc_id"])
         chunks = still_open.select("query_id", "taken").join(
-            best_of(remaining), "query_id", "left"
+            _chunks(best, n_queries, min_distance), "query_id", "left"
         )
         chunks = chunks.withColumn(
             "candidates", F.coalesce("candidates", F.slice("taken", 1, 0))

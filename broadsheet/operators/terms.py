@@ -7,10 +7,15 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from broadsheet.cluster import broadcast_if, checkpointed, is_small
+from broadsheet.cluster import broadcast_if, checkpointed, row_bytes
 from broadsheet.functions.porter import starts, stem
 from broadsheet.functions.stopwords import ENGLISH
-from broadsheet.functions.tokens import remove_stopwords, tokenize
+from broadsheet.functions.tokens import Limits, remove_stopwords, tokenize
+
+# Tokens whose stems are looked up rather than worked out, and how long they may be: a table
+# of a few MB, broadcast.
+FREQUENT_TOKENS = 50_000
+FREQUENT_CHARS = 64
 
 
 def stem_vocabulary(tokens: DataFrame) -> DataFrame:
@@ -20,24 +25,27 @@ def stem_vocabulary(tokens: DataFrame) -> DataFrame:
     return counts.withColumn("stem", stem(F.col("token")))
 
 
-def text_to_terms(texts: DataFrame, key: str, text: str,
-                  stopwords: Iterable[str] = ENGLISH) -> DataFrame:
+def text_to_terms(texts: DataFrame, key: str, text: str, stopwords: Iterable[str] = ENGLISH,
+                  limits: Limits = Limits(), frequent: int = FREQUENT_TOKENS) -> DataFrame:
     """``(key, pos, term)``: the terms of each text, in order, repeats kept.
 
-    The vocabulary is broadcast back to the tokens if it is small. If not, both are
-    shuffled by token, where adaptive execution splits the partitions of frequent tokens.
+    A counting pass finds the most frequent tokens; their stems are broadcast, a bounded
+    table, and cover nearly every occurrence. The other tokens are stemmed where they are.
+    No token is shuffled, however large the vocabulary.
     """
-    tokens = texts.select(
-        key,
-        F.posexplode(remove_stopwords(tokenize(F.col(text)), stopwords)).alias("pos", "token"),
-    )
-    vocabulary = checkpointed(stem_vocabulary(tokens.select("token")).select("token", "stem"))
-    return tokens.join(broadcast_if(vocabulary, is_small(vocabulary)), "token").select(
-        key, "pos", F.col("stem").alias("term")
-    )
-
-
-def parse_queries(queries: DataFrame, stopwords: Iterable[str] = ENGLISH) -> DataFrame:
+    found = remove_stopwords(tokenize(F.col(text), limits), stopwords)
+    counts = texts.select(F.explode(found).alias("token")).groupBy("token").agg(
+        F.count("*").alias("n"))
+    most = counts.where(F.length("token") <= FREQUENT_CHARS).orderBy(
+        F.desc("n"), "token").limit(frequent)
+    stems = checkpointed(most.select("token", stem(F.col("token")).alias("stem")))
+    return texts.select(key, F.posexplode(found).alias("pos", "token")).join(
+        F.broadcast(stems), "token", "left"
+    ).select(key, "pos", F.coalesce("stem", stem(F.col("token"))).alias("term"))
+
+
+def parse_queries(queries: DataFrame, stopwords: Iterable[str] = ENGLISH,
+                  limits: Limits = Limits()) -> DataFrame:
     """``(query_id, pos, term, cnt)``: the terms of each query, in order, repeats kept.
 
     ``cnt`` is 1 for every term. A query of nothing but stop words has no row.
@@ -45,7 +53,7 @@ def parse_queries(queries: DataFrame, stopwords: Iterable[str] = ENGLISH) -> Dat
     tokens = queries.select(
         "query_id",
         F.posexplode(
-            remove_stopwords(tokenize(F.col("original_query")), stopwords)
+            remove_stopwords(tokenize(F.col("original_query"), limits), stopwords)
         ).alias("pos", "token"),
     )
     return tokens.select(
@@ -63,16 +71,16 @@ def query_terms(parsed: DataFrame) -> DataFrame:
 
 
 def term_starts(terms: DataFrame) -> tuple[int, list[str]]:
-    """How many rows there are, and letters that any token with one of these terms as its
+    """How many bytes the rows take, and letters that any token with one of these terms as its
     stem starts with.
 
     Three letters each at most, so at most 36 + 36^2 + 36^3 values come to the driver,
     however many terms there are.
     """
     row = terms.agg(
-        F.count("*").alias("n"), F.collect_set(starts(F.col("term"))).alias("starts")
+        F.sum(row_bytes(terms)).alias("bytes"), F.collect_set(starts(F.col("term"))).alias("starts")
     ).first()
-    return row["n"], sorted({start for group in row["starts"] for start in group})
+    return row["bytes"] or 0, sorted({start for group in row["starts"] for start in group})
 
 
 def keep_possible_tokens(tokens: DataFrame, starts: list[str]) -> DataFrame:

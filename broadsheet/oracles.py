@@ -110,8 +110,21 @@ _DPH = f"""
          + 0.5 * log2(2 * pi() * tf * (1 - f)))
     END"""
 
-_NEAR = """CASE WHEN abs(a.n - x[1].n) >= 0.5 * greatest(a.n, x[1].n) THEN false
-                ELSE levenshtein(a.t, x[1].t) < 0.5 * greatest(a.n, x[1].n) END"""
+def _near(distance: float) -> str:
+    longer = "greatest(a.n, x[1].n)"
+    return f"""CASE WHEN abs(a.n - x[1].n) / {longer} >= {distance} THEN false
+                ELSE levenshtein(a.t, x[1].t) / {longer} < {distance} END"""
+
+
+def _taken(k: int, distance: float) -> str:
+    return f"""
+        SELECT query_id, list_reduce(
+                 list_transform(c, lambda x: [x]),
+                 lambda acc, x: CASE WHEN len(acc) >= {k} THEN acc
+                   WHEN len(list_filter(acc, lambda a: {_near(distance)})) > 0 THEN acc
+                   ELSE list_concat(acc, x) END) AS entries
+        FROM candidates"""
+
 
 _TABLES = {
     "articles": """
@@ -182,13 +195,7 @@ _TABLES = {
         SELECT query_id, list(struct_pack(doc_id := doc_id, score := score, n := length(title),
                  t := translate(title, '{_ACCENTED}', {_CONTROL})) ORDER BY rank) AS c
         FROM ranked JOIN titled USING (doc_id) GROUP BY query_id""",
-    "taken": f"""
-        SELECT query_id, list_reduce(
-                 list_transform(c, lambda x: [x]),
-                 lambda acc, x: CASE WHEN len(acc) >= 10 THEN acc
-                   WHEN len(list_filter(acc, lambda a: {_NEAR})) > 0 THEN acc
-                   ELSE list_concat(acc, x) END) AS entries
-        FROM candidates""",
+    "taken": _taken(10, 0.5),
     "diverse": """
         SELECT query_id, rank, entry.doc_id AS doc_id, entry.score AS score
         FROM (SELECT query_id, unnest(entries) AS entry,
@@ -208,7 +215,8 @@ _NEEDS = {
 }
 
 
-def _sql(needs: list[str], select: str) -> str:
+def _sql(needs: list[str], select: str, **instead: str) -> str:
+    """A query with the tables it needs, some of them defined otherwise ``instead``."""
     wanted: set[str] = set()
 
     def add(name: str) -> None:
@@ -219,7 +227,8 @@ def _sql(needs: list[str], select: str) -> str:
 
     for name in needs:
         add(name)
-    parts = [f"{name} AS MATERIALIZED ({_TABLES[name]})" for name in _TABLES if name in wanted]
+    parts = [f"{name} AS MATERIALIZED ({instead.get(name, _TABLES[name])})"
+             for name in _TABLES if name in wanted]
     return (f"WITH {', '.join(parts)} " if parts else "") + select
 
 
@@ -285,11 +294,17 @@ ORACLES = {
         FROM top a JOIN top b ON a.query_id = b.query_id AND b.rank = 1
         WHERE a.rank > 1"""),
     "rank_by_score": _sql(
-        ["ranked"], "SELECT query_id, doc_id, CAST(rank AS INTEGER) AS rank FROM ranked"
+        ["ranked"], "SELECT query_id, doc_id, CAST(rank AS BIGINT) AS rank FROM ranked"
     ),
     "top10_plain": _sql(["ranked"], """
         SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(score, 6) AS score
         FROM ranked WHERE rank <= 10"""),
+    "top2000_plain": _sql(["ranked"], """
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(score, 6) AS score
+        FROM ranked WHERE rank <= 2000"""),
+    "diverse_far_titles": _sql(["diverse"], """
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(score, 6) AS score
+        FROM diverse""", taken=_taken(25, 0.9)),
     "top10_diverse": _sql(["diverse"], """
         SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(score, 6) AS score
         FROM diverse"""),
@@ -305,6 +320,18 @@ ORACLES = {
                  AS doc_ids
         FROM queries q LEFT JOIN diverse d ON d.query_id = q.query_id
         GROUP BY q.query_id"""),
+    "word_rankings": _sql(["diverse", "queries"], """
+        SELECT q.query_id AS word, CAST(count(d.doc_id) AS INTEGER) AS n_results,
+               coalesce(string_agg(CAST(d.doc_id AS VARCHAR), ',' ORDER BY d.rank), '')
+                 AS doc_ids
+        FROM queries q LEFT JOIN diverse d ON d.query_id = q.query_id
+        GROUP BY q.query_id""", queries=f"""
+        SELECT DISTINCT word AS query_id, word AS original_query FROM (
+          SELECT unnest(regexp_extract_all(
+            translate(text, '{_UPPER}', '{_LETTERS}'), '[a-z0-9]+')) AS word FROM benchmark)"""),
+    "written_rankings": _sql(["diverse", "queries"], """
+        SELECT q.query_id, true AS names_query, CAST(count(d.doc_id) AS INTEGER) AS n_results
+        FROM queries q LEFT JOIN diverse d ON d.query_id = q.query_id GROUP BY q.query_id"""),
     "ranking_text": _sql(["diverse", "queries"], """
         SELECT q.query_id, q.original_query || chr(10) || coalesce(string_agg(
                  '  ' || d.rank || ':' || d.doc_id || ' ' || printf('%.6f', round(d.score, 6))

@@ -9,10 +9,13 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.cluster import BROADCAST_ROWS, broadcast_if, is_small
+from broadsheet.cluster import BROADCAST_BYTES, broadcast_if, checkpointed, is_small
 from broadsheet.functions.stopwords import ENGLISH
+from broadsheet.functions.tokens import Limits
 from broadsheet.operators import ranking, scoring, stats, terms
-from broadsheet.operators.articles import article_tokens, index_texts, one_per_id
+from broadsheet.operators.articles import (
+    article_tokens, articles_with_title, index_texts, one_per_id,
+)
 from broadsheet.operators.indexing import spread
 from broadsheet.sinks.rankings import write_rankings
 from broadsheet.sources.articles import read_articles
@@ -37,8 +40,8 @@ class Corpus:
     n_queries: int
     _kept: list[DataFrame] = field(default_factory=list)
 
-    def term_frequency(self) -> DataFrame:
-        return stats.term_frequency(self.tokens, self.surfaces, self.surfaces_small)
+    def term_frequency(self, *carry: str) -> DataFrame:
+        return stats.term_frequency(self.tokens, self.surfaces, self.surfaces_small, carry)
 
     def corpus_stats(self) -> DataFrame:
         return stats.corpus_stats(self.tokens)
@@ -81,11 +84,12 @@ class Corpus:
 
 
 def prepare(articles: DataFrame, queries: DataFrame, stopwords: Iterable[str] = ENGLISH,
-            partitions: int | None = None) -> Corpus:
+            partitions: int | None = None, limits: Limits = Limits()) -> Corpus:
     """Tokenise the articles and match their tokens with the terms of the queries.
 
     ``partitions`` spreads the index texts before the work on them; see ``rank_documents``.
-    The tables of the result are kept in memory and on disk until ``release``.
+    The tables of the result are kept in memory and on disk until ``release``; on an error
+    they are released at once. Articles without an id, or with the same one, are an error.
     """
     stopwords = list(stopwords)
     kept = []
@@ -94,41 +98,36 @@ def prepare(articles: DataFrame, queries: DataFrame, stopwords: Iterable[str] =
         kept.append(df.persist())
         return kept[-1]
 
-    query_terms = keep(terms.query_terms(terms.parse_queries(queries, stopwords)))
-    n_terms, starts = terms.term_starts(query_terms)
-    terms_small = n_terms <= BROADCAST_ROWS
-
-    texts = index_texts(articles)
-    if partitions:
-        texts = spread(texts, partitions)
-    tokens = terms.keep_possible_tokens(article_tokens(texts, stopwords), starts)
-    tokens = keep(tokens.repartition("doc_id"))
-
-    surfaces = keep(terms.surface_forms(tokens, query_terms, terms_small))
-    return Corpus(
-        tokens, query_terms, surfaces, terms_small, is_small(surfaces), queries.count(), kept
-    )
+    try:
+        query_terms = keep(terms.query_terms(terms.parse_queries(queries, stopwords, limits)))
+        n_bytes, starts = terms.term_starts(query_terms)
+        terms_small = n_bytes <= BROADCAST_BYTES
+
+        texts = index_texts(articles)
+        if partitions:
+            texts = spread(texts, partitions)
+        tokens = terms.keep_possible_tokens(article_tokens(texts, stopwords, limits), starts)
+        tokens = keep(tokens.repartition("doc_id"))
+        stats.check_ids(tokens)
+
+        surfaces = keep(terms.surface_forms(tokens, query_terms, terms_small))
+        return Corpus(
+            tokens, query_terms, surfaces, terms_small, is_small(surfaces), queries.count(), kept
+        )
+    except BaseException:
+        for df in kept:
+            df.unpersist()
+        raise
 
 
 def with_articles(entries: DataFrame, articles: DataFrame, small: bool) -> DataFrame:
-    """``(query_id, rank, doc_id, score, article)``: the full article of each entry.
-
-    Entries that may be broadcast (``small``) filter the articles where they are read. If
-    several articles have the id of an entry, the job fails. They are counted before they
-    are shuffled, so it does not matter how many there are.
-    """
+    """``(query_id, rank, doc_id, score, article)``: the full article of each entry. Entries
+    that may be broadcast (``small``) filter the articles where they are read. Articles have
+    a title and ids that are unique among those."""
     article = F.struct(*[F.col(c) for c in articles.columns if c != "doc_id"])
-    found = broadcast_if(entries, small).join(
-        articles.select("doc_id", article.alias("article")), "doc_id"
-    )
-    merged = found.groupBy("query_id", "rank", "doc_id", "score").agg(
-        F.count("*").alias("n"), F.first("article").alias("article")
-    )
-    message = F.concat(F.lit("several articles have the id "), F.col("doc_id").cast("string"))
-    unique = F.when(F.col("n") == 1, F.lit(True)).otherwise(
-        F.raise_error(message).cast("boolean")
-    )
-    return merged.where(unique).select("query_id", "rank", "doc_id", "score", "article")
+    return broadcast_if(entries, small).join(
+        articles_with_title(articles).select("doc_id", article.alias("article")), "doc_id"
+    ).select("query_id", "rank", "doc_id", "score", "article")
 
 
 def document_rankings(queries: DataFrame, entries: DataFrame) -> DataFrame:
@@ -149,7 +148,8 @@ def document_rankings(queries: DataFrame, entries: DataFrame) -> DataFrame:
 def rank_documents(articles: DataFrame, queries: DataFrame, k: int = ranking.TOP_K,
                    min_distance: float = ranking.MIN_DISTANCE,
                    stopwords: Iterable[str] = ENGLISH, partitions: int | None = None,
-                   duplicates: str = "error", chunk: int = ranking.CHUNK) -> DataFrame:
+                   duplicates: str = "error", missing_ids: str = "error",
+                   chunk: int = ranking.CHUNK, limits: Limits = Limits()) -> DataFrame:
     """Rank the articles for each query: ``(query_id, original_query, results)``.
 
     ``articles`` has ``title``, ``contents`` and a unique ``doc_id`` (``id`` if there is
@@ -160,28 +160,32 @@ def rank_documents(articles: DataFrame, queries: DataFrame, k: int = ranking.TOP
     are tokenised: for a source with fewer splits than cores. By default they stay where
     their source put them, as shuffling the text of a large corpus costs more than it gains.
 
-    Several articles with one id fail the job if a query ranks them; ``duplicates="drop"``
-    takes one article of each id instead. ``chunk`` is how many candidates of a query the
-    choice of distant titles looks at in one round; it does not change the result.
+    Several articles with one id, ranked or not, are an error; ``duplicates="drop"`` takes
+    one article of each id instead. So are articles without an id; ``missing_ids="drop"``
+    leaves them out of everything. ``chunk`` is how many candidates of a query the choice of
+    distant titles looks at in one round; it does not change the result. ``limits`` says
+    what the tokeniser drops; ``NO_LIMITS`` keeps everything.
     """
-    if duplicates not in ("error", "drop"):
-        raise ValueError(f"duplicates must be error or drop, not {duplicates!r}")
+    for name, value in (("duplicates", duplicates), ("missing_ids", missing_ids)):
+        if value not in ("error", "drop"):
+            raise ValueError(f"{name} must be error or drop, not {value!r}")
     if "doc_id" not in articles.columns:
         articles = articles.withColumn("doc_id", F.col("id"))
+    if missing_ids == "drop":
+        articles = articles.where(F.col("doc_id").isNotNull())
     if duplicates == "drop":
-        articles = one_per_id(articles)
-    queries = unique_queries(queries).persist()
-    corpus = prepare(articles, queries, stopwords, partitions)
+        articles = one_per_id(articles_with_title(articles))
+    # Read and numbered once: a second reading might find other files, and other numbers.
+    queries = checkpointed(unique_queries(queries))
+    corpus = prepare(articles, queries, stopwords, partitions, limits)
     try:
-        entries = ranking.diverse_top_k(
+        entries = checkpointed(ranking.diverse_top_k(
             corpus.scores(), corpus.tokens, corpus.n_queries, k, min_distance, chunk,
             scores_of=corpus.scores,
-        )
+        ))
     finally:
         corpus.release()
-        queries.unpersist()
-    small = corpus.n_queries * k <= BROADCAST_ROWS
-    return document_rankings(queries, with_articles(entries, articles, small))
+    return document_rankings(queries, with_articles(entries, articles, is_small(entries)))
 
 
 def rank_files(spark: SparkSession, query_path: str, article_path: str, out: str,

@@ -24,6 +24,14 @@ def _article_struct(date_type: T.DataType) -> T.StructType:
 
 ARTICLE = _article_struct(T.LongType())
 
+# The text fields as whatever they are in a line, to tell objects and arrays from text.
+TEXT_FIELDS = tuple(name for name in ARTICLE_FIELDS if name != "contents")
+ARTICLE_SHAPE = T.StructType([
+    *[T.StructField(name, T.VariantType()) for name in TEXT_FIELDS],
+    T.StructField("contents", T.ArrayType(T.StructType(
+        [T.StructField(name, T.VariantType()) for name in CONTENT_FIELDS]))),
+])
+
 # As found in a JSON line. The date is read as text first, so that "1325376562000" and
 # 1325376562000 give the same number. A line that does not fit goes into the last field.
 MALFORMED = "_malformed"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,20 +28,27 @@ def ranking_text(rankings: DataFrame, score: "callable" = lambda s: s.cast("stri
 def write_rankings(rankings: DataFrame, folder: str, form: str = "text") -> str:
     """Write the rankings into a new folder under ``folder``, named by the time.
 
-    ``text`` writes a sub-folder per query, ``query_name=<query with "_" for spaces>``,
-    with the ranking as one text file; Spark escapes characters that no path may hold.
-    ``parquet`` writes the rows as they are. Returns the path; a failure is an error.
+    ``text`` writes ``rankings``, with a sub-folder ``query_id=<id>`` per query that holds its
+    ranking as one text file, and ``queries``, a Parquet table of ids and query texts: a
+    query may be of any length and hold any character. ``parquet`` writes the rows as they
+    are. Returns the path; a failure is an error.
     """
     path = f"{folder.rstrip('/')}/{datetime.now():%Y%m%d-%H%M%S-%f}"
     if form == "text":
         # The writer ends each row with a line break, so the body goes without its last.
         body = F.regexp_replace("body", "\n$", "")
-        name = F.replace("original_query", F.lit(" "), F.lit("_"))
-        ranking_text(rankings).select(body.alias("value"), name.alias("query_name")).repartition(
-            "query_name"
-        ).write.partitionBy("query_name").text(path)
+        ranking_text(rankings).select(body.alias("value"), "query_id").repartition(
+            "query_id"
+        ).write.partitionBy("query_id").text(f"{path}/rankings")
+        rankings.select("query_id", "original_query").write.parquet(f"{path}/queries")
     elif form == "parquet":
         rankings.write.parquet(path)
     else:
         raise ValueError(f"form must be text or parquet, not {form!r}")
     return path
+
+
+def read_ranking_texts(spark: SparkSession, path: str) -> DataFrame:
+    """``(query_id, body)``: the text files of ``write_rankings``, whole."""
+    return spark.read.text(f"{path}/rankings", wholetext=True).select(
+        F.col("query_id").cast("long").alias("query_id"), F.col("value").alias("body"))

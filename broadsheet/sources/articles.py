@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.schema import ARTICLE, ARTICLE_FIELDS, ARTICLE_LINE, MALFORMED
+from broadsheet.schema import (
+    ARTICLE, ARTICLE_FIELDS, ARTICLE_LINE, ARTICLE_SHAPE, CONTENT_FIELDS, MALFORMED, TEXT_FIELDS,
+)
 from broadsheet.sources.lines import scan_lines
 
 MODES = ("failfast", "permissive", "drop")
@@ -16,6 +21,20 @@ def _unknown_fields(line: Column) -> Column:
     return F.array_except(F.json_object_keys(line), known)
 
 
+def _structure_as_text(line: Column) -> Column:
+    """Whether a text field of a line, or of a content item, holds an object or an array.
+    Numbers and booleans count as text."""
+
+    def structured(value: Column) -> Column:
+        return F.coalesce(F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)"), F.lit(False))
+
+    shape = F.from_json(line, ARTICLE_SHAPE)
+    in_items = F.exists(shape["contents"], lambda item: reduce(
+        or_, [structured(item[name]) for name in CONTENT_FIELDS]))
+    return reduce(or_, [structured(shape[name]) for name in TEXT_FIELDS]) | F.coalesce(
+        in_items, F.lit(False))
+
+
 def _date(text: Column) -> Column:
     """A whole or decimal number as a long; 0 where the article has none."""
     return F.coalesce(text.try_cast("decimal(38,6)").try_cast("bigint"), F.lit(0).cast("bigint"))
@@ -35,12 +54,14 @@ def check_article_lines(lines: DataFrame) -> DataFrame:
             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED},
         ).alias("article"),
         _unknown_fields(F.col("value")).alias("unknown"),
+        _structure_as_text(F.col("value")).alias("structured"),
     )
     date = F.col("article.published_date")
     malformed = (
         F.col("article").isNull()
         | F.col(f"article.{MALFORMED}").isNotNull()
         | F.col("unknown").isNull()
+        | F.col("structured")
         | (date.isNotNull() & date.try_cast("decimal(38,6)").isNull())
     )
     fields = [

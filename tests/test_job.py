@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from broadsheet import rank_documents, rank_files
 from broadsheet.functions.stopwords import ENGLISH
+from broadsheet.functions.tokens import NO_LIMITS
 from broadsheet.plans import ranking_job
+from broadsheet.sinks.rankings import read_ranking_texts, write_rankings
 from broadsheet.sources.articles import parse_articles
 from broadsheet.sources.queries import read_queries
 
@@ -74,12 +76,20 @@ def test_whole_job_against_the_plain_model(spark, partitions, spread):
 
 def test_without_broadcasts(spark, monkeypatch):
     import broadsheet.cluster
-    monkeypatch.setattr(broadsheet.cluster, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(ranking_job, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(broadsheet.cluster, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(ranking_job, "BROADCAST_BYTES", -1)
     articles = corpus()
     same(results(rank_documents(*frames(spark, articles, QUERIES))), rank(articles, QUERIES))
 
 
+def test_broadcasts_go_by_bytes(spark, monkeypatch):
+    import broadsheet.cluster
+    few = spark.createDataFrame([(1, "x" * 5000, ["y" * 3000])], "a long, b string, c array<string>")
+    monkeypatch.setattr(broadsheet.cluster, "BROADCAST_BYTES", 8000)
+    assert not broadsheet.cluster.is_small(few)
+    assert broadsheet.cluster.is_small(few.select("a", "b")) and broadsheet.cluster.is_small(few.where("false"))
+
+
 def test_other_k_and_distance(spark):
     articles = corpus()
     found = rank_documents(*frames(spark, articles, QUERIES), k=3, min_distance=0.2)
@@ -117,14 +127,66 @@ def test_two_articles_with_one_id(spark):
     articles = [{"id": "a", "title": "rain storm", "contents": []},
                 {"id": "b", "title": "sunny day", "contents": []},
                 {"id": "b", "title": "wind and snow", "contents": []}]
-    # An id that no query ranks does no harm.
-    assert results(rank_documents(*frames(spark, articles, ["rain"])))["rain"][0][0] == "a"
-    with pytest.raises(Exception, match="several articles have the id b"):
-        rank_documents(*frames(spark, articles, ["sunny"])).collect()
+    # It does not matter whether a query ranks it: its scores would be added up.
+    for query in ("rain", "sunny"):
+        with pytest.raises(ValueError, match="2 articles have the id b"):
+            rank_documents(*frames(spark, articles, [query]))
     found = rank_documents(*frames(spark, articles, ["sunny"]), duplicates="drop").collect()
     assert [x.doc_id for x in found[0].results] == ["b"]
 
 
+def test_an_id_shared_with_an_untitled_article(spark):
+    articles = [{"id": "a", "title": "rain storm", "contents": []},
+                {"id": "a", "title": "", "contents": []}]
+    for option in ("error", "drop"):
+        found = results(rank_documents(*frames(spark, articles, ["storm"]), duplicates=option))
+        assert [d for d, _ in found["storm"]] == ["a"]
+
+
+def test_articles_without_an_id(spark):
+    titles = ["rain on one hill", "rain above two towns", "seven rain clouds", "a rain of frogs",
+              "rain tomorrow morning", "late rain"]
+    articles = [{"id": None if i == 5 else f"a{i}", "title": t, "contents": []}
+                for i, t in enumerate(titles)]
+    articles += [{"id": f"z{i}", "title": "sun " * (i + 1), "contents": []} for i in range(9)]
+    with pytest.raises(ValueError, match="1 articles have no id"):
+        rank_documents(*frames(spark, articles, ["rain"]), k=4, chunk=2)
+    found = rank_documents(*frames(spark, articles, ["rain"]), k=4, chunk=2, missing_ids="drop")
+    same(results(found), rank([a for a in articles if a["id"]], ["rain"], 4))
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_nothing_stays_persisted_after_a_failure(spark, tmp_path):
+    write(tmp_path, corpus(40), ["rain"])
+    with open(tmp_path / "articles.json", "a") as file:
+        file.write("no article\n")
+    with pytest.raises(Exception, match="malformed line"):
+        rank_files(spark, str(tmp_path / "queries.txt"), str(tmp_path / "articles.json"), str(tmp_path / "out"))
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_any_query_has_its_file(spark, tmp_path):
+    long = " ".join(f"rain{i}" for i in range(60))
+    queries = ["flood word", "flood_word", "flood/word", "", long, long + "x"]
+    frame = spark.createDataFrame(list(enumerate(queries)), "query_id long, original_query string")
+    articles, _ = frames(spark, corpus(40), ["rain"])
+    path = write_rankings(rank_documents(articles, frame), str(tmp_path))
+    names = {r.query_id: r.original_query for r in spark.read.parquet(f"{path}/queries").collect()}
+    assert names == dict(enumerate(queries))
+    bodies = {r.query_id: r.body for r in read_ranking_texts(spark, path).collect()}
+    assert {i: body.split("\n")[0] for i, body in bodies.items()} == names
+
+
+def test_limits_of_tokens_are_an_argument(spark):
+    articles = [{"id": "a", "title": "call 123456 now", "contents": []},
+                {"id": "b", "title": "zzzzz sleep", "contents": []},
+                {"id": "c", "title": "nothing here", "contents": []}]
+    asked = ["123456", "zzzzz"]
+    assert results(rank_documents(*frames(spark, articles, asked))) == {"123456": [], "zzzzz": []}
+    found = results(rank_documents(*frames(spark, articles, asked), limits=NO_LIMITS))
+    assert {q: [d for d, _ in rows] for q, rows in found.items()} == {"123456": ["a"], "zzzzz": ["b"]}
+
+
 def test_files_in_and_out(spark, tmp_path):
     articles = corpus()
     write(tmp_path, articles, QUERIES)
@@ -132,12 +194,11 @@ def test_files_in_and_out(spark, tmp_path):
                      str(tmp_path / "new" / "out"))
     expected = rank(articles, QUERIES)
     titles = {a["id"]: a["title"] for a in articles}
-    folders = {p.name: p for p in Path(out).iterdir() if p.is_dir()}
-    assert len(folders) == len(expected)
-    assert "query_name=market_shares%2Fbanks" in folders
+    ids = {r.original_query: r.query_id for r in spark.read.parquet(f"{out}/queries").collect()}
+    folders = {p.name: p for p in (Path(out) / "rankings").iterdir() if p.is_dir()}
+    assert len(folders) == len(expected) == len(ids)
     for query, entries in expected.items():
-        name = "query_name=" + query.replace(" ", "_").replace("/", "%2F")
-        (part,) = folders[name].glob("part-*")
+        (part,) = folders[f"query_id={ids[query]}"].glob("part-*")
         lines = part.read_text().splitlines()
         assert lines[0] == query
         assert len(lines) == 1 + len(entries)

@@ -4,6 +4,7 @@ import pytest
 from plain_model import edit_distance, greedy
 from pyspark.sql import functions as F
 
+import broadsheet.cluster
 from broadsheet.operators import indexing, ranking
 
 SCORES = "query_id long, doc_id long, score double"
@@ -64,7 +65,7 @@ def test_one_candidate_per_round(spark):
 def test_without_broadcasts(spark, monkeypatch):
     pairs, titles = random_pairs()
     expected = diverse(spark, pairs, titles)
-    monkeypatch.setattr(ranking, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(broadsheet.cluster, "BROADCAST_BYTES", -1)
     assert diverse(spark, pairs, titles, chunk=20) == expected
 
 
@@ -96,6 +97,32 @@ def test_equal_scores_go_by_id_and_negative_scores_rank(spark):
     assert [(r.query_id, r.rank, r.doc_id) for r in rows] == [(1, 1, 2), (1, 2, 3), (2, 1, 5)]
 
 
+@pytest.mark.parametrize("k", [10, 1000, 1001, 5000])
+def test_queries_are_cut_before_they_meet_in_a_task(spark, k):
+    scores, _ = tables(spark, [(q, d, float(d % 97)) for q in range(2) for d in range(7000)], {1: ""})
+    top = ranking.top_k(scores, k)
+    plan = top._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    # From the end of the plan to its start: the shuffle by query comes after the cut by part.
+    by_query = plan.index("Exchange hashpartitioning(query_id#", 0)
+    by_part = plan.index("_part#", by_query)
+    assert plan.index("Filter", by_query) < plan.index("Exchange hashpartitioning(query_id#", by_query + 1)
+    assert by_query < by_part
+    ranks = [(r.rank, r.doc_id) for r in top.where("query_id = 1").orderBy("rank").collect()]
+    expected = sorted(range(7000), key=lambda d: (-(d % 97), d))[:k]
+    assert ranks == [(i + 1, d) for i, d in enumerate(expected)]
+
+
+def test_long_titles_are_not_broadcast(spark, monkeypatch):
+    hints = []
+    keep = ranking.broadcast_if
+    monkeypatch.setattr(ranking, "broadcast_if", lambda df, small: hints.append(small) or keep(df, small))
+    monkeypatch.setattr(broadsheet.cluster, "BROADCAST_BYTES", 150_000)
+    titles = {d: chr(97 + d) * 5000 for d in range(20)}
+    pairs = [(1, d, 20.0 - d) for d in titles]
+    assert diverse(spark, pairs, titles, k=20, chunk=3) == {1: list(titles)}
+    assert hints[0] and not hints[-1]
+
+
 @pytest.mark.parametrize("partitions", [1, 5])
 def test_ranks_over_many_partitions(spark, partitions):
     rng = random.Random(5)

@@ -82,3 +82,17 @@ def test_queries_are_distinct_and_in_file_order(spark, tmp_path):
     path.write_text("rain\nflood\nrain\n\nsun\n")
     rows = read_queries(spark, str(path)).orderBy("query_id").collect()
     assert [r.original_query for r in rows] == ["rain", "flood", "", "sun"]
+
+
+@pytest.mark.parametrize("line", [
+    '{"id":{"x":1},"title":"t"}', '{"id":"a","title":["t"]}', '{"title":"t","source":{}}',
+    '{"title":"t","contents":[{"content":{"a":[1]}}]}', '{"title":"t","contents":[null,{"kicker":[]}]}',
+])
+def test_a_structure_is_no_text(spark, line):
+    good = '{"id":5,"title":"{no object","contents":[{"content":"[1]","unknown":{"x":1}},{"kicker":true}]}'
+    lines = spark.createDataFrame([(line,), (good,)], "value string")
+    assert [r.title for r in parse_articles(lines, "drop").collect()] == ["{no object"]
+    (bad,) = bad_article_lines(lines).collect()
+    assert (bad.value, bad.problem) == (line, "malformed line")
+    with pytest.raises(Exception, match="malformed line"):
+        parse_articles(lines).collect()

@@ -121,6 +121,11 @@ def test_only_tokens_that_cannot_match_are_left_out(spark):
 
 def test_text_to_terms_keeps_order_and_repeats(spark):
     df = spark.createDataFrame([(1, "The floods, flooding; a flood"), (2, "the")], "id int, t string")
-    rows = text_to_terms(df, "id", "t").orderBy("id", "pos").collect()
+    found = text_to_terms(df, "id", "t")
+    # Only counts of tokens are shuffled, for the table of frequent ones.
+    assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    rows = found.orderBy("id", "pos").collect()
+    rare = text_to_terms(df, "id", "t", frequent=1).orderBy("id", "pos").collect()
+    assert rare == rows
     assert [tuple(r) for r in rows] == [(1, 0, "flood"), (1, 1, "flood"), (1, 2, "flood")]
     assert "the" in STOP
