@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Entries of a shard: some 100 MB. A larger table is used shard by shard, each with a pass
@@ -37,3 +37,8 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
     return at, keys[at] == wanted
+
+
+def text_key() -> Column:
+    """``text_key``: a hash that no two different texts share. A null text is an empty one."""
+    return F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256).alias("text_key")

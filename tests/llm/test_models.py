@@ -181,3 +181,26 @@ def test_quality_odd_rows(spark, odd_docs, no_docs):
     assert len(rows) == odd_docs.count() and all(r["perplexity"] >= 1 for r in rows)
     assert all(r["kept"] for r in quality.classify(odd_docs, labels.where("false")).collect())
     assert quality.classify(no_docs, labels).count() == 0
+
+
+def test_quality_thresholds_from_texts_not_trained_on(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    trained, train = [], quality.train
+    monkeypatch.setattr(quality, "train", lambda texts: (
+        trained.extend(r["text"] for r in texts.collect()), train(texts))[1])
+    rows = {r["doc_id"]: r for r in quality.classify(docs, labels).collect()}
+    good = {r["doc_id"] for r in labels.where("quality = 1").collect()}
+    texts = defaultdict(set)
+    held = defaultdict(list)
+    for d in docs.where(docs["doc_id"].isin(*good)).collect():
+        texts[d["lang"]].add(d["text"])
+        if d["text"] not in trained:
+            held[d["lang"]].append(rows[d["doc_id"]])
+    assert len(trained) == len(set(trained)) and trained
+    for lang, own in texts.items():
+        assert abs(2 * len(own & set(trained)) - len(own)) <= 1
+        limits = {r["threshold"] for r in held[lang]}
+        assert len(limits) == 1 and limits <= {r["perplexity"] for r in held[lang]}
+    unseen = [r["kept"] for own in held.values() for r in own]
+    assert np.mean(unseen) > 0.98
