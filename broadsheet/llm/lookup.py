@@ -42,3 +42,20 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def text_key() -> Column:
     """``text_key``: a hash that no two different texts share. A null text is an empty one."""
     return F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256).alias("text_key")
+
+
+def added_up(parts: list[DataFrame], keys: list[str]) -> DataFrame:
+    """The sums of the other columns over the parts, for every row of the input. Each part has
+    one row per input row; rows alike in ``keys`` have equal values in each part, so their
+    mean is that of any of them, and as many rows come out as went in."""
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.union(part)
+    copies = F.expr(f"_rows div {len(parts)}")
+    values = [f for f in every.schema.fields if f.name not in keys]
+    sums = every.groupBy(*keys).agg(
+        F.count("*").alias("_rows"), *[F.sum(f.name).alias(f.name) for f in values])
+    means = sums.select(*keys, copies.alias("_copies"), *[
+        (F.col(f.name) / copies).cast(f.dataType).alias(f.name) for f in values])
+    copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
+    return means.withColumn("_copy", copy).select(*every.columns)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.lookup import find, shards
+from broadsheet.llm.lookup import added_up, find, shards, text_key
 from broadsheet.llm.scratch import free_shuffles, written
 from broadsheet.llm.textarrays import Hasher, ragged, signed, text_slices, totals, word_spans
 
@@ -176,9 +176,10 @@ def _part(batch: pa.RecordBatch, first: int, end: int, **values: np.ndarray) ->
     zero, none = np.zeros(n), np.zeros(n, np.int64)
     return pa.RecordBatch.from_arrays([
         batch.column("doc_id").slice(first, n), batch.column("held_out").slice(first, n),
+        batch.column("text_key").slice(first, n),
         pa.array(values.get("score", zero)), pa.array(values.get("base_score", zero)),
         pa.array(values.get("n_tokens", none)), pa.array(values.get("n_known", none)),
-    ], names=["doc_id", "held_out", "score", "base_score", "n_tokens", "n_known"])
+    ], names=["doc_id", "held_out", "text_key", "score", "base_score", "n_tokens", "n_known"])
 
 
 def score_texts(docs: DataFrame, order: int = ORDER, held_out: tuple[int, int] = HELD_OUT) -> DataFrame:
@@ -189,10 +190,10 @@ def score_texts(docs: DataFrame, order: int = ORDER, held_out: tuple[int, int] =
     with half a count added. Both learn from the documents that are not held out.
 
     ``docs`` has ``doc_id`` and ``text``; other columns are ignored. A null text is empty and
-    has the end alone. A row without an id is never held out. Rows that share an id are added
-    up as one document's (repeated rows of an id would count it twice), so ids should be
-    unique; ``distinct()`` them first where they are not. An empty table gives no rows;
-    without training documents all bytes are alike.
+    has the end alone. A row without an id is never held out. Every row has its own result,
+    also where ids repeat or are null; repeated rows give the same row each, and count as often
+    as they are there in the training. An empty table gives no rows; without training documents
+    all bytes are alike.
     """
     remainder, divisor = held_out
     spark = docs.sparkSession
@@ -200,6 +201,7 @@ def score_texts(docs: DataFrame, order: int = ORDER, held_out: tuple[int, int] =
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
         F.coalesce(F.crc32(F.col("doc_id").cast("long").cast("string")) % divisor == remainder,
                    F.lit(False)).alias("held_out"))
+    keyed = texts.withColumn("text_key", text_key())
     counts = written(texts.mapInArrow(_count_rows(order), "kind long, key long, n long").groupBy(
         "kind", "key").agg(F.sum("n").alias("n")), "counts")
     free_shuffles(spark)
@@ -210,15 +212,11 @@ def score_texts(docs: DataFrame, order: int = ORDER, held_out: tuple[int, int] =
     prices = written(trie_prices(counts.where("kind = 0").select("key", "n"), order), "prices")
     free_shuffles(spark)
 
-    schema = "doc_id long, held_out boolean, score double, base_score double, n_tokens long, n_known long"
-    parts = [texts.mapInArrow(_price_rows(order, shard), schema) for shard in shards(prices)]
-    parts += [texts.mapInArrow(_base_rows(shard, ends, total, kinds, i == 0), schema)
+    schema = ("doc_id long, held_out boolean, text_key string, score double, base_score double, "
+              "n_tokens long, n_known long")
+    parts = [keyed.mapInArrow(_price_rows(order, shard), schema) for shard in shards(prices)]
+    parts += [keyed.mapInArrow(_base_rows(shard, ends, total, kinds, i == 0), schema)
               for i, shard in enumerate(shards(words))]
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.union(part)
-    return every.groupBy("doc_id", "held_out").agg(
-        F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
-        F.sum("base_score").alias("base_score"), F.sum("score").alias("score"),
-    ).select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
-             "base_score", "score")
+    return added_up(parts, ["doc_id", "held_out", "text_key"]).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
+        "base_score", "score")

@@ -204,3 +204,37 @@ def test_quality_thresholds_from_texts_not_trained_on(spark, monkeypatch):
         assert len(limits) == 1 and limits <= {r["perplexity"] for r in held[lang]}
     unseen = [r["kept"] for own in held.values() for r in own]
     assert np.mean(unseen) > 0.98
+
+
+@pytest.fixture
+def unnamed_docs(spark, odd_docs):
+    """Odd rows, with different texts without an id and repeated rows."""
+    more = [(None, "another row without an id"), (None, "a third one"), (None, "a third one"), (None, None)]
+    return odd_docs.select("doc_id", "text", "lang").unionByName(
+        spark.createDataFrame([(*r, "en") for r in more], "doc_id long, text string, lang string"))
+
+
+def test_every_row_has_its_quality(unnamed_docs, small_docs, monkeypatch):
+    model, unknown = quality.train(small_docs.where("doc_id < 12").select("text"))
+
+    def scored(entries):
+        monkeypatch.setattr(quality, "SHARD_ENTRIES", entries)
+        rows = quality.perplexities(unnamed_docs, model, unknown).collect()
+        return sorted(((r["doc_id"] or 0, r["n_tokens"], r["log10_prob"], r["lang"] or "") for r in rows),
+                      key=lambda r: (r[0], r[3], r[1], r[2]))
+
+    whole, parts = scored(4_000_000), scored(500)
+    assert len(whole) == len(parts) == unnamed_docs.count()
+    for a, b in zip(whole, parts):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-9) and a[3] == b[3]
+
+
+@pytest.mark.parametrize("entries", [4_000_000, 300])
+def test_every_row_has_its_score(unnamed_docs, monkeypatch, entries):
+    monkeypatch.setattr(lookup.shards, "__defaults__", ("key", None, entries))
+    docs = unnamed_docs.where("doc_id is null or doc_id not in (7, 8)")
+    rows = ppm.score_texts(docs, 2).collect()
+    expected = Counter((d["doc_id"], len(words_of(d["text"])) + 1) for d in docs.collect())
+    assert Counter((r["doc_id"], r["n_tokens"]) for r in rows) == expected
+    twice = [r for r in rows if r["doc_id"] == 10]
+    assert len(twice) == 2 and twice[0] == twice[1]
