@@ -39,13 +39,19 @@ class ChunkTokenizer:
     space that is followed by a character other than white space. Texts are cut at those
     spaces where that can be told from the next byte, so ids do not depend on what stands
     around a chunk, and equal chunks have equal ids.
+
+    With ``added_tokens`` ids are those of the tokenizer as loaded, which finds its added
+    tokens in a text first: a text that holds one is tokenised as a whole. Without, special
+    tokens in a text are text like any other.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()
+                      ] if added_tokens else []
         vocabulary = self.tokenizer.get_vocab()
         # Each character of a token stands for one byte.
         self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -97,6 +103,44 @@ class ChunkTokenizer:
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a slice, and the offset of each text in them."""
+        marked = self._marked(data, offsets)
+        if not marked.any():
+            return self._chunk_ids(data, offsets)
+        size = np.diff(offsets)
+        rest = ~marked
+        ids, bounds = self._chunk_ids(data[ragged(offsets[:-1][rest], size[rest])],
+                                      np.concatenate(([0], np.cumsum(size[rest]))))
+        length = np.zeros(len(size), np.int64)
+        length[rest] = np.diff(bounds)
+        self.tokenizer.encode_special_tokens = False  # as loaded
+        whole = {i: self.tokenizer.encode(
+            data[offsets[i]:offsets[i + 1]].tobytes().decode(), add_special_tokens=False).ids
+            for i in np.flatnonzero(marked).tolist()}
+        self.tokenizer.encode_special_tokens = True
+        for i, own in whole.items():
+            length[i] = len(own)
+        edges = np.concatenate(([0], np.cumsum(length)))
+        out = np.zeros(edges[-1], np.int32)
+        out[ragged(edges[:-1][rest], length[rest])] = ids
+        for i, own in whole.items():
+            out[edges[i]:edges[i + 1]] = own
+        return out, edges
+
+    def _marked(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Whether each text holds an added token."""
+        marked = np.zeros(len(offsets) - 1, bool)
+        raw = data.tobytes() if self.added else b""
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                row = int(np.searchsorted(offsets, at, "right")) - 1
+                inside = at + len(token) <= offsets[row + 1]
+                marked[row] |= inside
+                at = raw.find(token, int(offsets[row + 1]) if inside else at + 1)
+        return marked
+
+    def _chunk_ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``ids`` of texts without added tokens, by chunks."""
         if not len(data):
             return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
         cut = np.zeros(len(data) + 1, bool)
@@ -124,9 +168,9 @@ class ChunkTokenizer:
         return ids, sums[np.searchsorted(starts, offsets)]
 
 
-def _piece_rows(path: str, capacity: int, with_ids: bool):
+def _piece_rows(path: str, capacity: int, with_ids: bool, added_tokens: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = ChunkTokenizer(path)
+        tokenizer = ChunkTokenizer(path, added_tokens)
         for batch in batches:
             others = [c for c in batch.schema.names if c != "text"]
             for first, _, data, offsets in text_slices(batch.column("text")):
@@ -206,13 +250,15 @@ def packing_plan(counts: dict[int, int], capacity: int = CAPACITY):
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False,
-         order: Sequence[Column] = ()) -> DataFrame:
+         order: Sequence[Column] = (), added_tokens: bool = False) -> DataFrame:
     """``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)``, a row per piece,
     and with ``with_ids`` its ``ids``.
 
     ``docs`` has ``doc_id`` and ``text``; other columns are ignored, but for those in
     ``order``: pieces of one length are dealt to sequences in that order, then by id.
-    ``tokenizer`` is the path of a byte-level tokenizer file that executors can read. A null
+    ``tokenizer`` is the path of a byte-level tokenizer file that executors can read. With
+    ``added_tokens`` its added tokens, such as an end mark, have their own ids where they stand
+    in a text, as the tokenizer does it as loaded; without, special ones are plain text. A null
     text is empty and has the end mark alone. Ids may be null or repeat: every row is a
     document. An empty table gives no pieces. No text is cut short: a document has as many
     pieces as it fills windows.
@@ -222,7 +268,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bo
     kept = texts.drop("text").schema
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
     schema += ", start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
-    pieces = written(texts.mapInArrow(_piece_rows(tokenizer, capacity, with_ids), schema), "pieces")
+    pieces = written(texts.mapInArrow(_piece_rows(tokenizer, capacity, with_ids, added_tokens), schema), "pieces")
     numbered = number_rows(
         pieces, [F.col("_order"), F.col("doc_id"), F.col("start"), F.col("ids_crc32")],
         "number", within="length")

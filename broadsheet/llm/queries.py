@@ -32,7 +32,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), added_tokens=True)
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

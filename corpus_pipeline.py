@@ -52,7 +52,7 @@ def _row_order(docs: DataFrame) -> list:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 1024 tokens, in the order of the mix."""
-    return packing.pack(docs, tokenizer_path(), order=_row_order(docs))
+    return packing.pack(docs, tokenizer_path(), order=_row_order(docs), added_tokens=True)
 
 
 STAGES = [

@@ -6,10 +6,12 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from corpus_pipeline import pack_sequences
 from tokenizers import Tokenizer
 
 from broadsheet.llm.mixing import mix_order, mixed, period, quotas, schedule
 from broadsheet.llm.packing import fill, pack, packing_plan
+from broadsheet.llm.queries import op3_pack_sequences
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -137,3 +139,20 @@ def test_fill_is_the_closest():
     assert sum(n * m for n, m in fill({700: 1, 300: 1, 200: 2, 24: 1}, 700, 1024).items()) == 1024
     assert fill({512: 1}, 512, 1024) == {512: 1}
     assert fill({600: 3, 400: 1}, 600, 1024) == {600: 1, 400: 1}
+
+
+def test_added_tokens_as_loaded(spark, tmp_path):
+    texts = ["x y<|endoftext|> z", "<|endoftext|><|endoftext|>", "plain words", "a <|endoftext|>", "<|endof",
+             "text|> b", "", None, " <|endoftext|>\n c d" * 500, "plain words"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    tokenizer = Tokenizer.from_file(PATH)
+    expected = Counter()
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        for a in range(0, len(ids), 1024):
+            crc = zlib.crc32(np.array(ids[a:a + 1024], "<u4").tobytes())
+            expected[i, a, crc, len(ids)] += 1
+    read = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for rows in (op3_pack_sequences(spark, str(tmp_path)), pack_sequences(spark, read, str(tmp_path))):
+        assert Counter((r["doc_id"], r["start"], r["ids_crc32"], r["doc_tokens"]) for r in rows.collect()) == expected
