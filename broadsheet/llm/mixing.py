@@ -6,30 +6,43 @@ The documents of a source, in the order of their ids, make blocks. Of a source w
 next. The weights sum to 1, so no deadline is missed, and at any point of the mix a source
 is less than one block away from its share.
 
-Weights are whole numbers of parts, so the schedule repeats after that many slots and one
-period of it tells where every block goes: the plan is small whatever the corpus, and each
-document finds its slot from its number within its source. When a source runs out, the
-weights of the others are scaled up and a new schedule starts; every document has a place.
+Releases and deadlines are taken from the exact weights, as ratios of whole numbers, so
+nothing drifts however long the mix. The driver deals out the slots, one for each block, and
+writes them to a table; each document finds its slot there from its number within its source.
+When a source runs out, the weights of the others are scaled up and a new schedule starts;
+every document has a place.
+
+Where ``parts`` is given, weights are first rounded to so many parts, and the schedule repeats
+after that many slots. The bound then holds against the rounded weights only.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+import math
+from array import array
+from collections.abc import Iterable, Iterator, Mapping
+from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from broadsheet.cluster import broadcast_if, is_small, new_folder
 from broadsheet.operators.indexing import number_rows
 
 # Documents of a block, and slots of a period. (There are at least ten per source.)
 BLOCK = 8
 PARTS = 1000
 
+# Blocks of a source in one row of the table of slots, and slots written at a time.
+PIECE = 4096
+WRITE_SLOTS = 1_000_000
+
 # Sources whose sizes decide the weights where none are given: n ** TEMPERATURE.
 TEMPERATURE = 0.5
 
-# The plan has at most this many slot numbers; more sources than that allows are an error.
+# A plan in parts has at most this many slot numbers; more sources than that allows are an error.
 PLAN_SLOTS = 4_000_000
 
 
@@ -94,6 +107,64 @@ def schedule(blocks: Mapping[str, int], weights: Mapping[str, float], parts: int
     return rows
 
 
+def turns(blocks: Mapping[str, int], weights: Mapping[str, float]) -> Iterator[str]:
+    """The source of each slot, by earliest deadline first with exact weights."""
+    left = {s: n for s, n in blocks.items() if n}
+    exact = {s: Fraction(w) for s, w in weights.items() if s in left and w > 0}
+    unit = math.lcm(*(w.denominator for w in exact.values()))
+    while left:
+        share = {s: int(w * unit) for s, w in exact.items() if s in left}
+        share = share or dict.fromkeys(left, 1)  # nobody asked for what is left
+        total, taken, slot = sum(share.values()), dict.fromkeys(share, 0), 0
+        waiting = [(0, s) for s in sorted(share)]
+        ready: list[tuple[int, int, str]] = []
+        while True:
+            while waiting and waiting[0][0] <= slot:
+                _, s = heapq.heappop(waiting)
+                heapq.heappush(ready, (-(-(taken[s] + 1) * total // share[s]), -share[s], s))
+            s = heapq.heappop(ready)[2]
+            yield s
+            taken[s] += 1
+            slot += 1
+            if taken[s] == left[s]:
+                break
+            heapq.heappush(waiting, (taken[s] * total // share[s], s))
+        left = {s: n - taken.get(s, 0) for s, n in left.items() if n > taken.get(s, 0)}
+
+
+def _in_parts(blocks: Mapping[str, int], weights: Mapping[str, float], parts: int):
+    """``(source, slot)`` of every block, in the order of each source, from ``schedule``."""
+    for s, first, end, base, size, own in schedule(blocks, weights, parts):
+        for n in range(end - first):
+            yield s, base + n // len(own) * size + own[n % len(own)]
+
+
+def _slot_table(spark: SparkSession, slots: Iterable[tuple[str, int]]) -> DataFrame:
+    """``(plan_key, piece, slots)``, written: the slots of PIECE blocks of a source each."""
+    path = new_folder(spark, "slots")
+    full: list[tuple[str, int, array]] = []
+    open_pieces: dict[str, tuple[int, array]] = {}
+    types = [pa.string(), pa.int64(), pa.list_(pa.int64())]
+
+    def write(rows: list[tuple[str, int, array]]) -> None:
+        columns = list(zip(*rows)) or [[], [], []]
+        table = pa.table([pa.array(list(c), t) for c, t in zip(columns, types)],
+                         names=["plan_key", "piece", "slots"])
+        spark.createDataFrame(table).write.mode("append").parquet(path)
+
+    for s, slot in slots:
+        piece, own = open_pieces.setdefault(s, (0, array("q")))
+        own.append(slot)
+        if len(own) == PIECE:
+            full.append((s, piece, own))
+            open_pieces[s] = piece + 1, array("q")
+            if len(full) * PIECE >= WRITE_SLOTS:
+                write(full)
+                full = []
+    write(full + [(s, piece, own) for s, (piece, own) in open_pieces.items() if own])
+    return spark.read.schema("plan_key string, piece long, slots array<long>").parquet(path)
+
+
 def _key(source: Column) -> Column:
     """Sources as keys without nulls."""
     return F.when(source.isNull(), F.lit("none")).otherwise(
@@ -101,7 +172,7 @@ def _key(source: Column) -> Column:
 
 
 def mix_order(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK,
-              parts: int = PARTS) -> DataFrame:
+              parts: int | None = None) -> DataFrame:
     """``(doc_id, source, block, slot, place)``: sorted by ``slot`` and ``place``, the
     documents are mixed. A slot is one block of one source; ``place`` is the place in it.
 
@@ -110,8 +181,10 @@ def mix_order(docs: DataFrame, weights: Mapping[str, float] | None = None, block
     out. By default the weight of a source is its number of documents to the power of
     TEMPERATURE. Rows of one id and source (repeated rows) have one place. A null source is
     a source of its own, a null id comes first in its source. An empty table gives no rows.
+    Weights are kept exactly, unless ``parts`` says what to round them to.
 
-    Only the number of documents of each source goes through the driver.
+    Only the number of documents of each source goes through the driver, which deals out one
+    slot for each block and writes the slots as it goes.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source")
@@ -122,26 +195,20 @@ def mix_order(docs: DataFrame, weights: Mapping[str, float] | None = None, block
         F.count("*").alias("n")).toLocalIterator()}
     wanted = ({s: n ** TEMPERATURE for s, n in sizes.items()} if weights is None
               else {f"={s}": float(w) for s, w in weights.items()})
-    plan = schedule({s: -(-n // block) for s, n in sizes.items()}, wanted, parts)
-    spark = docs.sparkSession
-    plan = spark.createDataFrame(
-        plan, "plan_key string, first long, end long, base long, size long, slots array<int>")
-    own = F.floor(F.col("number") / block).cast("long")
-    placed = numbered.withColumn("block", own).join(
-        F.broadcast(plan),
-        (F.col("key") == F.col("plan_key")) & (F.col("block") >= F.col("first"))
-        & (F.col("block") < F.col("end")),
-    )
-    since = F.col("block") - F.col("first")
-    turn = F.expr("(block - first) div size(slots)")
-    slot = F.col("base") + turn * F.col("size") + F.element_at(
-        "slots", (F.pmod(since, F.size("slots")) + 1).cast("int"))
+    blocks = {s: -(-n // block) for s, n in sizes.items()}
+    slots = (_in_parts(blocks, wanted, parts) if parts
+             else ((s, slot) for slot, s in enumerate(turns(blocks, wanted))))
+    plan = _slot_table(docs.sparkSession, slots)
+    placed = numbered.withColumn("block", F.floor(F.col("number") / block).cast("long")).join(
+        broadcast_if(plan, is_small(plan)),
+        (F.col("key") == F.col("plan_key")) & (F.expr(f"block div {PIECE}") == F.col("piece")))
+    slot = F.element_at("slots", (F.pmod("block", F.lit(PIECE)) + 1).cast("int"))
     return placed.select("doc_id", "source", "block", slot.alias("slot"),
                          F.pmod("number", F.lit(block)).cast("int").alias("place"))
 
 
 def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK,
-          parts: int = PARTS) -> DataFrame:
+          parts: int | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, in the order of the mix: sorted over partitions and
     within, so that files written from it hold the mix from the first to the last."""
     order = mix_order(docs, weights, block, parts).select(

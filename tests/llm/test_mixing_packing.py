@@ -2,6 +2,7 @@
 
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -9,6 +10,7 @@ import pytest
 from corpus_pipeline import pack_sequences
 from tokenizers import Tokenizer
 
+from broadsheet.llm import mixing
 from broadsheet.llm.mixing import mix_order, mixed, period, quotas, schedule
 from broadsheet.llm.packing import fill, pack, packing_plan
 from broadsheet.llm.queries import op3_pack_sequences
@@ -156,3 +158,32 @@ def test_added_tokens_as_loaded(spark, tmp_path):
     read = spark.read.parquet(str(tmp_path / "documents.parquet"))
     for rows in (op3_pack_sequences(spark, str(tmp_path)), pack_sequences(spark, read, str(tmp_path))):
         assert Counter((r["doc_id"], r["start"], r["ids_crc32"], r["doc_tokens"]) for r in rows.collect()) == expected
+
+
+def test_mix_keeps_exact_weights(spark, monkeypatch):
+    sizes = {"hot": 7000, **{f"s{i:02}": 700 for i in range(20)}, "rare": 2}
+    docs = spark.createDataFrame(
+        [(i, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))], "doc_id long, source string")
+    weights = {"hot": 1 / 3, **{f"s{i:02}": 2 / 3 / 20 for i in range(20)}, "rare": 0.0001}
+    monkeypatch.setattr(mixing, "PIECE", 100)
+    monkeypatch.setattr(mixing, "WRITE_SLOTS", 3000)
+    order = [r["source"] for r in mix_order(docs, weights, block=1).orderBy("slot").collect()]
+    assert Counter(order) == sizes
+    total, taken = sum(map(Fraction, weights.values())), Counter()
+    share = {s: Fraction(w) / total for s, w in weights.items()}
+    for slot, s in enumerate(order, 1):
+        taken[s] += 1
+        assert abs(taken[s] - share[s] * slot) < 1
+        if slot % 97 == 0:
+            assert all(abs(taken[r] - share[r] * slot) < 1 for r in share)
+        if taken[s] == sizes[s]:
+            break
+    assert slot > 10_000
+
+
+def test_mix_in_parts(small_docs):
+    ids = Counter(r["source"] for r in small_docs.collect())
+    rows = mix_order(small_docs, block=1, parts=64).collect()
+    got = [f"={r['source']}" for r in sorted(rows, key=lambda r: r["slot"])]
+    weights = {f"={s}": n ** 0.5 for s, n in ids.items()}
+    assert got == plain_schedule({f"={s}": n for s, n in ids.items()}, weights, 64)
