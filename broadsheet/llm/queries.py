@@ -5,21 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from broadsheet.llm import (
-    debruijn, forest, minhash, mixing, packing, ppm, quality, suffixes, topk, toxicity,
+    debruijn, divergence, forest, minhash, mixing, packing, planes, ppm, quality, suffixes, topk,
+    toxicity, variants,
 )
 
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
-    """The public tokenizer of the queries, where it is installed."""
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """A public tokenizer of the queries, where it is installed."""
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,10 +68,22 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planes.encode_documents(_table(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_substring_dedup, op3_pack_sequences, op4_minhash_near_dedup,
     op5_suffix_array_dedup, op6_toxicity, op7_exact_top_k, op8_quality, op9_nearest_neighbours,
-    op10_lm_scoring,
+    op10_lm_scoring, op11_token_planes, op12_source_divergence, op13_spelling_variants,
 )}
 
 _WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
@@ -122,4 +136,72 @@ scores AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scores)
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 20""",
+    "op12_source_divergence": r"""
+WITH docs AS (SELECT row_number() OVER () AS id, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+    coalesce(source, '') AS source FROM documents),
+runs AS (SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM docs),
+found AS (SELECT id, lang, source,
+    translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM runs),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM found GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+counts AS (SELECT lang, source, term, count(*) AS n FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS total FROM kept GROUP BY lang),
+totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source),
+groups AS (SELECT g.lang, g.source, coalesce(l.v, 0)::HUGEINT AS v, coalesce(t.total, 0)::HUGEINT AS total,
+    l.total::HUGEINT AS lang_total
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN langs l ON g.lang = l.lang
+  LEFT JOIN totals t ON g.lang = t.lang AND g.source = t.source),
+shares AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000 * (coalesce(c.n, 0)::HUGEINT + 5)) // (g.total + 5 * g.v) AS p,
+    1 + (1000000000 * (k.lang_n::HUGEINT + 5)) // (g.lang_total + 5 * g.v) AS q
+  FROM groups g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+items AS (SELECT * FROM pairs UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM items)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR r <= 50""",
+    "op13_spelling_variants": r"""
+WITH RECURSIVE found AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS w FROM documents),
+runs AS (
+  SELECT doc_id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n
+  FROM found WHERE length(w) >= 7 GROUP BY ALL),
+steps AS (
+  SELECT list(list_reduce([i, 0, 1, 2, 3, 4, 5, 6, 7], lambda c, k: CASE WHEN c & 1 = 1
+    THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(0, 256))::BIGINT AS i)),
+hashed AS (
+  SELECT w, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(x) // 2),
+      lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM (SELECT w, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || w)) AS x FROM runs), steps),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substring(w, 1, CAST(h % length(w) AS BIGINT))
+      || substring(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS word, n FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (
+  SELECT word, n, i, left(word, i - 1) AS a, substring(word, i + 1) AS b
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+shorter AS (SELECT DISTINCT c.word AS long, w.word AS short FROM cut c JOIN words w ON w.word = c.a || c.b),
+near AS (
+  SELECT x.word, y.word AS other FROM cut x JOIN cut y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION ALL SELECT long, short FROM shorter UNION ALL SELECT short, long FROM shorter),
+best AS (
+  SELECT near.word, count(*) AS n_near, arg_min({'form': o.word, 'n': o.n}, {'a': -o.n, 'b': o.word}) AS best
+  FROM near JOIN words o ON o.word = near.other GROUP BY near.word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN best.n >= 10 * w.n THEN best.form END AS form, CASE WHEN best.n >= 10 * w.n THEN best.n END AS form_n
+  FROM words w LEFT JOIN best ON best.word = w.word),
+chain AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL),
+roots AS (SELECT c.word, c.root FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NULL)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM forms f JOIN roots r ON r.word = f.word""",
 }

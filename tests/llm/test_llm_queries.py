@@ -10,7 +10,7 @@ DATA = "/root/testdata/sf0.001"
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert contract.queries().keys() >= {*QUERIES, "pipeline"}
     assert ORACLES.keys() <= QUERIES.keys()
 
