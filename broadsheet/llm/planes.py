@@ -58,7 +58,6 @@ END = 2
 BATCH_IDS = 1_000_000
 BATCH_DOCUMENTS = 4_096
 
-IDS = "doc_id long, ids array<int>"
 READ = "doc_id long, start long, ids array<int>"
 
 
@@ -235,6 +234,8 @@ class _Writer(DataSourceArrowWriter):
         self.chunk = int(options.get("chunk", CHUNK_IDS))
         self.bits = {"bits": 1, "bytes": 8}[options.get("planes", "bits")]
         self.level = int(options.get("level", LEVEL))
+        self.tokenizer = options.get("tokenizer")
+        self.end = int(options["end"]) if "end" in options else None
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
         from pyspark import TaskContext
@@ -245,7 +246,7 @@ class _Writer(DataSourceArrowWriter):
         files.create_dir(folder, recursive=True)
         with files.open_output_stream(f"{folder}/{name}") as stream:
             out = FileWriter(stream, self.chunk, self.bits, self.level)
-            for batch in iterator:
+            for batch in id_rows(iterator, self.tokenizer, self.end) if self.tokenizer else iterator:
                 out.add(batch.column("doc_id"), batch.column("ids"))
             documents, ids = out.close()
         return _Written(part, name, documents, ids)
@@ -297,7 +298,9 @@ class _Reader(DataSourceReader):
 
 
 class BitPlanes(DataSource):
-    """Folders of bit-plane files. Options of the writer: ``chunk``, the ids of a chunk,
+    """Folders of bit-plane files. They are written from ``(doc_id, ids)``, or, with the option
+    ``tokenizer``, a path, from ``(doc_id, text)``: the tasks that write encode the texts, and add
+    the id of the option ``end``. Further options of the writer: ``chunk``, the ids of a chunk,
     ``planes``, "bits" or "bytes", and ``level``, of the compression."""
 
     @classmethod
@@ -328,17 +331,8 @@ JOINED = 1_000
 _SPACE, _LETTER, _DIGIT, _MARK, _ODD = range(5)
 
 
-class WordIds:
-    """Token ids of many texts by a tokenizer that drops white space, each piece encoded once.
-
-    Such a tokenizer matches pieces that hold no white space, and its added tokens hold none
-    either: the ids of a text are those of its words one after the other. A word of nothing but
-    letters up to U+00FF, digits and marks is cut further, where the tokenizer cuts it: into
-    runs of letters, in lower case, single digits, and runs of marks. Such pieces are already
-    normal and whole, so the model alone encodes them, many in one text. Other words, those
-    with an apostrophe, a letter beyond or a mark that may begin an added token, are left to
-    the tokenizer as they are.
-    """
+class _Encoder:
+    """Pieces to ids: those of simple words by the model alone, others by the tokenizer."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -370,47 +364,20 @@ class WordIds:
             for mark in {"'", *(token.content[0] for token in added if token.content)}:
                 self.kinds[mark.encode()[0]] = _ODD
             self.lower[0x41:0x5B] += 32
-        self.cache = IdCache(self._encode)
 
-    def _cut(self, data: np.ndarray, offsets: np.ndarray):
-        """The bytes, simple words in lower case, the spans of the pieces, and the offset of
-        each text in them."""
-        starts, ends, bounds = word_spans(data, offsets)
+    def kinds_of(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The kind of each byte, and which are second bytes of letters from U+00C0 to U+00FF."""
+        second = np.zeros(len(data), bool)
+        second[1:] = data[:-1] == 0xC3
+        letter = second & (data != 0x97) & (data != 0xB7)  # two of them are signs
         kinds = self.kinds[data]
-        after = np.zeros(len(data), bool)
-        after[1:] = data[:-1] == 0xC3  # second bytes of U+00C0 to U+00FF, but for two signs
-        letter = after & (data != 0x97) & (data != 0xB7)
         kinds[letter] = _LETTER
-        odd = np.concatenate(([0], np.cumsum(kinds == _ODD)))
-        # White space is odd too, but stands in no word.
-        whole = odd[ends] > odd[starts]
-        inside = np.zeros(len(data) + 1, np.int8)
-        inside[starts[whole]] += 1
-        inside[ends[whole]] -= 1
-        inside = np.cumsum(inside[:-1], dtype=np.int8) > 0
-        lower = self.lower[data]
-        lower[letter & (data < 0x9F)] += 0x20
-        lower = np.where(inside, data, lower)
-        begins = np.zeros(len(data) + 1, bool)
-        begins[1:-1] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT)
-        begins[:-1] &= ~inside
-        begins[starts] = True
-        in_word = np.zeros(len(data) + 1, np.int8)
-        in_word[starts] += 1
-        in_word[ends] -= 1
-        in_word = np.cumsum(in_word, dtype=np.int8) > 0
-        begins &= in_word
-        first = np.flatnonzero(begins)
-        stops = begins[1:] | ~in_word[1:]
-        stops &= in_word[:-1]
-        last = np.flatnonzero(stops) + 1
-        return lower, first, last, np.searchsorted(first, offsets)
+        return kinds, letter
 
-    def _encode(self, data, starts, ends) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, data, starts, ends) -> tuple[np.ndarray, np.ndarray]:
         raw = data.tobytes()
         texts = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-        kinds = np.where(np.append(False, data[:-1] == 0xC3), _LETTER, self.kinds[data])
-        kinds[np.append(False, data[:-1] == 0xC3) & ((data == 0x97) | (data == 0xB7))] = _ODD
+        kinds, _ = self.kinds_of(data)
         odd = np.concatenate(([0], np.cumsum(kinds == _ODD)))
         simple = odd[ends] == odd[starts]
         counts = np.zeros(len(texts), np.int64)
@@ -438,6 +405,53 @@ class WordIds:
         begin[order] = np.cumsum(counts[order]) - counts[order]
         return np.concatenate(parts)[ragged(begin, counts)], counts
 
+
+class WordIds:
+    """Token ids of many texts by a tokenizer that drops white space, each piece encoded once.
+
+    Such a tokenizer matches pieces that hold no white space, and its added tokens hold none
+    either: the ids of a text are those of its words one after the other. A word of nothing but
+    letters up to U+00FF, digits and marks is cut further, where the tokenizer cuts it: into
+    runs of letters, in lower case, single digits, and runs of marks. Such pieces are already
+    normal and whole, so the model alone encodes them, many in one text. Other words, those
+    with an apostrophe, a letter beyond or a mark that may begin an added token, are left to
+    the tokenizer as they are.
+    """
+
+    def __init__(self, path: str):
+        self.encoder = _Encoder(path)
+        self.cache = IdCache(self.encoder.encode)
+
+    def _cut(self, data: np.ndarray, offsets: np.ndarray):
+        """The bytes, simple words in lower case, the spans of the pieces, and the offset of
+        each text in them."""
+        starts, ends, bounds = word_spans(data, offsets)
+        kinds, letter = self.encoder.kinds_of(data)
+        odd = np.concatenate(([0], np.cumsum(kinds == _ODD)))
+        # White space is odd too, but stands in no word.
+        whole = odd[ends] > odd[starts]
+        inside = np.zeros(len(data) + 1, np.int8)
+        inside[starts[whole]] += 1
+        inside[ends[whole]] -= 1
+        inside = np.cumsum(inside[:-1], dtype=np.int8) > 0
+        lower = self.encoder.lower[data]
+        lower[letter & (data < 0x9F)] += 0x20
+        lower = np.where(inside, data, lower)
+        begins = np.zeros(len(data) + 1, bool)
+        begins[1:-1] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT)
+        begins[:-1] &= ~inside
+        begins[starts] = True
+        in_word = np.zeros(len(data) + 1, np.int8)
+        in_word[starts] += 1
+        in_word[ends] -= 1
+        in_word = np.cumsum(in_word, dtype=np.int8) > 0
+        begins &= in_word
+        first = np.flatnonzero(begins)
+        stops = begins[1:] | ~in_word[1:]
+        stops &= in_word[:-1]
+        last = np.flatnonzero(stops) + 1
+        return lower, first, last, np.searchsorted(first, offsets)
+
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a slice, and the offset of each text in them."""
         lower, starts, ends, bounds = self._cut(data, offsets)
@@ -445,20 +459,18 @@ class WordIds:
         return ids, np.concatenate(([0], np.cumsum(counts)))[bounds]
 
 
-def _id_rows(tokenizer: str, end: int | None):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer)
-        for batch in batches:
-            for first, last, data, offsets in text_slices(batch.column("text")):
-                ids, bounds = words.ids(data, offsets)
-                if end is not None:
-                    ids = np.insert(ids, bounds[1:], end)
-                    bounds = bounds + np.arange(len(bounds))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, last - first),
-                     list_column(ids, bounds, pa.int32())], names=["doc_id", "ids"])
-
-    return rows
+def id_rows(batches: Iterator[pa.RecordBatch], tokenizer: str, end: int | None) -> Iterator[pa.RecordBatch]:
+    """``(doc_id, ids)`` of ``(doc_id, text)``: the ids of each text, and then ``end``."""
+    words = WordIds(tokenizer)
+    for batch in batches:
+        for first, last, data, offsets in text_slices(batch.column("text")):
+            ids, bounds = words.ids(data, offsets)
+            if end is not None:
+                ids = np.insert(ids, bounds[1:], end)
+                bounds = bounds + np.arange(len(bounds))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").slice(first, last - first), list_column(ids, bounds, pa.int32())],
+                names=["doc_id", "ids"])
 
 
 def write_ids(docs: DataFrame, tokenizer: str, path: str, end: int | None = END,
@@ -479,10 +491,11 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end: int | None = END,
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = [F.col("doc_id"), F.xxhash64("text")]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = texts.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(
-        _id_rows(tokenizer, end), IDS)
-    ids.write.format("bitplanes").mode("append").option("chunk", chunk).option(
-        "planes", planes).option("level", level).save(path)
+    options = {"chunk": chunk, "planes": planes, "level": level, "tokenizer": tokenizer}
+    if end is not None:
+        options["end"] = end
+    texts.repartitionByRange(n, *order).sortWithinPartitions(*order).write.format("bitplanes").mode(
+        "append").options(**options).save(path)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
