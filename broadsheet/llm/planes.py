@@ -17,6 +17,7 @@ a lost executor, are never read.
 from __future__ import annotations
 
 import json
+import os
 import struct
 import uuid
 import zlib
@@ -59,6 +60,7 @@ BATCH_IDS = 1_000_000
 BATCH_DOCUMENTS = 4_096
 
 READ = "doc_id long, start long, ids array<int>"
+SUMS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 # Chunks
@@ -271,8 +273,8 @@ class _Writer(DataSourceArrowWriter):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.path = options["path"]
+    def __init__(self, options: dict, sums: bool):
+        self.path, self.sums = options["path"], sums
 
     def partitions(self) -> list[_File]:
         files, folder = _file_system(self.path)
@@ -291,27 +293,35 @@ class _Reader(DataSourceReader):
                 sizes = file.sizes[first:end]
                 edges = np.concatenate(([0], np.cumsum(sizes)))
                 doc_ids = pa.array(file.doc_ids[first:end], pa.int64(), mask=file.nulls[first:end])
-                yield pa.RecordBatch.from_arrays(
-                    [doc_ids, pa.array(partition.base + begin + edges[:-1]),
-                     list_column(ids.view(np.int32), edges, pa.int32())],
-                    names=["doc_id", "start", "ids"])
+                start = pa.array(partition.base + begin + edges[:-1])
+                if self.sums:
+                    raw = memoryview(ids.tobytes())
+                    sums = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(edges.tolist(), edges[1:].tolist())]
+                    yield pa.RecordBatch.from_arrays(
+                        [doc_ids, start, pa.array(sizes), pa.array(sums, pa.int64())],
+                        names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                else:
+                    yield pa.RecordBatch.from_arrays(
+                        [doc_ids, start, list_column(ids.view(np.int32), edges, pa.int32())],
+                        names=["doc_id", "start", "ids"])
 
 
 class BitPlanes(DataSource):
     """Folders of bit-plane files. They are written from ``(doc_id, ids)``, or, with the option
     ``tokenizer``, a path, from ``(doc_id, text)``: the tasks that write encode the texts, and add
     the id of the option ``end``. Further options of the writer: ``chunk``, the ids of a chunk,
-    ``planes``, "bits" or "bytes", and ``level``, of the compression."""
+    ``planes``, "bits" or "bytes", and ``level``, of the compression. Read with the option
+    ``sums``, they give the number of ids and their CRC-32 in place of the ids."""
 
     @classmethod
     def name(cls) -> str:
         return "bitplanes"
 
     def schema(self) -> str:
-        return READ
+        return SUMS if self.options.get("sums") == "true" else READ
 
     def reader(self, schema) -> _Reader:
-        return _Reader(self.options)
+        return _Reader(self.options, self.options.get("sums") == "true")
 
     def writer(self, schema, overwrite: bool) -> _Writer:
         return _Writer(self.options, overwrite)
@@ -335,6 +345,8 @@ class _Encoder:
     """Pieces to ids: those of simple words by the model alone, others by the tokenizer."""
 
     def __init__(self, path: str):
+        # A task has one core, and threads of the library would each keep memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         with open(path, encoding="utf-8") as file:
@@ -505,26 +517,17 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("bitplanes").load(path)
 
 
-def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column("ids")
-        edges = ids.offsets.to_numpy().astype(np.int64)
-        raw = memoryview(np.ascontiguousarray(ids.values.to_numpy(), "<i4").view(np.uint8)).cast("B")
-        sums = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(edges.tolist(), edges[1:].tolist())]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("start"), pa.array(np.diff(edges)),
-             pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-
-def id_sums(ids: DataFrame) -> DataFrame:
-    """``(doc_id, start, n_tokens, ids_crc32)`` of what ``read_ids`` returns: the number of ids
-    and the unsigned CRC-32 of all of them as little-endian unsigned 32-bit numbers."""
-    return ids.mapInArrow(_sums, "doc_id long, start long, n_tokens long, ids_crc32 long")
+def read_sums(spark: SparkSession, path: str) -> DataFrame:
+    """``(doc_id, start, n_tokens, ids_crc32)`` of a folder of bit planes: the number of ids of
+    each document, and the unsigned CRC-32 of all of them as little-endian unsigned 32-bit
+    numbers, as read back from the planes."""
+    spark.dataSource.register(BitPlanes)
+    return spark.read.format("bitplanes").option("sums", "true").load(path)
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, end: int | None = END) -> DataFrame:
     """Write the ids of all documents to a new folder in the shared one, and read them back:
-    ``id_sums`` of the files. See ``write_ids`` for the rules."""
+    ``read_sums`` of the files. See ``write_ids`` for the rules."""
     path = new_folder(docs.sparkSession, "planes")
     write_ids(docs, tokenizer, path, end)
-    return id_sums(read_ids(docs.sparkSession, path))
+    return read_sums(docs.sparkSession, path)
