@@ -32,9 +32,9 @@ def _article_lines(spark: SparkSession, sf_dir: str, extra_fields: bool = False)
     return articles.select(F.to_json(F.struct(*articles.columns)).alias("value"))
 
 
-def _article_file(spark: SparkSession, sf_dir: str) -> str:
+def _article_file(spark: SparkSession, sf_dir: str, extra_fields: bool = False) -> str:
     path = new_folder(spark, "article-lines")
-    _article_lines(spark, sf_dir).write.text(path)
+    _article_lines(spark, sf_dir, extra_fields).write.text(path)
     return path
 
 
@@ -117,6 +117,15 @@ def bad_article_lines(spark, sf_dir):
     )
 
 
+def sorted_article_lines(spark, sf_dir):
+    """Articles and bad lines out of one pass over a file of lines."""
+    lines = scan_lines(spark, _article_file(spark, sf_dir, extra_fields=True))
+    good, bad = article_source.sort_article_lines(lines)
+    return good.select("id", F.lit("article").alias("kind"), F.size("contents").alias("n_items")).unionByName(
+        bad.select(F.get_json_object("value", "$.id").alias("id"), F.col("problem").alias("kind"),
+                   F.lit(0).alias("n_items")))
+
+
 def parse_queries(spark, sf_dir):
     return terms.parse_queries(tables.queries(spark, sf_dir))
 
@@ -309,7 +318,8 @@ def index_partition(spark, sf_dir):
 QUERIES = {
     query.__name__: query
     for query in (
-        scan_queries, scan_articles, parse_articles, bad_article_lines, parse_queries,
+        scan_queries, scan_articles, parse_articles, bad_article_lines, sorted_article_lines,
+        parse_queries,
         tokenize, remove_stopwords, stem_vocabulary, text_to_terms,
         articles_with_title, lead_paragraphs, index_text, article_stats,
         document_length, term_frequency, corpus_stats, corpus_term_frequency,

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,15 +27,73 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# The folders made in the innermost scope that is open.
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """A scope that owns what is written to the shared folder within it, and deletes it at its
+    end, also after an error: checkpoints, and the folders of ``new_folder``. Results that are
+    worked out lazily read them, so they must be written, or collected, within the scope."""
+    folders: list[str] = []
+    token = _scope.set(folders)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for folder in folders:
+            with suppress(Exception):  # what cannot be deleted must not hide another error
+                delete_folder(spark, folder)
+
+
+def _own(folder: str) -> str:
+    folders = _scope.get()
+    if folders is not None:
+        folders.append(folder)
+    return folder
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder with all in it, on whatever file system it is."""
+    files, path = _file_system(spark, folder)
+    files.delete(path, True)
+
+
+def move_folder(spark: SparkSession, folder: str, to: str) -> None:
+    """Rename a folder to a path where nothing is yet."""
+    files, path = _file_system(spark, folder)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    files.mkdirs(target.getParent())
+    if files.exists(target) or not files.rename(path, target):
+        raise FileExistsError(f"cannot move {folder} to {to}")
+
+
+def write_mark(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    files, mark = _file_system(spark, path)
+    files.create(mark).close()
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has been written to."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return _own(f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back, with its lineage cut."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if _scope.get() is not None:
+        file = out._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if file.isDefined():
+            _own(file.get())
+    return out
 
 
 def row_bytes(df: DataFrame) -> Column:

@@ -19,15 +19,50 @@ def title_distance(a: Column, b: Column) -> Column:
     return F.when(longer == 0, F.lit(float("nan"))).otherwise(F.levenshtein(a, b) / longer)
 
 
-def too_near(a: Column, b: Column, min_distance: float) -> Column:
+# Titles of more letters than this have their letters counted, in these classes; all other
+# letters make one more.
+LONG_TITLE = 128
+CLASSES = ("eE", "tT", "aA", "oO", "iI", "nN", "sS", "rR", "hH", "lL", "dDuU", "cCmM", " ")
+
+
+def letters(title: Column) -> Column:
+    """How many letters of each class a long title has; null for a short one."""
+    counts = [F.length(title) - F.length(F.translate(title, group, "")) for group in CLASSES]
+    rest = F.length(F.translate(title, "".join(CLASSES), ""))
+    return F.when(F.length(title) > LONG_TITLE, F.array(*counts, rest))
+
+
+def least_distance(a_letters: Column, b_letters: Column) -> Column:
+    """A number of edits that two titles need at least, from what ``letters`` says of them: an
+    edit takes at most one letter from a class and adds at most one to another. Null unless
+    both are long."""
+    over, under = (
+        F.aggregate(F.zip_with(x, y, lambda m, n: F.greatest(m - n, F.lit(0))), F.lit(0), lambda t, m: t + m)
+        for x, y in ((a_letters, b_letters), (b_letters, a_letters)))
+    return F.greatest(over, under)
+
+
+def told_apart(a: Column, b: Column, min_distance: float, a_letters: Column | None = None,
+               b_letters: Column | None = None) -> Column:
+    """Whether lengths, or classes of letters, say that two titles keep ``min_distance``."""
+    longer = F.nullif(_longer(a, b), F.lit(0))
+    apart = F.abs(F.length(a) - F.length(b)) / longer >= min_distance
+    if a_letters is None or b_letters is None:
+        return apart
+    return apart | F.coalesce(least_distance(a_letters, b_letters) / longer >= min_distance, F.lit(False))
+
+
+def too_near(a: Column, b: Column, min_distance: float, a_letters: Column | None = None,
+             b_letters: Column | None = None) -> Column:
     """Whether two titles are closer than ``min_distance``.
 
-    The edit distance is at least the difference of the lengths, so titles whose lengths
-    alone keep them apart are not compared letter by letter; nor are equal ones.
+    The edit distance is at least the difference of the lengths, and at least what ``letters``
+    differ by, so titles that these keep apart are not compared letter by letter; nor are
+    equal ones.
     """
     if min_distance <= 0:
         return F.lit(False)
     longer = F.nullif(_longer(a, b), F.lit(0))
-    apart = F.abs(F.length(a) - F.length(b)) / longer >= min_distance
+    apart = told_apart(a, b, min_distance, a_letters, b_letters)
     near = ~apart & ((a == b) | (F.levenshtein(a, b) / longer < min_distance))
     return F.coalesce(near, F.lit(False))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,20 +55,36 @@ def index_text(title: Column, contents: Column) -> Column:
     return F.array_join(F.concat(F.array(title), lead_paragraphs(contents)), " ")
 
 
-def index_texts(articles: DataFrame) -> DataFrame:
-    """``(doc_id, title, index_text)`` of the articles that have a title."""
+# The file that a row comes from, as Spark's file sources say it.
+FILE = "_metadata.file_path"
+
+
+def from_files(articles: DataFrame) -> bool:
+    """Whether the rows can say which file they come from: those of a file source can, through
+    any selections and filters, others not."""
+    try:
+        articles.select(FILE)
+    except AnalysisException:
+        return False
+    return True
+
+
+def index_texts(articles: DataFrame, with_file: bool = False) -> DataFrame:
+    """``(doc_id, title, index_text)`` of the articles that have a title, and their ``file``."""
     text = index_text(F.col("title"), F.col("contents"))
-    return articles_with_title(articles).select("doc_id", "title", text.alias("index_text"))
+    file = [F.col(FILE).alias("file")] if with_file else []
+    return articles_with_title(articles).select("doc_id", "title", text.alias("index_text"), *file)
 
 
 def article_tokens(texts: DataFrame, stopwords: Iterable[str] = ENGLISH,
                    limits: Limits = Limits()) -> DataFrame:
-    """``(doc_id, title, length, tokens)`` of index texts.
+    """``(doc_id, title, length, tokens)`` of index texts, and what else they have.
 
     The tokens are not stemmed. A stemmer drops no token, so their number already is the
     length of the document.
     """
     tokens = remove_stopwords(tokenize(F.col("index_text"), limits), stopwords)
-    return texts.select("doc_id", "title", tokens.alias("tokens")).select(
-        "doc_id", "title", F.size("tokens").alias("length"), "tokens"
+    kept = [c for c in texts.columns if c != "index_text"]
+    return texts.select(*kept, tokens.alias("tokens")).select(
+        *kept, F.size("tokens").alias("length"), "tokens"
     )

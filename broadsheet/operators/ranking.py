@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadsheet.cluster import broadcast_if, checkpointed, is_small
-from broadsheet.functions.distance import too_near
+from broadsheet.functions.distance import letters, too_near
 from broadsheet.operators.indexing import number_rows
 
 # Results per query, and the distance that titles must keep.
@@ -20,8 +20,11 @@ MIN_DISTANCE = 0.5
 # the result.
 CHUNK = 200
 
-# Parts of a query of which the best are taken first, each in a task of its own.
-PARTS = 64
+# Tasks whose best are put together before the best of a query are taken. Spark cuts what a task
+# hands on to the best k by itself up to this k.
+TASKS_OF_A_PART = 32
+CUT_BY_ITSELF = 1000
+_CUT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 # Sums of the same scores in another order differ in the last digits, so ranks compare
 # scores to nine places, as whole numbers of 1e-9, and then ids.
@@ -47,17 +50,29 @@ def rank_by_score(scores: DataFrame) -> DataFrame:
 def top_k(scores: DataFrame, k: int = TOP_K) -> DataFrame:
     """``(query_id, rank, doc_id, score)`` of the ``k`` best per query.
 
-    Each query is dealt out into parts by document; the best of each part are taken, and of
-    these the best. So no task sees more than a part of a query, or ``k`` rows of each part,
-    whatever ``k`` is.
+    A pair belongs to the part of the task that has scored it. So a task hands on its own ``k``
+    best of each query, no more, whatever ``k`` is; those of some tasks meet, are cut to ``k``
+    again, and only these meet in one task per query.
+
+    Spark makes the first cut by itself up to a ``k`` that is a setting. For a greater one the
+    setting is raised while the result is worked out, and the result is checkpointed.
     """
     def best(rows: DataFrame, *group: str) -> DataFrame:
         order = Window.partitionBy(*group).orderBy(*_best_first())
         return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
-    parted = scores.withColumn("_part", F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)))
-    return best(best(parted, "query_id", "_part"), "query_id").select(
+    part = F.floor(F.spark_partition_id() / TASKS_OF_A_PART)
+    ranked = best(best(scores.withColumn("_part", part), "query_id", "_part"), "query_id").select(
         "query_id", "rank", "doc_id", "score")
+    if k <= CUT_BY_ITSELF:
+        return ranked
+    conf = scores.sparkSession.conf
+    before = conf.get(_CUT, None)
+    conf.set(_CUT, str(k))
+    try:
+        return checkpointed(ranked)
+    finally:
+        conf.unset(_CUT) if before is None else conf.set(_CUT, before)
 
 
 def _chunks(candidates: DataFrame, n_queries: int, min_distance: float) -> DataFrame:
@@ -88,7 +103,8 @@ def _chunks(candidates: DataFrame, n_queries: int, min_distance: float) -> DataF
         F.sum("n").alias("n"),
     ).withColumn(
         "candidates",
-        F.transform("candidates", lambda c: F.struct(c["doc_id"], c["score"], c["title"])),
+        F.transform("candidates", lambda c: F.struct(
+            c["doc_id"], c["score"], c["title"], letters(c["title"]).alias("letters"))),
     )
 
 
@@ -97,7 +113,8 @@ def _take_from_chunk(chunks: DataFrame, k: int, min_distance: float, chunk: int)
 
     def step(taken: Column, candidate: Column) -> Column:
         rejected = F.exists(
-            taken, lambda t: too_near(t["title"], candidate["title"], min_distance)
+            taken, lambda t: too_near(t["title"], candidate["title"], min_distance,
+                                      t["letters"], candidate["letters"])
         )
         full = F.size(taken) >= k
         return F.when(full | rejected, taken).otherwise(
@@ -120,10 +137,11 @@ def _remaining(pairs: DataFrame, state: DataFrame, min_distance: float) -> DataF
         (key == F.col("last_key")) & (F.col("doc_id") > F.col("last_doc"))
     )
     rejected = F.exists(
-        "taken", lambda t: too_near(t["title"], F.col("title"), min_distance)
+        "taken", lambda t: too_near(t["title"], F.col("title"), min_distance,
+                                    t["letters"], F.col("_letters"))
     )
     later = pairs.join(broadcast_if(state, is_small(state)), "query_id").where(after)
-    return later.where(~rejected).select("query_id", "doc_id", "score", "title")
+    return later.withColumn("_letters", letters(F.col("title"))).where(~rejected).select("query_id", "doc_id", "score", "title")
 
 
 def diverse_top_k(scores: DataFrame, titles: DataFrame, n_queries: int, k: int = TOP_K,

@@ -28,17 +28,18 @@ def term_frequency(tokens: DataFrame, surfaces: DataFrame, small: bool,
                    carry: Sequence[str] = ()) -> DataFrame:
     """``(doc_id, length, term, corpus_tf, tf)``: how often each document has each query
     term, next to how often the corpus has it, and the columns to ``carry`` of documents.
+    ``tokens`` are arrays of ``(token, n)``, as ``count_tokens`` makes them.
 
     Where the tokens are partitioned by ``doc_id`` and the surface forms are broadcast
     (``small``), nothing is shuffled.
     """
-    occurrences = tokens.select("doc_id", "length", *carry, F.explode("tokens").alias("token"))
+    occurrences = tokens.select("doc_id", "length", *carry, F.inline("tokens"))
     return (
         occurrences.join(
             broadcast_if(surfaces.select("token", "term", "corpus_tf"), small), "token"
         )
         .groupBy("doc_id", "length", *carry, "term", "corpus_tf")
-        .agg(F.count("*").alias("tf"))
+        .agg(F.sum("n").alias("tf"))
     )
 
 

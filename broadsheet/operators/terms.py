@@ -20,8 +20,10 @@ FREQUENT_CHARS = 64
 
 def stem_vocabulary(tokens: DataFrame) -> DataFrame:
     """``(token, n, stem)``: the distinct values of a column ``token``, how often each
-    occurs, and its stem. Counting comes before stemming, so a token is stemmed once."""
-    counts = tokens.groupBy("token").agg(F.count("*").alias("n"))
+    occurs, and its stem. Counting comes before stemming, so a token is stemmed once. A
+    column ``n``, if there is one, says how often each row counts."""
+    n = F.sum("n") if "n" in tokens.columns else F.count("*")
+    counts = tokens.groupBy("token").agg(n.alias("n"))
     return counts.withColumn("stem", stem(F.col("token")))
 
 
@@ -99,11 +101,26 @@ def keep_possible_tokens(tokens: DataFrame, starts: list[str]) -> DataFrame:
     return tokens.withColumn("tokens", kept)
 
 
+def count_tokens(tokens: DataFrame) -> DataFrame:
+    """The array column ``tokens`` as an array of ``(token, n)``, each different token once: the
+    runs of the sorted array. Nothing leaves its row."""
+    n = F.size("_sorted")
+    at = F.sequence(F.lit(1), n)
+    starts = F.when(n > 0, F.filter(at, lambda i: (i == 1) | (
+        F.element_at("_sorted", i) != F.element_at("_sorted", F.greatest(i - 1, F.lit(1)))))).otherwise(
+        F.array().cast("array<int>"))
+    runs = F.transform("_starts", lambda i, j: F.struct(
+        F.element_at("_sorted", i).alias("token"),
+        (F.coalesce(F.get("_starts", j + 1), n + 1) - i).alias("n")))
+    return tokens.withColumn("_sorted", F.array_sort("tokens")).withColumn("_starts", starts).withColumn(
+        "tokens", runs).drop("_sorted", "_starts")
+
+
 def surface_forms(tokens: DataFrame, terms: DataFrame, small: bool) -> DataFrame:
     """``(token, term, n, corpus_tf)``: the tokens of the corpus whose stem is one of the
     terms, how often each occurs, and how often its term does in all its forms. ``small``
     says that the terms may be broadcast."""
-    exploded = tokens.select(F.explode("tokens").alias("token"))
+    exploded = tokens.select(F.inline("tokens"))
     wanted = terms.select("term").distinct()
     # The terms are distinct, so this is a semi-join. As a semi-join it would be moved
     # below the counting, and every occurrence of a token be stemmed; so would a null

@@ -247,6 +247,10 @@ ORACLES = {
     "bad_article_lines": _sql([], """
         SELECT CAST(doc_id AS VARCHAR) AS id, 'unknown field' AS problem, 'lang' AS unknown
         FROM documents WHERE lang <> 'en'"""),
+    "sorted_article_lines": _sql(["articles"], """
+        SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN lang = 'en' THEN 'article' ELSE 'unknown field' END AS kind,
+               CASE WHEN lang = 'en' THEN CAST(len(items) AS INTEGER) ELSE 0 END AS n_items
+        FROM articles"""),
     "parse_queries": _sql(["query_positions"], """
         SELECT query_id, CAST(pos AS INTEGER) AS pos, term, CAST(1 AS SMALLINT) AS cnt
         FROM query_positions"""),

@@ -9,12 +9,14 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.cluster import BROADCAST_BYTES, broadcast_if, checkpointed, is_small
+from broadsheet.cluster import (
+    BROADCAST_BYTES, broadcast_if, checkpointed, intermediates, is_small,
+)
 from broadsheet.functions.stopwords import ENGLISH
 from broadsheet.functions.tokens import Limits
 from broadsheet.operators import ranking, scoring, stats, terms
 from broadsheet.operators.articles import (
-    article_tokens, articles_with_title, index_texts, one_per_id,
+    FILE, article_tokens, articles_with_title, from_files, index_texts, one_per_id,
 )
 from broadsheet.operators.indexing import spread
 from broadsheet.sinks.rankings import write_rankings
@@ -22,6 +24,10 @@ from broadsheet.sources.articles import read_articles
 from broadsheet.sources.queries import read_queries, unique_queries
 
 
+# Files that are named in a filter, at most. With more of them all files are read.
+MAX_FILES = 10_000
+
+
 @dataclass
 class Corpus:
     """What scoring needs to know about the articles, seen from one set of queries.
@@ -32,7 +38,7 @@ class Corpus:
     are compared with each other.
     """
 
-    tokens: DataFrame      # doc_id, title, length, tokens
+    tokens: DataFrame      # doc_id, title, length, tokens (token, n); file, if there are files
     terms: DataFrame       # query_id, term, qn, n_terms
     surfaces: DataFrame    # token, term, n, corpus_tf
     terms_small: bool
@@ -78,6 +84,16 @@ class Corpus:
         average = row["avg_length"] if row["n_docs"] else 0.0
         return F.lit(row["n_docs"]), F.lit(average)
 
+    def files(self, entries: DataFrame) -> list[str] | None:
+        """The files that hold the articles of some entries; None if that is not known, or
+        there are too many of them to name."""
+        if "file" not in self.tokens.columns:
+            return None
+        ids = entries.select("doc_id").distinct()
+        named = self.tokens.join(broadcast_if(ids, is_small(ids)), "doc_id", "left_semi")
+        rows = named.select("file").distinct().limit(MAX_FILES + 1).collect()
+        return [r["file"] for r in rows] if len(rows) <= MAX_FILES else None
+
     def release(self) -> None:
         for df in self._kept:
             df.unpersist()
@@ -103,11 +119,12 @@ def prepare(articles: DataFrame, queries: DataFrame, stopwords: Iterable[str] =
         n_bytes, starts = terms.term_starts(query_terms)
         terms_small = n_bytes <= BROADCAST_BYTES
 
-        texts = index_texts(articles)
+        texts = index_texts(articles, from_files(articles))
         if partitions:
             texts = spread(texts, partitions)
         tokens = terms.keep_possible_tokens(article_tokens(texts, stopwords, limits), starts)
-        tokens = keep(tokens.repartition("doc_id"))
+        # Counted before they are shuffled, so that repeats do not travel.
+        tokens = keep(terms.count_tokens(tokens).repartition("doc_id"))
         stats.check_ids(tokens)
 
         surfaces = keep(terms.surface_forms(tokens, query_terms, terms_small))
@@ -120,10 +137,16 @@ def prepare(articles: DataFrame, queries: DataFrame, stopwords: Iterable[str] =
         raise
 
 
-def with_articles(entries: DataFrame, articles: DataFrame, small: bool) -> DataFrame:
+def with_articles(entries: DataFrame, articles: DataFrame, small: bool,
+                  files: list[str] | None = None) -> DataFrame:
     """``(query_id, rank, doc_id, score, article)``: the full article of each entry. Entries
     that may be broadcast (``small``) filter the articles where they are read. Articles have
-    a title and ids that are unique among those."""
+    a title and ids that are unique among those.
+
+    ``files`` names the files that hold the articles of all entries, as far as that is known:
+    Spark then leaves all others out when it plans the scan, and does not open them."""
+    if files is not None:
+        articles = articles.where(F.col(FILE).isin(files))
     article = F.struct(*[F.col(c) for c in articles.columns if c != "doc_id"])
     return broadcast_if(entries, small).join(
         articles_with_title(articles).select("doc_id", article.alias("article")), "doc_id"
@@ -183,16 +206,18 @@ def rank_documents(articles: DataFrame, queries: DataFrame, k: int = ranking.TOP
             corpus.scores(), corpus.tokens, corpus.n_queries, k, min_distance, chunk,
             scores_of=corpus.scores,
         ))
+        files = corpus.files(entries)
     finally:
         corpus.release()
-    return document_rankings(queries, with_articles(entries, articles, is_small(entries)))
+    return document_rankings(queries, with_articles(entries, articles, is_small(entries), files))
 
 
 def rank_files(spark: SparkSession, query_path: str, article_path: str, out: str,
                mode: str = "failfast", form: str = "text", **options) -> str:
     """Rank the articles of a JSON-lines file for the queries of a text file and write the
-    rankings into a new folder under ``out``. Returns that folder."""
-    rankings = rank_documents(
-        read_articles(spark, article_path, mode), read_queries(spark, query_path), **options
-    )
-    return write_rankings(rankings, out, form)
+    rankings into a new folder under ``out``. Returns that folder. Nothing else is left."""
+    with intermediates(spark):
+        rankings = rank_documents(
+            read_articles(spark, article_path, mode), read_queries(spark, query_path), **options
+        )
+        return write_rankings(rankings, out, form)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from contextlib import suppress
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from broadsheet.cluster import checkpointed, delete_folder, intermediates, move_folder, write_mark
+
 
 def ranking_text(rankings: DataFrame, score: "callable" = lambda s: s.cast("string")) -> DataFrame:
     """``(query_id, original_query, body)``: the query, then a line per result:
@@ -31,20 +35,34 @@ def write_rankings(rankings: DataFrame, folder: str, form: str = "text") -> str:
     ``text`` writes ``rankings``, with a sub-folder ``query_id=<id>`` per query that holds its
     ranking as one text file, and ``queries``, a Parquet table of ids and query texts: a
     query may be of any length and hold any character. ``parquet`` writes the rows as they
-    are. Returns the path; a failure is an error.
+    are. Returns the path.
+
+    All is written to a hidden folder beside it first, then renamed, and marked ``_DONE`` at
+    last: the path that is returned holds whole results, and a failure leaves nothing there.
+    The rankings are worked out once, for both tables.
     """
-    path = f"{folder.rstrip('/')}/{datetime.now():%Y%m%d-%H%M%S-%f}"
-    if form == "text":
-        # The writer ends each row with a line break, so the body goes without its last.
-        body = F.regexp_replace("body", "\n$", "")
-        ranking_text(rankings).select(body.alias("value"), "query_id").repartition(
-            "query_id"
-        ).write.partitionBy("query_id").text(f"{path}/rankings")
-        rankings.select("query_id", "original_query").write.parquet(f"{path}/queries")
-    elif form == "parquet":
-        rankings.write.parquet(path)
-    else:
+    if form not in ("text", "parquet"):
         raise ValueError(f"form must be text or parquet, not {form!r}")
+    spark = rankings.sparkSession
+    name = f"{datetime.now():%Y%m%d-%H%M%S-%f}"
+    path, staging = (f"{folder.rstrip('/')}/{n}" for n in (name, f"_{name}-{uuid.uuid4().hex}"))
+    try:
+        if form == "text":
+            with intermediates(spark):
+                # The writer ends each row with a line break, so the body goes without its last.
+                texts = checkpointed(ranking_text(rankings))
+                body = F.regexp_replace("body", "\n$", "")
+                texts.select(body.alias("value"), "query_id").repartition(
+                    "query_id").write.partitionBy("query_id").text(f"{staging}/rankings")
+                texts.select("query_id", "original_query").write.parquet(f"{staging}/queries")
+        else:
+            rankings.write.parquet(staging)
+        move_folder(spark, staging, path)
+    except BaseException:
+        with suppress(Exception):
+            delete_folder(spark, staging)
+        raise
+    write_mark(spark, f"{path}/_DONE")
     return path
 
 

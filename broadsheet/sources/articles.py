@@ -8,6 +8,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from broadsheet.cluster import new_folder
 from broadsheet.schema import (
     ARTICLE, ARTICLE_FIELDS, ARTICLE_LINE, ARTICLE_SHAPE, CONTENT_FIELDS, MALFORMED, TEXT_FIELDS,
 )
@@ -21,6 +22,11 @@ def _unknown_fields(line: Column) -> Column:
     return F.array_except(F.json_object_keys(line), known)
 
 
+# A field with an object or an array in it, other than `contents` with an array. Objects and
+# arrays have no other place in a line where a field name stands before them.
+_OTHER_STRUCTURE = r"""(?<!["']contents)["']\s*:\s*[\[{]|["']contents["']\s*:\s*\{"""
+
+
 def _structure_as_text(line: Column) -> Column:
     """Whether a text field of a line, or of a content item, holds an object or an array.
     Numbers and booleans count as text."""
@@ -54,7 +60,9 @@ def check_article_lines(lines: DataFrame) -> DataFrame:
             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED},
         ).alias("article"),
         _unknown_fields(F.col("value")).alias("unknown"),
-        _structure_as_text(F.col("value")).alias("structured"),
+        # Few lines have a place for such a structure; only those are parsed for it.
+        F.when(F.col("value").rlike(_OTHER_STRUCTURE), _structure_as_text(F.col("value")))
+        .otherwise(F.lit(False)).alias("structured"),
     )
     date = F.col("article.published_date")
     malformed = (
@@ -82,7 +90,7 @@ def parse_articles(lines: DataFrame, mode: str = "failfast") -> DataFrame:
     """Article lines as rows of the article schema.
 
     ``failfast`` makes the job fail at a bad line. ``drop`` and ``permissive`` leave bad
-    lines out; ``bad_article_lines`` returns them.
+    lines out; ``bad_article_lines`` returns them, and ``sort_article_lines`` both in one pass.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -103,6 +111,33 @@ def bad_article_lines(lines: DataFrame) -> DataFrame:
     return checked.select("value", "problem", "unknown")
 
 
-def read_articles(spark: SparkSession, path: str | list[str], mode: str = "failfast") -> DataFrame:
-    """The articles of a JSON-lines file."""
+def sort_article_lines(lines: DataFrame, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The articles, and the bad lines with their ``problem`` and ``unknown`` fields, out of one
+    pass over the lines.
+
+    Each line is read and checked once and written, good ones as articles, bad ones as they
+    are, into a part of ``folder`` of its own (a new one in the shared folder, unless it is
+    given). What is returned reads one part each.
+    """
+    spark = lines.sparkSession
+    folder = folder or new_folder(spark, "article-lines")
+    good = F.col("problem").isNull()
+    checked = check_article_lines(lines).select(
+        F.when(good, F.lit("article")).otherwise(F.lit("bad")).alias("kind"),
+        F.when(good, F.col("article")).alias("article"),
+        *[F.when(~good, F.col(name)).alias(name) for name in ("value", "unknown")], "problem")
+    checked.write.partitionBy("kind").parquet(folder)
+    written = spark.read.schema(checked.schema).parquet(folder)
+    return (written.where("kind = 'article'").select("article.*"),
+            written.where("kind = 'bad'").select("value", "problem", "unknown"))
+
+
+def read_articles(spark: SparkSession, path: str | list[str], mode: str = "failfast",
+                  bad: str | None = None) -> DataFrame:
+    """The articles of a JSON-lines file. In the mode ``permissive``, with a new folder ``bad``,
+    lines are sorted into it: the bad ones are then a Parquet table under ``kind=bad``."""
+    if bad is not None:
+        if mode != "permissive":
+            raise ValueError("only the mode permissive keeps bad lines")
+        return sort_article_lines(scan_lines(spark, path), bad)[0]
     return parse_articles(scan_lines(spark, path), mode)

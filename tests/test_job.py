@@ -11,7 +11,7 @@ from broadsheet.functions.stopwords import ENGLISH
 from broadsheet.functions.tokens import NO_LIMITS
 from broadsheet.plans import ranking_job
 from broadsheet.sinks.rankings import read_ranking_texts, write_rankings
-from broadsheet.sources.articles import parse_articles
+from broadsheet.sources.articles import parse_articles, read_articles
 from broadsheet.sources.queries import read_queries
 
 WORDS = """rain flood coast storm river warning election vote party minister market shares bank
@@ -237,3 +237,97 @@ def test_no_documents_are_shuffled_after_the_tokens(spark):
     assert "Exchange hashpartitioning" not in main.split("InMemoryRelation")[0]
     prepared.release()
     assert ENGLISH
+
+
+def everything_below(folder):
+    return sorted(str(p) for p in Path(folder).rglob("*") if p.is_file())
+
+
+@pytest.fixture
+def shared(spark, tmp_path, monkeypatch):
+    """A shared folder of its own, to see what is left in it."""
+    context, folder = spark.sparkContext, str(tmp_path / "shared")
+    old = context.getCheckpointDir()
+    context.setCheckpointDir(folder)
+    monkeypatch.setattr("broadsheet.cluster.shared_folder", lambda spark: folder)
+    yield tmp_path / "shared"
+    if old:
+        context.setCheckpointDir(old)
+
+
+def test_nothing_is_left_behind(spark, tmp_path, shared):
+    """No file of an intermediate table stays, after a good run and after a failed one."""
+    write(tmp_path, corpus(), QUERIES)
+    paths = str(tmp_path / "queries.txt"), str(tmp_path / "articles.json"), str(tmp_path / "out")
+    rank_files(spark, *paths, chunk=5)
+    assert everything_below(shared) == []
+    with open(tmp_path / "articles.json", "a") as file:
+        file.write("no article\n")
+    with pytest.raises(Exception, match="malformed line"):
+        rank_files(spark, *paths)
+    assert everything_below(shared) == []
+
+
+def test_a_scope_owns_what_is_made_within_it(spark, shared):
+    from broadsheet import intermediates
+    from broadsheet.cluster import checkpointed, new_folder
+
+    kept = checkpointed(spark.range(3))
+    with intermediates(spark):
+        outer = new_folder(spark, "outer")
+        spark.range(3).write.parquet(outer)
+        with intermediates(spark):
+            inner = checkpointed(spark.range(5))
+            assert inner.count() == 5
+        n = len(everything_below(shared))
+        assert spark.read.parquet(outer).count() == 3
+    assert 0 < len(everything_below(shared)) < n
+    assert kept.count() == 3
+
+
+def test_a_failed_write_shows_nothing(spark, tmp_path, monkeypatch):
+    """The second of two tables fails: no folder of results is there, nor a part of one."""
+    from pyspark.sql import DataFrameWriter
+
+    articles, queries = frames(spark, corpus(40), ["rain"])
+    rankings = rank_documents(articles, queries)
+    parquet = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: (
+        (_ for _ in ()).throw(OSError("disk full")) if path.endswith("/queries") else parquet(self, path, *a, **k)))
+    with pytest.raises(OSError, match="disk full"):
+        write_rankings(rankings, str(tmp_path / "out"))
+    assert everything_below(tmp_path / "out") == []
+    monkeypatch.undo()
+    path = write_rankings(rankings, str(tmp_path / "out"))
+    assert [p.name for p in (tmp_path / "out").iterdir()] == [Path(path).name]
+    assert (Path(path) / "_DONE").exists()
+
+
+def test_files_without_ranked_articles_are_not_read_again(spark, tmp_path):
+    """Ten files, of which one holds all that is ranked: the others may be gone by then."""
+    for i in range(10):
+        word = "storm" if i == 7 else "sun"
+        (tmp_path / f"{i}.json").write_text("".join(json.dumps(
+            {"id": f"{i}-{j}", "title": f"{word} {'abcdefgh'[j] * 20}", "contents": []}) + "\n" for j in range(8)))
+    queries = spark.createDataFrame([(1, "storm")], "query_id long, original_query string")
+    articles = read_articles(spark, f"{tmp_path}/*.json").where("title is not null")
+    rankings = rank_documents(articles, queries)
+    for i in range(10):
+        if i != 7:
+            (tmp_path / f"{i}.json").unlink()
+    (row,) = rankings.collect()
+    assert sorted(x.doc_id for x in row.results) == [f"7-{j}" for j in range(8)]
+    assert {x.article.title for x in row.results} == {f"storm {c * 20}" for c in "abcdefgh"}
+
+
+def test_articles_that_are_no_files_are_looked_up_in_all(spark, monkeypatch):
+    articles, queries = frames(spark, corpus(40), ["rain"])
+    same(results(rank_documents(articles, queries)), rank(corpus(40), ["rain"]))
+
+
+def test_too_many_files_to_name(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ranking_job, "MAX_FILES", 1)
+    frame, queries = frames(spark, corpus(40), ["rain", "storm"])
+    frame.repartition(6).write.parquet(str(tmp_path / "articles"))
+    found = rank_documents(spark.read.parquet(str(tmp_path / "articles")), queries)
+    same(results(found), rank(corpus(40), ["rain", "storm"]))

@@ -3,7 +3,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from broadsheet.sources.articles import bad_article_lines, parse_articles, read_articles
+from broadsheet.sources.articles import (
+    bad_article_lines, parse_articles, read_articles, sort_article_lines,
+)
 from broadsheet.sources.lines import scan_lines
 from broadsheet.sources.queries import read_queries
 
@@ -96,3 +98,52 @@ def test_a_structure_is_no_text(spark, line):
     assert (bad.value, bad.problem) == (line, "malformed line")
     with pytest.raises(Exception, match="malformed line"):
         parse_articles(lines).collect()
+
+
+@pytest.mark.parametrize("line", [
+    "{'title': ['t']}", '{"titl\\u0065": {"x": 1}}', '{"title":\t [1], "contents": []}', '{"contents": {"content": "x"}}',
+    '{"contents": [{"content": "a", "kicker": {}}, {"blurb": "b"}]}', '{"contents": [], "contents": [], "author": {}}',
+])
+def test_a_structure_is_found_however_it_is_written(spark, line):
+    (bad,) = bad_article_lines(lines(spark, GOOD, line)).collect()
+    assert (bad.value, bad.problem) == (line, "malformed line")
+
+
+def test_text_that_looks_like_a_structure(spark):
+    article = GOOD | {"title": 'he said "a": [b] and "contents": {c}', "author": '":{', "contents": [
+        {"content": '{"title": [1]}', "subtype": "paragraph", "unknown": {"x": [{"title": {}}]}}]}
+    (row,) = parse_articles(lines(spark, article)).collect()
+    assert row.title == article["title"] and row.contents[0].content == '{"title": [1]}'
+    assert bad_article_lines(lines(spark, article)).isEmpty()
+
+
+def test_lines_are_sorted_in_one_pass(spark, tmp_path):
+    """All good and bad lines; once sorted, the input is not read again."""
+    path = tmp_path / "lines.json"
+    every = [json.dumps(GOOD), *(line for line in BAD if line), json.dumps(GOOD | {"id": "a2"})]
+    path.write_text("\n".join(every) + "\n")
+    good, bad = sort_article_lines(scan_lines(spark, str(path)), str(tmp_path / "sorted"))
+    path.unlink()
+    assert sorted(r.id for r in good.collect()) == ["a1", "a2"]
+    assert good.columns == parse_articles(lines(spark, GOOD)).columns
+    assert {r.value: r.problem for r in bad.collect()} == {v: p for v, p in BAD.items() if v}
+    assert [list(r.unknown) for r in bad.where("problem = 'unknown field'").collect()] == [["colour"]]
+    with pytest.raises(Exception, match="already exists"):
+        sort_article_lines(lines(spark, GOOD), str(tmp_path / "sorted"))
+
+
+@pytest.mark.parametrize("values, n", [([GOOD], 0), (["no article"], 1), ([], 0)])
+def test_lines_of_one_kind(spark, values, n):
+    frame = lines(spark, *values) if values else lines(spark, GOOD).where("false")
+    good, bad = sort_article_lines(frame)
+    assert (good.count(), bad.count()) == (len(values) - n, n)
+
+
+def test_bad_lines_go_to_a_folder(spark, tmp_path):
+    path = tmp_path / "lines.json"
+    path.write_text(json.dumps(GOOD) + "\nno article\n")
+    articles = read_articles(spark, str(path), "permissive", bad=str(tmp_path / "sorted"))
+    assert [r.id for r in articles.collect()] == ["a1"]
+    assert [r.value for r in spark.read.parquet(f"{tmp_path}/sorted/kind=bad").collect()] == ["no article"]
+    with pytest.raises(ValueError):
+        read_articles(spark, str(path), "drop", bad=str(tmp_path / "other"))

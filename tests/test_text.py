@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from broadsheet.functions.porter import STEP_2, STEP_3, STEP_4, starts, stem
 from broadsheet.functions.stopwords import ENGLISH, as_tokens
 from broadsheet.functions.tokens import remove_stopwords, tokenize
-from broadsheet.operators.terms import keep_possible_tokens, text_to_terms
+from broadsheet.operators.terms import count_tokens, keep_possible_tokens, text_to_terms
 
 
 def one(spark, column, text):
@@ -129,3 +129,11 @@ def test_text_to_terms_keeps_order_and_repeats(spark):
     assert rare == rows
     assert [tuple(r) for r in rows] == [(1, 0, "flood"), (1, 1, "flood"), (1, 2, "flood")]
     assert "the" in STOP
+
+
+def test_tokens_are_counted_in_their_row(spark):
+    rows = [(0, ["b", "a", "b", "b", "c", "a"]), (1, []), (2, ["x"]), (3, ["y", "y"])]
+    df = count_tokens(spark.createDataFrame(rows, "doc_id int, tokens array<string>"))
+    found = {r.doc_id: [tuple(t) for t in r.tokens] for r in df.collect()}
+    assert found == {0: [("a", 2), ("b", 3), ("c", 1)], 1: [], 2: [("x", 1)], 3: [("y", 2)]}
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
