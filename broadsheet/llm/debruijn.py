@@ -5,7 +5,7 @@ Consecutive edges under one minimizer form a path, one row. A path whose minimiz
 in no other path is nonbranching: all its occurrences are compacted into that one row by
 joins, and all but the first are repeats as a whole. Where several paths share a minimizer
 the graph branches; only there the paths are opened into edges, and the source coordinates
-of each edge, under two independent hashes, decide which of its occurrences came first.
+of each edge, under two hashes, decide which of its occurrences came first.
 """
 
 from __future__ import annotations
@@ -60,5 +60,5 @@ def remove_repeated_words(docs: DataFrame, with_text: bool = True) -> DataFrame:
     empty table gives an empty result. Rows without an id repeat nothing and stay whole.
     Repeated rows (one id, one text) are one document: each gives the same row.
     """
-    spans = with_spans(texts_by_id(docs), repeated_windows(docs))
+    spans, _, _ = with_spans(texts_by_id(docs), repeated_windows(docs))
     return spans.mapInPandas(_kept_rows(with_text), KEPT)

@@ -6,29 +6,54 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.cluster import new_folder
+from broadsheet.llm.scratch import file_system
+
 # Entries of a shard: some 100 MB. A larger table is used shard by shard, each with a pass
 # of its own over what is looked up, and the parts are added up.
 SHARD_ENTRIES = 4_000_000
 
 
+class StoredTable:
+    """A table in the shared folder, which tasks read as a whole: ``value`` is a dict of arrays,
+    the columns, sorted by ``key`` as unsigned numbers. It does not pass through the driver."""
+
+    def __init__(self, path: str, key: str = "key"):
+        self.path, self.key = path, key
+
+    def columns(self) -> dict[str, np.ndarray]:
+        import pyarrow.parquet as pq
+
+        files, folder = file_system(self.path)
+        table = pq.read_table(folder, filesystem=files, use_threads=False)
+        return {name: table.column(name).to_numpy() for name in table.column_names}
+
+    @property
+    def value(self) -> dict[str, np.ndarray]:
+        columns = self.columns()
+        columns[self.key] = columns[self.key].view(np.uint64)
+        order = np.argsort(columns[self.key])
+        return {name: column[order] for name, column in columns.items()}
+
+
+def stored(table: DataFrame, name: str) -> str:
+    """The path of a new folder in the shared one that a table has been written to."""
+    path = new_folder(table.sparkSession, name)
+    table.write.parquet(path)
+    return path
+
+
 def shards(table: DataFrame, key: str = "key", by: str | None = None,
-           entries: int = SHARD_ENTRIES) -> Iterator[Broadcast]:
-    """Broadcasts of dicts of arrays, the columns of a table, sorted by ``key`` as unsigned
-    numbers: the rows of one shard each. ``by`` is what rows are dealt to shards by. The size
-    is counted first, so that none is larger than the bound, about."""
+           entries: int = SHARD_ENTRIES) -> Iterator[StoredTable]:
+    """A table in shards, each with a part of the rows. ``by`` is what rows are dealt to shards
+    by. The size is counted first, so that none is larger than the bound, about."""
     n = max(1, math.ceil(table.count() / entries))
     for i in range(n):
         part = table.where(F.pmod(F.xxhash64(by or key), F.lit(n)) == i) if n > 1 else table
-        arrow = part.toArrow()
-        keys = arrow.column(key).to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        yield table.sparkSession.sparkContext.broadcast({
-            name: (keys if name == key else arrow.column(name).to_numpy())[order]
-            for name in arrow.column_names})
+        yield StoredTable(stored(part, "shard"), key)
 
 
 def find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

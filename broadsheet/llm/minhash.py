@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.components import components
-from broadsheet.llm.scratch import free_shuffles, written
+from broadsheet.llm.scratch import free_shuffles, unused, written
 from broadsheet.llm.textarrays import Hasher, mix, ragged, signed, text_slices, word_spans
+from broadsheet.llm.words import pieces, span_hashes
 
 # Rows of a band and bands: two sets of similarity 0.8 share no band once in 500,000 times.
 ROWS, BANDS = 7, 56
@@ -41,7 +42,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int, hasher: Hash
     """Hashes of the distinct shingles of each text, one text after the other, and the
     offset of each text in them. A text of fewer words than a shingle is one shingle."""
     starts, ends, bounds = word_spans(data, offsets)
-    items = hasher.spans(hasher.prefix(data), starts, ends)
+    items = span_hashes(pieces(data), starts, ends)
     sums = hasher.prefix(items)
     count = np.diff(bounds)
     n = np.where(count >= words, count - words + 1, (count > 0).astype(np.int64))
@@ -280,8 +281,9 @@ def _apart(buckets: DataFrame, labels: DataFrame) -> DataFrame:
 def one_of_each_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The documents with one of each group of near duplicates, that of the smallest id, and
     one row of each id; rows without an id stay. See ``near_duplicates`` for the rules."""
+    (name,) = unused(docs, "kept")
     kept = near_duplicates(docs, words, percent).where("kept and doc_id is not null").select(
-        F.col("doc_id").alias("_kept")).distinct()
+        F.col("doc_id").alias(name)).distinct()
     with_id = docs.where("doc_id is not null").join(
-        kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+        kept, docs["doc_id"].cast("long") == F.col(name), "left_semi").dropDuplicates(["doc_id"])
     return with_id.unionByName(docs.where("doc_id is null"))

@@ -27,6 +27,7 @@ from fractions import Fraction
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType, StringType
 
 from broadsheet.cluster import broadcast_if, is_small, new_folder
 from broadsheet.operators.indexing import number_rows
@@ -171,26 +172,11 @@ def _key(source: Column) -> Column:
         F.concat(F.lit("="), source.cast("string")))
 
 
-def mix_order(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK,
-              parts: int | None = None) -> DataFrame:
-    """``(doc_id, source, block, slot, place)``: sorted by ``slot`` and ``place``, the
-    documents are mixed. A slot is one block of one source; ``place`` is the place in it.
-
-    ``docs`` has ``doc_id`` and ``source``; other columns are ignored. ``weights`` gives the
-    target weight of each source; sources it does not name come after all others have run
-    out. By default the weight of a source is its number of documents to the power of
-    TEMPERATURE. Rows of one id and source (repeated rows) have one place. A null source is
-    a source of its own, a null id comes first in its source. An empty table gives no rows.
-    Weights are kept exactly, unless ``parts`` says what to round them to.
-
-    Only the number of documents of each source goes through the driver, which deals out one
-    slot for each block and writes the slots as it goes.
-    """
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source")
-    ).groupBy("doc_id", "source").agg(F.lit(1).alias("one")).select(
-        "doc_id", "source", _key(F.col("source")).alias("key"))
-    numbered = number_rows(rows, [F.col("doc_id")], "number", within="key")
+def _placed(rows: DataFrame, weights: Mapping[str, float] | None, block: int, parts: int | None) -> DataFrame:
+    """``rows(doc_id, source, key, tie)``, and whatever else they have, with ``block``, ``slot`` and
+    ``place``: every row is numbered within its source."""
+    kept = [c for c in rows.columns if c not in ("key", "tie")]
+    numbered = number_rows(rows, [F.col("doc_id"), F.col("tie")], "number", within="key")
     sizes = {r["key"]: r["n"] for r in numbered.groupBy("key").agg(
         F.count("*").alias("n")).toLocalIterator()}
     wanted = ({s: n ** TEMPERATURE for s, n in sizes.items()} if weights is None
@@ -198,24 +184,49 @@ def mix_order(docs: DataFrame, weights: Mapping[str, float] | None = None, block
     blocks = {s: -(-n // block) for s, n in sizes.items()}
     slots = (_in_parts(blocks, wanted, parts) if parts
              else ((s, slot) for slot, s in enumerate(turns(blocks, wanted))))
-    plan = _slot_table(docs.sparkSession, slots)
+    plan = _slot_table(rows.sparkSession, slots)
     placed = numbered.withColumn("block", F.floor(F.col("number") / block).cast("long")).join(
         broadcast_if(plan, is_small(plan)),
         (F.col("key") == F.col("plan_key")) & (F.expr(f"block div {PIECE}") == F.col("piece")))
     slot = F.element_at("slots", (F.pmod("block", F.lit(PIECE)) + 1).cast("int"))
-    return placed.select("doc_id", "source", "block", slot.alias("slot"),
+    return placed.select(*kept, "block", slot.alias("slot"),
                          F.pmod("number", F.lit(block)).cast("int").alias("place"))
 
 
+def _rows(docs: DataFrame, *more: Column) -> DataFrame:
+    """What ``_placed`` takes. Rows of one id are in the order of a hash of their other columns, so
+    that an id, or none, that a third of the rows have does not fill a partition."""
+    rest = [docs[f"`{f.name}`"] for f in docs.schema.fields
+            if isinstance(f.dataType, (StringType, NumericType)) and f.name not in ("doc_id", "source")]
+    return docs.select(
+        docs["doc_id"].cast("long").alias("doc_id"), docs["source"].cast("string").alias("source"),
+        _key(docs["source"]).alias("key"), F.xxhash64(F.lit(0), *rest).alias("tie"), *more)
+
+
+def mix_order(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK,
+              parts: int | None = None) -> DataFrame:
+    """``(doc_id, source, block, slot, place)``: sorted by ``slot`` and ``place``, the
+    documents are mixed. A slot is one block of one source; ``place`` is the place in it.
+
+    ``docs`` has ``doc_id`` and ``source``; other columns only order rows of one id.
+    ``weights`` gives the target weight of each source; sources it does not name come after
+    all others have run out. By default the weight of a source is its number of documents to
+    the power of TEMPERATURE. Every row has a place of its own, also where ids repeat or are
+    null. A null source is a source of its own, a null id comes first in its source. An empty
+    table gives no rows. Weights are kept exactly, unless ``parts`` says what to round them to.
+
+    Only the number of documents of each source goes through the driver, which deals out one
+    slot for each block and writes the slots as it goes.
+    """
+    return _placed(_rows(docs), weights, block, parts)
+
+
 def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK,
           parts: int | None = None) -> DataFrame:
-    """The rows of ``docs``, all columns, in the order of the mix: sorted over partitions and
-    within, so that files written from it hold the mix from the first to the last."""
-    order = mix_order(docs, weights, block, parts).select(
-        F.col("doc_id").alias("_doc"), F.col("source").alias("_source"),
-        F.struct("slot", "place").alias("_order"))
-    joined = docs.join(order, docs["doc_id"].cast("long").eqNullSafe(F.col("_doc"))
-                       & docs["source"].cast("string").eqNullSafe(F.col("_source")))
+    """The rows of ``docs``, all columns, whatever their names, in the order of the mix: sorted
+    over partitions and within, so that files written from it hold the mix from the first to
+    the last. See ``mix_order`` for the rules."""
+    whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    placed = _placed(_rows(docs, whole), weights, block, parts)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return joined.repartitionByRange(n, "_order").sortWithinPartitions("_order").select(
-        *[docs[c] for c in docs.columns])
+    return placed.repartitionByRange(n, "slot", "place").sortWithinPartitions("slot", "place").select("row.*")

@@ -12,6 +12,7 @@ among those of its length.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -21,85 +22,94 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.scratch import written
-from broadsheet.llm.textarrays import Hasher, ragged, text_slices
+from broadsheet.llm.textarrays import ragged, text_slices
+from broadsheet.llm.words import IdCache
 from broadsheet.operators.indexing import number_rows
 
 CAPACITY = 1024
 END = 0
 
 # Chunks of text whose ids a task remembers, and bytes that are tokenised in one call.
-CACHE = 600_000
+CACHE = 500_000
 CALL_BYTES = 100_000
 
 
-class ChunkTokenizer:
-    """Token ids of many texts, each different chunk of text tokenised once.
-
-    The tokenizer splits a text, before merging bytes within the pieces, in front of every
-    space that is followed by a character other than white space. Texts are cut at those
-    spaces where that can be told from the next byte, so ids do not depend on what stands
-    around a chunk, and equal chunks have equal ids.
-
-    With ``added_tokens`` ids are those of the tokenizer as loaded, which finds its added
-    tokens in a text first: a text that holds one is tokenised as a whole. Without, special
-    tokens in a text are text like any other.
-    """
+class _Chunks:
+    """The ids of chunks of text by a tokenizer: many in one call where chunks end at cuts."""
 
-    def __init__(self, path: str, added_tokens: bool = False):
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()
-                      ] if added_tokens else []
         vocabulary = self.tokenizer.get_vocab()
         # Each character of a token stands for one byte.
         self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.size[i] = len(token)
-        self.hasher = Hasher()
         self.follows = np.zeros(256, bool)
         self.follows[0x21:0x7F] = True
         self.follows[0xC3] = True  # the letters from U+00C0 to U+00FF
-        self._forget()
-
-    def _forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.where = np.zeros((0, 2), np.int64)
-        self.pool = np.zeros(0, np.int32)
-
-    def _encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        """Add the ids of chunks to the pool, with their places."""
-        loose = ~self._cuts(data, starts)
-        pools, places = [], np.zeros((len(starts), 2), np.int64)
-        total = len(self.pool)
-        for i in np.flatnonzero(loose):
-            ids = self.tokenizer.encode(
-                data[starts[i]:ends[i]].tobytes().decode(), add_special_tokens=False).ids
-            pools.append(np.array(ids, np.int32))
-            places[i] = total, len(ids)
-            total += len(ids)
-        firm = np.flatnonzero(~loose)
+
+    def cuts(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        after = np.append(data, 0)
+        return (data[at] == 0x20) & self.follows[after[at + 1]]
+
+    def encode(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks, one chunk after the other, and how many each has."""
+        firm = self.cuts(data, starts)
+        loose, firm = np.flatnonzero(~firm), np.flatnonzero(firm)
+        counts = np.zeros(len(starts), np.int64)
+        parts: list[np.ndarray] = []
+        if len(loose):
+            found = self.tokenizer.encode_batch_fast(
+                [data[a:b].tobytes().decode() for a, b in zip(starts[loose], ends[loose])],
+                add_special_tokens=False)
+            counts[loose] = [len(e) for e in found]
+            parts.append(np.array([i for e in found for i in e.ids], np.int32))
         sizes = (ends - starts)[firm]
-        calls = np.searchsorted(np.cumsum(sizes), np.arange(CALL_BYTES, sizes.sum() + CALL_BYTES, CALL_BYTES), "left") + 1
+        calls = np.searchsorted(np.cumsum(sizes), np.arange(
+            CALL_BYTES, sizes.sum() + CALL_BYTES, CALL_BYTES), "left") + 1
         first = 0
         for last in np.unique(np.minimum(calls, len(firm))):
             part = firm[first:last]
             text = data[ragged(starts[part], (ends - starts)[part])].tobytes().decode()
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
+            (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(found.ids, np.int32)
             edges = np.cumsum(self.size[ids])
             bounds = np.searchsorted(edges, np.cumsum((ends - starts)[part]), "left") + 1
-            places[part, 0] = total + np.concatenate(([0], bounds[:-1]))
-            places[part, 1] = np.diff(bounds, prepend=0)
-            pools.append(ids)
-            total += len(ids)
+            counts[part] = np.diff(bounds, prepend=0)
+            parts.append(ids)
             first = last
-        self.pool = np.concatenate([self.pool, *pools])
-        self.new = places
+        # Back into the order of the chunks.
+        order = np.concatenate([loose, firm])
+        begin = np.empty(len(starts), np.int64)
+        begin[order] = np.cumsum(counts[order]) - counts[order]
+        every = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        return every[ragged(begin, counts)], counts
 
-    def _cuts(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
-        after = np.append(data, 0)
-        return (data[at] == 0x20) & self.follows[after[at + 1]]
+
+class ChunkTokenizer:
+    """Token ids of many texts, each different chunk of text tokenised once.
+
+    The tokenizer splits a text, before merging bytes within the pieces, in front of every
+    space that is followed by a character other than white space. Texts are cut at those
+    spaces where that can be told from the next byte, so ids do not depend on what stands
+    around a chunk, and equal chunks have equal ids. Chunks are looked up by hash, and their
+    bytes compared.
+
+    With ``added_tokens`` ids are those of the tokenizer as loaded, which finds its added
+    tokens in a text first: a text that holds one is tokenised as a whole. Without, special
+    tokens in a text are text like any other.
+    """
+
+    def __init__(self, path: str, added_tokens: bool = False):
+        self.chunks = _Chunks(path)
+        self.tokenizer = self.chunks.tokenizer
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()
+                      ] if added_tokens else []
+        self.cache = IdCache(self.chunks.encode, CACHE)
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a slice, and the offset of each text in them."""
@@ -144,28 +154,12 @@ class ChunkTokenizer:
         if not len(data):
             return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
         cut = np.zeros(len(data) + 1, bool)
-        cut[:-1] = (data == 0x20) & self.follows[np.append(data[1:], 0)]
+        cut[:-1] = (data == 0x20) & self.chunks.follows[np.append(data[1:], 0)]
         cut[offsets] = True
         edges = np.flatnonzero(cut)
         starts, ends = edges[:-1], edges[1:]
-        hashes = self.hasher.spans(self.hasher.prefix(data), starts, ends)
-        unique, example, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) + len(unique) > CACHE:
-            self._forget()
-        at = np.searchsorted(self.keys, unique)
-        known = np.zeros(len(unique), bool)
-        inside = at < len(self.keys)
-        known[inside] = self.keys[at[inside]] == unique[inside]
-        if not known.all():
-            new = example[~known]
-            self._encode(data, starts[new], ends[new])
-            self.keys = np.insert(self.keys, at[~known], unique[~known])
-            self.where = np.insert(self.where, at[~known], self.new, axis=0)
-            at = np.searchsorted(self.keys, unique)
-        places = self.where[at][inverse]
-        ids = self.pool[ragged(places[:, 0], places[:, 1])]
-        sums = np.concatenate(([0], np.cumsum(places[:, 1])))
-        return ids, sums[np.searchsorted(starts, offsets)]
+        ids, counts = self.cache.spans(data, starts, ends)
+        return ids, np.concatenate(([0], np.cumsum(counts)))[np.searchsorted(starts, offsets)]
 
 
 def _piece_rows(path: str, capacity: int, with_ids: bool, added_tokens: bool):

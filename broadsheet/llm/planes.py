@@ -33,6 +33,7 @@ from pyspark.sql.datasource import (
 )
 
 from broadsheet.cluster import new_folder
+from broadsheet.llm.scratch import file_system
 from broadsheet.llm.textarrays import list_column, ragged, text_slices, word_spans
 from broadsheet.llm.words import IdCache
 
@@ -207,15 +208,6 @@ class FileReader:
 
 # The data source
 
-def _file_system(path: str):
-    """The file system of a path and the path in it, for Spark's spellings of local paths."""
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        path = "/" + path[5:].lstrip("/")
-    return fs.FileSystem.from_uri(path)
-
-
 @dataclass
 class _Written(WriterCommitMessage):
     part: int
@@ -244,7 +236,7 @@ class _Writer(DataSourceArrowWriter):
 
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}.planes"
-        files, folder = _file_system(self.path)
+        files, folder = file_system(self.path)
         files.create_dir(folder, recursive=True)
         with files.open_output_stream(f"{folder}/{name}") as stream:
             out = FileWriter(stream, self.chunk, self.bits, self.level)
@@ -254,7 +246,7 @@ class _Writer(DataSourceArrowWriter):
         return _Written(part, name, documents, ids)
 
     def commit(self, messages: list) -> None:
-        files, folder = _file_system(self.path)
+        files, folder = file_system(self.path)
         files.create_dir(folder, recursive=True)
         listed, base = [], 0
         for m in sorted((m for m in messages if m is not None), key=lambda m: m.part):
@@ -266,7 +258,7 @@ class _Writer(DataSourceArrowWriter):
         files.move(f"{folder}/{LIST}.new", f"{folder}/{LIST}")
 
     def abort(self, messages: list) -> None:
-        files, folder = _file_system(self.path)
+        files, folder = file_system(self.path)
         for m in messages:
             if m is not None:
                 files.delete_file(f"{folder}/{m.name}")
@@ -277,7 +269,7 @@ class _Reader(DataSourceReader):
         self.path, self.sums = options["path"], sums
 
     def partitions(self) -> list[_File]:
-        files, folder = _file_system(self.path)
+        files, folder = file_system(self.path)
         with files.open_input_stream(f"{folder}/{LIST}") as stream:
             listed = json.loads(stream.read())["files"]
         return [_File(f["name"], f["base"]) for f in listed if f["documents"]]
@@ -285,7 +277,7 @@ class _Reader(DataSourceReader):
     def read(self, partition: _File | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # of an empty list
             return
-        files, folder = _file_system(self.path)
+        files, folder = file_system(self.path)
         path = f"{folder}/{partition.name}"
         with files.open_input_file(path) as stream:
             file = FileReader(stream, stream.size())

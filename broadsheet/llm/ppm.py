@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from broadsheet.llm.lookup import added_up, find, shards, text_key
 from broadsheet.llm.scratch import free_shuffles, written
-from broadsheet.llm.textarrays import Hasher, ragged, signed, text_slices, totals, word_spans
+from broadsheet.llm.textarrays import ragged, signed, text_slices, totals, word_spans
+from broadsheet.llm.words import pieces, span_hashes
 
 ORDER = 5
 HELD_OUT = 1, 5  # remainder and divisor of crc32(doc_id as text)
@@ -59,8 +60,6 @@ def windows(stream: np.ndarray, bounds: np.ndarray, order: int) -> tuple[np.ndar
 
 def _count_rows(order: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
-
         def counted(kind: int, keys: np.ndarray, train: np.ndarray) -> pa.RecordBatch:
             unique, inverse = np.unique(keys, return_inverse=True)
             n = np.bincount(inverse, train, len(unique)).astype(np.int64)
@@ -75,7 +74,7 @@ def _count_rows(order: int):
                 keys, row = windows(stream, bounds, order)
                 own = train[first:end]
                 yield counted(0, keys, own[row])
-                names = hasher.spans(hasher.prefix(data), starts, ends)
+                names = span_hashes(pieces(data), starts, ends)
                 word_row = np.repeat(np.arange(end - first), np.diff(words))
                 some = own[word_row]
                 yield counted(1, names[some], np.ones(int(some.sum())))
@@ -149,12 +148,12 @@ def _price_rows(order: int, prices):
 
 def _base_rows(counts, end_count: int, total: int, kinds: int, first_shard: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, hasher = counts.value, Hasher()
+        table = counts.value
         space = total + 0.5 * (kinds + 1)
         for batch in batches:
             for first, end, data, offsets in text_slices(batch.column("text"), lower=True):
                 starts, ends, bounds = word_spans(data, offsets)
-                names = hasher.spans(hasher.prefix(data), starts, ends)
+                names = span_hashes(pieces(data), starts, ends)
                 row = np.repeat(np.arange(end - first), np.diff(bounds))
                 at, there = find(table["key"], names)
                 n = np.where(there, table["n"][at], 0) if len(table["key"]) else np.zeros(len(names), np.int64)

@@ -125,6 +125,31 @@ least AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
 SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, w.doc_id) AS component_id,
   coalesce(component, w.doc_id) = w.doc_id AS kept
 FROM words w LEFT JOIN sizes s ON w.doc_id = s.doc_id LEFT JOIN least l ON w.doc_id = l.node""",
+    "op5_suffix_array_dedup": """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+parts AS (  -- 500 windows each: to take a part of a long text costs its length
+  SELECT doc_id, base, substr(x, 2 * base + 1, 1198) AS x
+  FROM (SELECT doc_id, x, unnest(range(0, greatest(len(x) // 2 - 99, 0), 500)) AS base FROM docs)),
+windows AS (
+  SELECT doc_id, base + i AS i, md5(substr(x, 2 * i + 1, 200)) AS h
+  FROM (SELECT doc_id, base, x, unnest(range(0, len(x) // 2 - 99)) AS i FROM parts)),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS n FROM windows)
+  WHERE n > 1),
+marked AS (
+  SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 1 ELSE 0 END AS fresh
+  FROM later),
+islands AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM marked),
+spans AS (SELECT doc_id, g, min(i) AS a, max(i) + 100 AS b FROM islands GROUP BY doc_id, g),
+after AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM spans),
+kept AS (
+  SELECT s.doc_id, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS front,
+    max(b) AS last, sum(b - a) AS removed, count(*) AS n
+  FROM after s JOIN docs d ON d.doc_id = s.doc_id GROUP BY s.doc_id)
+SELECT d.doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(front, '') || substr(x, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id""",
     "op7_exact_top_k": """
 WITH parts AS (
   SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS i,

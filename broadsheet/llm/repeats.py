@@ -18,8 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.scratch import free_shuffles, remove, written
+from broadsheet.llm.scratch import free_shuffles, remove, unused, written
 from broadsheet.llm.textarrays import Hasher, ragged, signed, sliding_min, text_slices, word_spans
+from broadsheet.llm.words import pieces, span_hashes
 
 RUN = "m long, s long, doc_id long, start int, n int"
 SPAN = "doc_id long, start int, n int"
@@ -39,7 +40,7 @@ class Unit:
         if not self.words:
             return data, offsets
         starts, ends, bounds = word_spans(data, offsets)
-        return hasher.spans(hasher.prefix(data), starts, ends), bounds
+        return span_hashes(pieces(data), starts, ends, hasher.seed), bounds
 
 
 WORDS = Unit(words=True, width=20, k=6)
@@ -184,7 +185,7 @@ def _edge_rows(unit: Unit) -> Callable:
 def repeated_edges(docs: DataFrame, runs: DataFrame, unit: Unit) -> DataFrame:
     """``(doc_id, start, n)``: the windows of open runs that also start earlier.
 
-    Each window is one row with two independent hashes. The first place of each is found
+    Each window is one row with two hashes, of differently hashed words. The first place of each is found
     with partial aggregates, so that a window in a third of all documents is a few rows per
     task, and joined back by an equi-join.
     """
@@ -201,14 +202,16 @@ def repeated_edges(docs: DataFrame, runs: DataFrame, unit: Unit) -> DataFrame:
     ).select("doc_id", "start", F.lit(1).alias("n"))
 
 
-def with_spans(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """All documents with two more columns, ``_starts`` and ``_ends``: the runs of windows
-    to remove, by start; null where there are none."""
+def with_spans(docs: DataFrame, windows: DataFrame) -> tuple[DataFrame, str, str]:
+    """All documents with two more columns at the end, and the names of these: the starts and
+    ends of the runs of windows to remove, by start; null where there are none."""
+    doc, starts, ends = unused(docs, "doc", "starts", "ends")
     run = F.struct("start", (F.col("start") + F.col("n")).alias("end"))
-    spans = windows.groupBy(F.col("doc_id").alias("_doc")).agg(
+    spans = windows.groupBy(F.col("doc_id").alias(doc)).agg(
         F.array_sort(F.collect_list(run)).alias("runs")
-    ).select("_doc", F.col("runs.start").alias("_starts"), F.col("runs.end").alias("_ends"))
-    return docs.join(spans, docs["doc_id"].cast("long") == F.col("_doc"), "left").drop("_doc")
+    ).select(doc, F.col("runs.start").alias(starts), F.col("runs.end").alias(ends))
+    joined = docs.join(spans, docs["doc_id"].cast("long") == F.col(doc), "left").drop(doc)
+    return joined, starts, ends
 
 
 def merged(starts, ends, width: int, length: int) -> np.ndarray:

@@ -28,6 +28,28 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def file_system(path: str):
+    """The file system of a path, for tasks, and the path in it, for Spark's spellings of local
+    paths."""
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        path = "/" + path[5:].lstrip("/")
+    return fs.FileSystem.from_uri(path)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of ``df`` has."""
+    there = {name.lower() for name in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in there:
+            name += "_"
+        there.add(name.lower())
+        out.append(name)
+    return out
+
+
 def remove(df: DataFrame) -> None:
     """Delete the files of a table made by ``written`` that nothing reads any more."""
     spark = df.sparkSession

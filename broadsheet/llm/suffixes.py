@@ -1,8 +1,9 @@
 """Suffix-array dedup: repeated strings of 100 bytes, found by a multi-document index.
 
 The collection to index is made of the open runs of ``repeats``: strings of at most 156
-bytes that share a minimizer with another string. They are dealt out by minimizer, so that
-equal strings of 100 bytes meet in one task, and each task indexes one block of bounded size
+bytes that share a minimizer with another string. They are dealt out by minimizer, and where
+one has too many, by ever longer pieces around it, so that equal strings of 100 bytes meet in
+one task, and each task indexes one block of bounded size
 after the other. The Burrows-Wheeler transform and the common prefixes of a block are built
 column by column: each round puts one more symbol of every string, from its end to its
 beginning, into both sequences.
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,21 +21,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.cluster import broadcast_if, is_small
 from broadsheet.llm.repeats import (
-    BYTES, SPAN, merged, open_texts, repeated_edges, repeated_runs, run_lists, texts_by_id,
-    with_spans,
+    BYTES, SPAN, merged, open_texts, repeated_runs, run_lists, texts_by_id, with_spans,
 )
-from broadsheet.llm.scratch import free_shuffles, written
-from broadsheet.llm.textarrays import ragged, text_slices
+from broadsheet.llm.scratch import free_shuffles, remove, written
+from broadsheet.llm.textarrays import Hasher, mix, ragged, signed, text_slices
 
 # Bytes of strings that are indexed together.
 BLOCK_BYTES = 600_000
 
-# A minimizer of more different runs than this is opened into single windows, which are
-# counted with partial aggregates, so that no minimizer fills a task.
-MANY_RUNS = 500
+# Bytes of strings of one key. Where there are more, the key is made finer.
+KEY_BYTES = 200_000
 
-STRING = "m long, doc_id long, start int, n int, string binary"
+STRING = "m long, doc_id long, start int, n int, at int, string binary"
 KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -141,20 +142,75 @@ def repeats_of_block(doc: np.ndarray, start: np.ndarray, data: np.ndarray, offse
     return doc[string[later]], place[later]
 
 
+def _binary(data: np.ndarray, size: np.ndarray) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(size), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())])
+
+
+def _bytes_of(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column, and its offsets in them."""
+    ends = np.frombuffer(strings.buffers()[1], np.int32)[
+        strings.offset:strings.offset + len(strings) + 1].astype(np.int64)
+    data = strings.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[ends[0]:ends[-1]], ends - ends[0]
+
+
+def minimizer_places(m: np.ndarray, data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> np.ndarray:
+    """Where the minimizer of each string is in it: at the first gram with its hash."""
+    grams = hasher.windows(hasher.prefix(data), BYTES.k)
+    row = np.repeat(np.arange(len(m)), np.diff(offsets))[:len(grams)]
+    same = np.flatnonzero(grams == m.view(np.uint64)[row])
+    same = same[same + BYTES.k <= offsets[1:][row[same]]]
+    at = np.zeros(len(m), np.int64)
+    at[row[same][::-1]] = same[::-1] - offsets[row[same][::-1]]
+    return at
+
+
 def _string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hasher = Hasher()
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         for first, end, data, offsets in text_slices(batch.column("text")):
             rows, m, start, n = run_lists(batch, first, end)
             size = n + BYTES.width - 1
             chosen = data[ragged(offsets[rows] + start, size)]
-            ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
-            strings = pa.Array.from_buffers(
-                pa.binary(), len(rows), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(chosen.tobytes())])
+            at = minimizer_places(m, chosen, np.concatenate(([0], np.cumsum(size))), hasher)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(m), pa.array(ids[first + rows]), pa.array(start.astype(np.int32)),
-                 pa.array(n.astype(np.int32)), strings],
-                names=["m", "doc_id", "start", "n", "string"])
+                 pa.array(n.astype(np.int32)), pa.array(at.astype(np.int32)), _binary(chosen, size)],
+                names=["m", "doc_id", "start", "n", "at", "string"])
+
+
+def _finer_rows(width: int):
+    """Strings cut by where the minimizer is in a window: windows with its place in one range of
+    ``width`` make a string, and the bytes that all of them share, more than the minimizer alone,
+    make its key. Equal windows have the minimizer in the same place, so they keep meeting."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, places = Hasher(), BYTES.width - BYTES.k + 1
+        for batch in batches:
+            data, offsets = _bytes_of(batch.column("string"))
+            doc = batch.column("doc_id")
+            start, n, at = (batch.column(c).to_numpy().astype(np.int64) for c in ("start", "n", "at"))
+            sums = hasher.prefix(data)
+            for low in range(0, places, width):
+                high = min(low + width, places)
+                first, end = np.maximum(at - high + 1, 0), np.minimum(at - low + 1, n)
+                some = np.flatnonzero(first < end)
+                first, end = first[some], end[some]
+                size = end - first + BYTES.width - 1
+                shared = offsets[some] + at[some]
+                key = hasher.spans(sums, shared - low, shared + BYTES.width + 1 - high)
+                key = mix(key ^ mix(np.full(len(key), low * places + width, np.uint64)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(key)), doc.take(pa.array(some)),
+                     pa.array((start[some] + first).astype(np.int32)), pa.array((end - first).astype(np.int32)),
+                     pa.array((at[some] - first).astype(np.int32)),
+                     _binary(data[ragged(offsets[some] + first, size)], size)],
+                    names=["m", "doc_id", "start", "n", "at", "string"])
+
+    return rows
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -189,12 +245,12 @@ def _block_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         strings = table.column("string").combine_chunks()
         if isinstance(strings, pa.ChunkedArray):
             strings = strings.chunk(0)
-        ends = np.frombuffer(strings.buffers()[1], np.int32)[
-            strings.offset:strings.offset + len(strings) + 1].astype(np.int64)
-        data = np.frombuffer(strings.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+        data, offsets = _bytes_of(strings)
         doc, place = repeats_of_block(
             table.column("doc_id").to_numpy(), table.column("start").to_numpy().astype(np.int64),
-            data, ends - ends[0])
+            data, offsets)
+        if not len(doc):
+            continue
         order = np.lexsort((place, doc))
         doc, place = doc[order], place[order]
         new = np.ones(len(doc), bool)
@@ -210,14 +266,48 @@ def _block_repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def repeated_strings(docs: DataFrame) -> DataFrame:
     """``(doc_id, start, n)``: runs of 100-byte strings that also start earlier: in a
     document of smaller id, or earlier in the same one."""
+    spark = docs.sparkSession
     again, opened = repeated_runs(docs, BYTES)
-    few = opened.where(F.col("k") <= MANY_RUNS)
-    strings = open_texts(docs, few).mapInArrow(_string_rows, STRING)
-    indexed = strings.repartition("m").sortWithinPartitions("m").mapInArrow(_block_repeats, SPAN)
-    indexed = written(indexed, "indexed")
-    free_shuffles(docs.sparkSession)
-    many = opened.where(F.col("k") > MANY_RUNS)
-    return again.unionByName(indexed).unionByName(repeated_edges(docs, many, BYTES))
+    strings = written(open_texts(docs, opened).mapInArrow(_string_rows, STRING), "strings")
+    free_shuffles(spark)
+    repeats = [again]
+    for width in _WIDTHS:
+        indexed, strings, equal = _split_hot(strings, width)
+        repeats.append(written(indexed.repartition("m").sortWithinPartitions("m").mapInArrow(
+            _block_repeats, SPAN), "indexed"))
+        free_shuffles(spark)
+        if strings is None:
+            break
+        repeats.append(equal)
+    return reduce(DataFrame.unionByName, repeats)
+
+
+# Ranges of places of the minimizer in a window, the whole first; in the end all windows of a key
+# are equal, and no key has more than one string.
+_WIDTHS = (29, 15, 8, 4, 2, 1, 1)
+
+
+def _split_hot(strings: DataFrame, width: int) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """The strings of keys of bounded size, to be indexed; those of the others by finer keys, each
+    different one once, at its first place; and ``(doc_id, start, n)`` of its other places."""
+    bytes_of = F.sum(F.col("n") + (BYTES.width - 1))
+    hot = written(strings.groupBy("m").agg(bytes_of.alias("bytes")).where(
+        F.col("bytes") > KEY_BYTES).select("m"), "hot")
+    if hot.isEmpty():
+        return strings, None, None
+    small = is_small(hot)
+    finer = written(strings.join(broadcast_if(hot, small), "m", "left_semi").mapInArrow(
+        _finer_rows(width), STRING).withColumn("s", F.xxhash64("string")), "finer")
+    one = finer.groupBy("m", "s", "n").agg(
+        F.min(F.struct("doc_id", "start", "at", "string")).alias("first"), F.count("*").alias("c"))
+    one = written(one, "once")
+    several = one.where("c > 1").select(
+        "m", "s", "n", F.struct("first.doc_id", "first.start").alias("place"))
+    equal = written(finer.join(several, ["m", "s", "n"]).where(
+        F.struct("doc_id", "start") != F.col("place")).select("doc_id", "start", "n"), "equal")
+    once = one.select("m", "first.doc_id", "first.start", "n", "first.at", "first.string")
+    remove(finer)
+    return strings.join(broadcast_if(hot, small), "m", "left_anti"), once, equal
 
 
 def _kept_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -245,34 +335,38 @@ def removed_strings(docs: DataFrame) -> DataFrame:
     are; an empty table gives an empty result. Rows without an id repeat nothing and stay
     whole. Repeated rows (one id, one text) are one document: each gives the same row.
     """
-    return with_spans(texts_by_id(docs), repeated_strings(docs)).mapInPandas(_kept_rows, KEPT)
-
-
-def _clean_text(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        texts = []
-        for text, starts, ends in zip(frame["text"], frame["_starts"], frame["_ends"]):
-            if text is not None and starts is not None:
-                raw = text.encode()
-                edges = [0]
-                for a, b in merged(starts, ends, BYTES.width, len(raw)).tolist():
-                    while a < b and raw[a] & 0xC0 == 0x80:  # whole characters only
-                        a += 1
-                    while b > a and b < len(raw) and raw[b] & 0xC0 == 0x80:
-                        b -= 1
-                    edges += [a, b]
-                edges.append(len(raw))
-                text = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])).decode()
-            texts.append(text)
-        yield frame.assign(text=texts).drop(columns=["_starts", "_ends"])
+    spans, _, _ = with_spans(texts_by_id(docs), repeated_strings(docs))
+    return spans.mapInPandas(_kept_rows, KEPT)
+
+
+def _clean_texts(starts_name: str, ends_name: str):
+    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            texts = []
+            for text, starts, ends in zip(frame["text"], frame[starts_name], frame[ends_name]):
+                if text is not None and starts is not None:
+                    raw = text.encode()
+                    edges = [0]
+                    for a, b in merged(starts, ends, BYTES.width, len(raw)).tolist():
+                        while a < b and raw[a] & 0xC0 == 0x80:  # whole characters only
+                            a += 1
+                        while b > a and b < len(raw) and raw[b] & 0xC0 == 0x80:
+                            b -= 1
+                        edges += [a, b]
+                    edges.append(len(raw))
+                    text = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])).decode()
+                texts.append(text)
+            yield frame.assign(text=texts).drop(columns=[starts_name, ends_name])
+
+    return rows
 
 
 def without_repeated_strings(docs: DataFrame) -> DataFrame:
     """The documents with every repeated string of 100 bytes taken out of their texts but
     for its first place, cut at whole characters; ``n_chars``, if there is such a column,
     is counted again. No row is dropped; see ``removed_strings`` for the rules."""
-    spans = with_spans(docs, repeated_strings(docs))
-    clean = spans.mapInPandas(_clean_text, docs.schema)
+    spans, starts, ends = with_spans(docs, repeated_strings(docs))
+    clean = spans.mapInPandas(_clean_texts(starts, ends), docs.schema)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         clean = clean.withColumn("n_chars", F.length("text").cast(kind))

@@ -80,10 +80,13 @@ class Hasher:
     """64-bit hashes of any spans of bytes, or of any spans of a sequence of 64-bit items.
 
     A span hashes by a polynomial over its items modulo 2**64, taken from prefix sums, then
-    mixed with its length. Different seeds give independent hashes.
+    mixed with its length. That is for spans of up to some 150 items: there are longer sequences
+    of two items that collide under every base. Words, which may be of any length, are hashed by
+    ``words.span_hashes``.
     """
 
     def __init__(self, seed: int = 1):
+        self.seed = seed
         rng = np.random.default_rng(seed)
         self.table = rng.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         base = int(rng.integers(0, 2**60)) * 8 + 3

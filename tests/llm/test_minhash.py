@@ -97,3 +97,20 @@ def test_components(spark):
     assert all(got[i] == 100 for i in range(100, 141))
     assert got[559] == got.get(501, 500) == 500 and got[300] == got[250] == 200 and 7 not in got
     assert minhash.STAR_ROUNDS >= 1
+
+
+def test_words_that_polynomials_confuse(spark):
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = [t for n in (1024, 2048) for t in (word[:n], word[:n].translate(str.maketrans("ab", "ba")))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert all(r["kept"] for r in near_duplicates(docs, words=2, percent=80).collect())
+
+
+def test_one_of_each_group_with_any_column(odd_docs):
+    named = odd_docs.selectExpr("*", "1 kept", "2 _kept", "3 kept_")
+    out = one_of_each_group(named)
+    assert out.columns == named.columns
+    assert sorted(str(r["doc_id"]) for r in out.collect()) == sorted(
+        str(r["doc_id"]) for r in one_of_each_group(odd_docs).collect())

@@ -81,7 +81,7 @@ def test_mix_of_documents(small_docs):
 
 
 def test_mix_of_odd_rows(odd_docs, no_docs):
-    assert mix_order(odd_docs).count() == odd_docs.distinct().count()
+    assert mix_order(odd_docs).count() == odd_docs.count()
     assert mixed(odd_docs, {"a": 0.9, "absent": 0.1}).count() == odd_docs.count()
     assert mix_order(no_docs).count() == mixed(no_docs).count() == 0
 
@@ -187,3 +187,31 @@ def test_mix_in_parts(small_docs):
     got = [f"={r['source']}" for r in sorted(rows, key=lambda r: r["slot"])]
     weights = {f"={s}": n ** 0.5 for s, n in ids.items()}
     assert got == plain_schedule({f"={s}": n for s, n in ids.items()}, weights, 64)
+
+
+def test_every_row_has_a_place(spark):
+    """50 different rows without an id, 50 with one, and 5 copies: 105 places, 8 in a slot at most."""
+    rows = [(None, f"text {i}", "a") for i in range(50)] + [(i, f"text {i}", "a") for i in range(50)]
+    rows += [(7, "text 7", "a")] * 5 + [(i, "b", None) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    found = [(r["slot"], r["place"]) for r in mix_order(docs).collect()]
+    assert len(found) == len(set(found)) == 125
+    assert max(p for _, p in found) == 7 and len({s for s, _ in found}) == 14 + 3
+    assert sorted(map(repr, mixed(docs).collect())) == sorted(map(repr, docs.collect()))
+
+
+def test_mixed_columns_of_any_name(odd_docs):
+    named = odd_docs.selectExpr("*", "1 slot", "2 place", "3 `key`", "4 tie", "5 block", "6 _doc", "7 _order", "8 `row`")
+    out = mixed(named)
+    assert out.columns == named.columns
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, named.collect()))
+
+
+def test_ids_of_words_that_polynomials_confuse(spark):
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    swapped = word.translate(str.maketrans("ab", "ba"))
+    texts = [word, swapped, f"x {word} y", f"x {swapped} y", word[:1024], swapped[:1024]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    check_packing(docs, pack(docs, PATH).collect())

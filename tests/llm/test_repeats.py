@@ -60,9 +60,10 @@ def test_words_against_plain_loop(small_docs):
     assert by_id(remove_repeated_words(small_docs), *WORDS) == plain_words(texts_of(small_docs))
 
 
-@pytest.mark.parametrize("many", [500, 1])
-def test_bytes_against_plain_loop(small_docs, monkeypatch, many):
-    monkeypatch.setattr(suffixes, "MANY_RUNS", many)
+@pytest.mark.parametrize("room", [200_000, 1])
+def test_bytes_against_plain_loop(small_docs, monkeypatch, room):
+    """Also where every key is split until its strings are single windows."""
+    monkeypatch.setattr(suffixes, "KEY_BYTES", room)
     assert by_id(removed_strings(small_docs), *BYTES) == plain_bytes(texts_of(small_docs))
 
 
@@ -83,7 +84,8 @@ def test_no_rows(no_docs):
     assert removed_strings(no_docs).count() == 0
 
 
-def test_many_overlaps(spark, monkeypatch):
+@pytest.mark.parametrize("room", [200_000, 700])
+def test_many_overlaps(spark, monkeypatch, room):
     """Passages cut out of one text at many places: most minimizers branch."""
     rng = np.random.default_rng(3)
     base = " ".join("".join(rng.choice(list("abcd"), 3)) for _ in range(400))
@@ -93,10 +95,69 @@ def test_many_overlaps(spark, monkeypatch):
         rows.append((i, f"{i} " * int(rng.integers(0, 9)) + base[a:b] + " end" * int(rng.integers(0, 30))))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     monkeypatch.setattr(suffixes, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(suffixes, "KEY_BYTES", room)
     assert by_id(removed_strings(docs), *BYTES) == plain_bytes(texts_of(docs))
     assert by_id(remove_repeated_words(docs), *WORDS) == plain_words(texts_of(docs))
 
 
+def test_a_hot_passage(spark, monkeypatch):
+    """One line in many texts, between other text: its minimizers are hot, and are split."""
+    rng = np.random.default_rng(7)
+    line = "the same line of one hundred and thirty bytes, " * 2 + "abababababababababababababababababab"
+    other = lambda: "".join(rng.choice(list("abcdefgh "), int(rng.integers(0, 130))))
+    docs = spark.createDataFrame(
+        [(i, other() + line + other()) for i in range(150)], "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(suffixes, "KEY_BYTES", 3000)
+    assert by_id(removed_strings(docs), *BYTES) == plain_bytes(texts_of(docs))
+
+
+def thue_morse(n):
+    """A word of a and b, and the same with a and b swapped: alike to every polynomial modulo a
+    power of two, from 1,024 letters on."""
+    word = ["a"]
+    while len(word) < n:
+        word += ["b" if x == "a" else "a" for x in word]
+    return word[:n], ["b" if x == "a" else "a" for x in word[:n]]
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_that_polynomials_confuse(spark, n):
+    one, two = ("".join(w) for w in thue_morse(n))
+    common = [f"w{i}" for i in range(19)]
+    docs = spark.createDataFrame(
+        [(0, " ".join([*common, one])), (1, " ".join([*common, two])), (2, " ".join([*common, two]))],
+        "doc_id long, text string")
+    found = by_id(remove_repeated_words(docs), "n_removed")
+    assert found == {0: (0,), 1: (0,), 2: (20,)}
+    a, b = (" ".join(w) for w in thue_morse(n))
+    docs = spark.createDataFrame([(0, a), (1, b)], "doc_id long, text string")
+    assert by_id(remove_repeated_words(docs), *WORDS) == plain_words(texts_of(docs))
+    assert by_id(removed_strings(docs), *BYTES) == plain_bytes(texts_of(docs))
+
+
+def test_columns_of_any_name(spark, odd_docs):
+    named = odd_docs.selectExpr("*", "1 doc", "2 starts", "3 ends", "4 _doc", "5 _starts", "6 _ends", "7 kept")
+    clean = without_repeated_strings(named)
+    assert clean.columns == named.columns
+    rows = {r["doc_id"]: r for r in clean.collect()}
+    plain = {r["doc_id"]: r["text"] for r in without_repeated_strings(odd_docs).collect()}
+    assert {d: r["text"] for d, r in rows.items()} == plain
+    assert rows[8]["starts"] == 2 and rows[8]["_ends"] == 6
+
+
+def test_a_text_of_five_megabytes(spark):
+    """Longer than a slice: a passage of it repeats within it, and in another text."""
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(3000)]
+    long = " ".join(rng.choice(words, 650_000))
+    passage = long[1_000_000:1_000_400]
+    docs = spark.createDataFrame([(1, long + "#" + passage), (2, "%" + passage)], "doc_id long, text string")
+    found = by_id(removed_strings(docs), "n_bytes", "n_removed", "n_spans")
+    assert found == {1: (len(long) + 401, 400, 1), 2: (401, 400, 1)}
+    removed = by_id(remove_repeated_words(docs), "n_words", "n_removed")
+    assert removed[2][1] == removed[1][1] >= 45
+
+
 def test_texts_without_repeats_keep_their_columns(odd_docs):
     clean = without_repeated_strings(odd_docs)
     assert clean.columns == odd_docs.columns and clean.count() == odd_docs.count()
