@@ -25,18 +25,29 @@ class StoredTable:
         self.path, self.key = path, key
 
     def columns(self) -> dict[str, np.ndarray]:
+        import pyarrow as pa
         import pyarrow.parquet as pq
+        from pyarrow.fs import FileSelector
 
         files, folder = file_system(self.path)
-        table = pq.read_table(folder, filesystem=files, use_threads=False)
-        return {name: table.column(name).to_numpy() for name in table.column_names}
+        parts: dict[str, list[np.ndarray]] = {}
+        # File by file, so that no more than the arrays are held.
+        for info in files.get_file_info(FileSelector(folder)):
+            if info.base_name.endswith(".parquet"):
+                with files.open_input_file(info.path) as source:
+                    table = pq.ParquetFile(source).read(use_threads=False)
+                for name in table.column_names:
+                    parts.setdefault(name, []).append(np.array(table.column(name).to_numpy()))
+                del table
+        pa.default_memory_pool().release_unused()
+        return {name: np.concatenate(parts.pop(name)) for name in list(parts)}
 
     @property
     def value(self) -> dict[str, np.ndarray]:
         columns = self.columns()
         columns[self.key] = columns[self.key].view(np.uint64)
         order = np.argsort(columns[self.key])
-        return {name: column[order] for name, column in columns.items()}
+        return {name: columns.pop(name)[order] for name in list(columns)}
 
 
 def stored(table: DataFrame, name: str) -> str:
