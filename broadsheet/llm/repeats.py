@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.scratch import free_shuffles, remove, unused, written
-from broadsheet.llm.textarrays import Hasher, ragged, signed, sliding_min, text_slices, word_spans
+from broadsheet.llm.textarrays import Hasher, signed, sliding_min, text_slices, word_spans
 from broadsheet.llm.words import pieces, span_hashes
 
 RUN = "m long, s long, doc_id long, start int, n int"
@@ -47,9 +47,9 @@ WORDS = Unit(words=True, width=20, k=6)
 BYTES = Unit(words=False, width=100, k=44)
 
 
-def runs_of(unit: Unit, items: np.ndarray, bounds: np.ndarray, hasher: Hasher):
-    """``(minimizer, hash of the whole run, row, start, n)`` of the runs of windows of
-    several texts, given one after the other."""
+def run_places(unit: Unit, items: np.ndarray, bounds: np.ndarray, hasher: Hasher):
+    """``(prefix sums, minimizer, row, start, end)`` of the runs of windows of several texts,
+    given one after the other; places are counted from the first item of the first text."""
     lengths = np.diff(bounds)
     windows = np.maximum(lengths - unit.width + 1, 0)
     if not windows.any():
@@ -72,8 +72,18 @@ def runs_of(unit: Unit, items: np.ndarray, bounds: np.ndarray, hasher: Hasher):
     starts = np.flatnonzero(begins)
     rows = np.searchsorted(bounds, starts, "right") - 1
     ends = np.minimum(np.append(starts[1:], len(items)), (bounds[:-1] + windows)[rows])
+    return sums, least[starts], rows, starts, ends
+
+
+def runs_of(unit: Unit, items: np.ndarray, bounds: np.ndarray, hasher: Hasher):
+    """``(minimizer, hash of the whole run, row, start, n)`` of the runs of windows of
+    several texts, given one after the other."""
+    found = run_places(unit, items, bounds, hasher)
+    if found is None:
+        return None
+    sums, least, rows, starts, ends = found
     whole = hasher.spans(sums, starts, ends + unit.width - 1)
-    return least[starts], whole, rows, starts - bounds[:-1][rows], ends - starts
+    return least, whole, rows, starts - bounds[:-1][rows], ends - starts
 
 
 def _run_rows(unit: Unit, columns: list[str] | None = None) -> Callable:
@@ -157,51 +167,6 @@ def run_lists(batch: pa.RecordBatch, first: int, end: int):
     return rows, m, start.astype(np.int64), n.astype(np.int64)
 
 
-def _edge_rows(unit: Unit) -> Callable:
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashers = Hasher(), Hasher(2)
-        for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            for first, end, data, offsets in text_slices(batch.column("text")):
-                at, _, start, n = run_lists(batch, first, end)
-                where = None
-                out = []
-                for hasher in hashers:
-                    items, bounds = unit.sequence(data, offsets, hasher)
-                    if where is None:
-                        where = ragged(bounds[at] + start, n)
-                        place = ragged(start, n)
-                        doc = np.repeat(ids[first + at], n)
-                    sums = hasher.prefix(items)
-                    out.append(signed(hasher.spans(sums, where, where + unit.width)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0]), pa.array(out[1]), pa.array(doc),
-                     pa.array(place.astype(np.int32))], names=["e1", "e2", "doc_id", "start"],
-                )
-
-    return rows
-
-
-def repeated_edges(docs: DataFrame, runs: DataFrame, unit: Unit) -> DataFrame:
-    """``(doc_id, start, n)``: the windows of open runs that also start earlier.
-
-    Each window is one row with two hashes, of differently hashed words. The first place of each is found
-    with partial aggregates, so that a window in a third of all documents is a few rows per
-    task, and joined back by an equi-join.
-    """
-    edges = written(
-        open_texts(docs, runs).mapInArrow(
-            _edge_rows(unit), "e1 long, e2 long, doc_id long, start int"), "edges",
-    )
-    free_shuffles(docs.sparkSession)
-    first = written(edges.groupBy("e1", "e2").agg(
-        F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("c")
-    ).where("c > 1").drop("c"), "first")
-    return edges.join(first, ["e1", "e2"]).where(
-        F.struct("doc_id", "start") != F.col("first")
-    ).select("doc_id", "start", F.lit(1).alias("n"))
-
-
 def with_spans(docs: DataFrame, windows: DataFrame) -> tuple[DataFrame, str, str]:
     """All documents with two more columns at the end, and the names of these: the starts and
     ends of the runs of windows to remove, by start; null where there are none."""

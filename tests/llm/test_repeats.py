@@ -6,8 +6,8 @@ import re
 import numpy as np
 import pytest
 
-from broadsheet.llm import repeats, suffixes
-from broadsheet.llm.debruijn import remove_repeated_words
+from broadsheet.llm import debruijn, repeats, suffixes
+from broadsheet.llm.debruijn import compacted, node_degrees, remove_repeated_words, repeated_windows
 from broadsheet.llm.suffixes import ColumnwiseIndex, removed_strings, without_repeated_strings
 
 
@@ -183,3 +183,56 @@ def test_index_of_columns():
 
 def test_minimizers_find_every_window():
     assert repeats.WORDS.k < repeats.WORDS.width and repeats.BYTES.k < repeats.BYTES.width
+
+
+def test_degrees_and_paths(spark):
+    """1 -> 2 -> 3 -> 4 with a branch at 3, a path that goes on elsewhere, and a loop."""
+    pieces = spark.createDataFrame([
+        (1, 2, 0, 0, 5), (2, 3, 0, 5, 1), (3, 4, 0, 6, 2), (3, 5, 1, 9, 1), (5, 6, 1, 10, 1),
+        (6, 7, 2, 11, 1), (8, 8, 3, 0, 1),
+    ], "a long, b long, doc_id long, start int, n int")
+    degrees = {r["node"]: (r["ins"], r["outs"]) for r in node_degrees(pieces).collect()}
+    assert degrees == {1: (0, 1), 2: (1, 1), 3: (1, 2), 4: (1, 0), 5: (1, 1), 6: (1, 1), 7: (1, 0), 8: (1, 1)}
+    paths = {(r["a"], r["b"]): (r["doc_id"], r["path"]) for r in compacted(pieces).collect()}
+    assert paths == {(1, 2): (0, 0), (2, 3): (0, 0), (3, 4): (0, 6), (3, 5): (1, 9), (5, 6): (1, 9),
+                     (6, 7): (2, 11), (8, 8): (3, 0)}
+
+
+def test_spans_are_paths_with_their_source(spark):
+    """A passage of 60 words in three texts, of which one goes on with a part of another text."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    other = " ".join(f"o{i}" for i in range(40))
+    docs = spark.createDataFrame([
+        (1, f"x y {passage} z"), (2, f"{other} v {passage}"), (3, f"q {passage} {other}"),
+    ], "doc_id long, text string")
+    found = sorted(tuple(r) for r in repeated_windows(docs).select("doc_id", "start", "n", "of", "at").collect())
+    assert found == [(2, 41, 41, 1, 2), (3, 1, 41, 1, 2), (3, 61, 21, 2, 0)]
+
+
+@pytest.mark.parametrize("seeds", [(1, 2), (1,)])
+def test_words_that_share_a_hash(spark, monkeypatch, seeds):
+    """Where different words share a hash, other hash functions are taken, or spans stay."""
+    whole = repeats.span_hashes
+
+    def confused(view, starts, ends, seed=0):
+        return whole(view, starts, starts + 1 if seed == 1 else ends, seed)
+
+    monkeypatch.setattr(repeats, "span_hashes", confused)
+    monkeypatch.setattr(debruijn, "SEEDS", seeds)
+    words = [f"{c}{i}" for i, c in enumerate("abcdefghijklmnopqrstuvwxy")]
+    docs = spark.createDataFrame(
+        [(1, " ".join(words)), (2, " ".join(w + "x" for w in words)), (3, " ".join(w + "x" for w in words))],
+        "doc_id long, text string").coalesce(1)
+    expected = {1: (0,), 2: (0,), 3: (25,)} if len(seeds) > 1 else {1: (0,), 2: (0,), 3: (0,)}
+    assert by_id(remove_repeated_words(docs), "n_removed") == expected
+
+
+def test_texts_that_share_an_id(spark):
+    """The ids name places, so nothing is certain about such texts, but others are as ever."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    docs = spark.createDataFrame(
+        [(1, "a b c"), (1, f"x {passage}"), (2, passage), (3, passage), (4, f"{passage} {passage}"), (4, "")],
+        "doc_id long, text string")
+    rows = remove_repeated_words(docs).collect()
+    assert sorted(r["doc_id"] for r in rows) == [1, 1, 2, 3, 4, 4]
+    assert {r["n_words"] for r in rows if r["doc_id"] == 4} == {60, 0}
