@@ -1,4 +1,4 @@
-"""PPM against a plain byte-by-byte model; toxicity and quality by their labels."""
+"""PPM, quality and toxicity against plain models; the latter two also by their labels."""
 
 import math
 import re
@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from broadsheet.llm import lookup, ppm, quality, toxicity
+from broadsheet.llm import lookup, ppm, quality, textarrays, toxicity
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -113,6 +113,65 @@ def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     assert len(graded.thresholds) == 2
 
 
+def plain_severity(model, text):
+    """Expected severity and grade of one text, feature by feature."""
+    hasher, counts = textarrays.Hasher(), Counter()
+    raw = re.sub("[A-Z]", lambda m: m[0].lower(), text or "").encode()
+
+    def bucket(piece, whole):
+        sums = hasher.prefix(np.frombuffer(piece, np.uint8))
+        value = int(hasher.spans(sums, np.array([0]), np.array([len(piece)]))[0])
+        return (value & (toxicity.BUCKETS - 2)) | whole
+
+    for word in re.findall(rb"[a-z\x80-\xff]+", raw):
+        counts[bucket(word, 1)] += 1
+        for size in toxicity.BEGINNINGS:
+            if len(word) > size:
+                counts[bucket(word[:size], 0)] += 1
+    score = sum(model.weights[b] * math.log(1 + n) for b, n in counts.items())
+    above = [1 / (1 + math.exp(theta - score)) for theta in model.thresholds]
+    return sum(above), sum(p >= 0.5 for p in above)
+
+
+def test_toxicity_against_plain_scores(spark, odd_docs):
+    """Every row of a whole table, and odd rows, scored one feature after the other."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = toxicity.train(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
+    assert (model.weights != 0).sum() > 10
+    for table in docs, odd_docs:
+        texts = {(r["doc_id"], zlib.crc32((r["text"] or "").encode())): r["text"] for r in table.collect()}
+        plain = sorted((d or 0, *plain_severity(model, t)) for (d, _), t in texts.items())
+        found = sorted({(r["doc_id"] or 0, r["expected_severity"], r["severity"])
+                        for r in toxicity.severities(table, model).collect()})
+        assert [(d, g) for d, _, g in found] == [(d, g) for d, _, g in plain]
+        assert np.allclose([s for _, s, _ in found], [s for _, s, _ in plain], rtol=1e-9, atol=1e-12)
+
+
+@pytest.mark.parametrize("grades", [1, 3])
+def test_cumulative_link_fit_against_plain_descent(grades):
+    """The likelihood and its optimum, by loops over rows and numeric slopes."""
+    rng = np.random.default_rng(grades)
+    x = rng.integers(0, 3, (60, 3)).astype(float)
+    hidden = x @ np.array([1.0, -0.7, 0.3]) + rng.logistic(size=60)
+    grade = np.digitize(hidden, [0.5, 1.5, 2.5][:grades])
+
+    def loss(p):
+        theta = [-math.inf, *toxicity._thresholds(p[3:]), math.inf]
+        reach = lambda t, s: 0.0 if t == -math.inf else 1.0 if t == math.inf else 1 / (1 + math.exp(s - t))
+        fits = [math.log(max(reach(theta[g + 1], s) - reach(theta[g], s), 1e-12))
+                for g, s in zip(grade, x @ p[:3])]
+        return -sum(fits) / len(grade) + toxicity.STRENGTH / 2 * float(p[:3] @ p[:3])
+
+    p = np.zeros(3 + grades)
+    for _ in range(1500):
+        slope = [(loss(p + h) - loss(p - h)) / 2e-5 for h in np.eye(len(p)) * 1e-5]
+        p = p - 0.5 * np.array(slope)
+    row, feature = np.nonzero(x)
+    model = toxicity.fit(row, feature, x[row, feature], grade, grades)
+    assert np.allclose(model.weights[:3], p[:3], atol=0.02)
+    assert np.allclose(model.thresholds, toxicity._thresholds(p[3:]), atol=0.02)
+
+
 def plain_kneser_ney(train, texts):
     """Log10 probability of each text, and its number of words and ends."""
     def stream(t):
