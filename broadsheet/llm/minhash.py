@@ -11,12 +11,13 @@ confirmed on the full sets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.llm.components import components
@@ -28,9 +29,10 @@ from broadsheet.llm.words import pieces, span_hashes
 ROWS, BANDS = 7, 56
 
 # Star rounds before what remains apart in a bucket is compared block by block, and the
-# members of a block.
+# members of a block and their shingles (but for sets of more of their own).
 STAR_ROUNDS = 2
 BLOCK = 1024
+BLOCK_SHINGLES = 1_000_000
 
 _STEP, _BAND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _LOW, _32 = np.uint64(0xFFFFFFFF), np.uint64(32)
@@ -183,16 +185,43 @@ class _Links:
     def confirm_apart(self, buckets: DataFrame) -> None:
         """Add all links between members of a bucket that are in different components.
 
-        Buckets are cut into blocks of bounded size, and every two blocks of a bucket meet in
-        one cell; there the sets are compared, and nothing but links comes out."""
-        blocks = written(buckets.groupBy("key").agg(
-            F.ceil(F.count("*") / BLOCK).alias("blocks")), "blocks")
+        Sets that differ in size by more than the percentage allows are never linked. So a bucket
+        is cut into size classes, such that links stay within a class or join two that are
+        next to each other, and a class into blocks of bounded members and shingles. Every two
+        blocks of such classes meet in one cell; there the sets are compared, and nothing but
+        links comes out."""
+        # A little wider than needed, as logarithms are rounded.
+        width = math.log(100.1 / max(self.percent, 1))
+        sized = buckets.withColumn("size", F.floor(F.log("n") / width))
+        blocks = written(sized.groupBy("key", "size").agg(F.greatest(
+            F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks")),
+            "blocks")
+        met = blocks.select("key", (F.col("size") - 1).alias("size"), F.col("blocks").alias("above"))
+        below = blocks.select("key", (F.col("size") + 1).alias("size"), F.col("blocks").alias("under"))
+        around = blocks.join(met, ["key", "size"], "left").join(below, ["key", "size"], "left")
         own = F.pmod(F.xxhash64("doc_id"), F.col("blocks"))
-        cells = buckets.join(blocks, "key").withColumn("own", own).withColumn(
-            "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-            "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            "doc_id", "component")
-        found = written(cells.join(self.sets, "doc_id").groupBy("key", "i", "j").applyInArrow(
+
+        def each(count: Column) -> Column:
+            return F.sequence(F.lit(0).cast("long"), count - 1)
+
+        # A cell of blocks i of a class and j of the same (i <= j) or of the next one.
+        none = F.array().cast("array<struct<size:bigint,i:bigint,next:boolean,j:bigint>>")
+        with_same = F.transform(each(F.col("blocks")), lambda x: F.struct(
+            "size", F.least("own", x).alias("i"), F.lit(False).alias("next"),
+            F.greatest("own", x).alias("j")))
+        with_next = F.when(F.col("above").isNull(), none).otherwise(
+            F.transform(each(F.col("above")), lambda x: F.struct(
+                "size", F.col("own").alias("i"), F.lit(True).alias("next"), x.alias("j"))))
+        with_last = F.when(F.col("under").isNull(), none).otherwise(
+            F.transform(each(F.col("under")), lambda x: F.struct(
+                (F.col("size") - 1).alias("size"), x.alias("i"), F.lit(True).alias("next"),
+                F.col("own").alias("j"))))
+        cells = sized.join(around, ["key", "size"]).withColumn("own", own).select(
+            "key", "doc_id", "component",
+            F.explode(F.concat(with_same, with_next, with_last)).alias("cell"),
+        ).select("key", "cell.*", "doc_id", "component")
+        found = written(cells.join(self.sets, "doc_id").groupBy(
+            "key", "size", "i", "next", "j").applyInArrow(
             _links_of_cell(self.percent), "a long, b long").distinct(), "links")
         self.links = self.links.union(found)
         free_shuffles(buckets.sparkSession)

@@ -45,10 +45,11 @@ def test_against_all_pairs(small_docs, words):
     assert found(near_duplicates(small_docs, words)) == plain(texts_of(small_docs), words)
 
 
-@pytest.mark.parametrize("block", [1024, 5])
-def test_chains_and_groups(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, shingles", [(1024, 1_000_000), (5, 1_000_000), (1024, 300)])
+def test_chains_and_groups(spark, monkeypatch, block, shingles):
     """Versions that drift apart: links make chains, and buckets hold several components."""
     monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles)
     rng = np.random.default_rng(1)
     rows = []
     for group in range(6):
@@ -61,6 +62,24 @@ def test_chains_and_groups(spark, monkeypatch, block):
     assert found(near_duplicates(docs, 2)) == plain(texts_of(docs), 2)
 
 
+@pytest.mark.parametrize("percent", [80, 50, 100])
+@pytest.mark.parametrize("block, shingles", [(1024, 1_000_000), (3, 1_000_000), (1024, 400)])
+def test_cells_lose_no_link_between_sizes(spark, monkeypatch, percent, block, shingles):
+    """One bucket of nested sets of 20 to 180 shingles, each in a component of its own: every
+    link between different sizes is found, those at exactly ``percent`` too."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles)
+    sets = {d: range(20 + 4 * d) for d in range(40)} | {100: range(20), 101: range(1000, 1100)}
+    rows = [(d, np.sort(np.array(s, np.uint64)).tobytes()) for d, s in sets.items()]
+    links = minhash._Links(spark.createDataFrame(rows, "doc_id long, shingles binary"), percent)
+    links.links = spark.createDataFrame([], "a long, b long")
+    links.confirm_apart(spark.createDataFrame(
+        [(7, d, len(s), d) for d, s in sets.items()], "key long, doc_id long, n long, component long"))
+    got = {(r["a"], r["b"]) for r in links.links.collect()}
+    assert got == {(a, b) for a in sets for b in sets if a < b and
+                   100 * len(set(sets[a]) & set(sets[b])) >= percent * len(set(sets[a]) | set(sets[b]))}
+
+
 def test_odd_rows(odd_docs):
     result = near_duplicates(odd_docs, 2)
     assert result.count() == odd_docs.count()
