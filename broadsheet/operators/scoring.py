@@ -19,9 +19,13 @@ def dph_query_score(term_scores: DataFrame, terms: DataFrame, small: bool) -> Da
     """``(query_id, doc_id, score)``: per query and document, the sum of the scores of the
     query's terms, repeats counted, over the number of its terms. Negative scores stay,
     a score of exactly 0 does not."""
+    return sum_of_terms(term_scores.join(broadcast_if(terms, small), "term"))
+
+
+def sum_of_terms(pairs: DataFrame) -> DataFrame:
+    """``dph_query_score`` from a row for each term that a query and a document share."""
     return (
-        term_scores.join(broadcast_if(terms, small), "term")
-        .groupBy("query_id", "doc_id", "n_terms")
+        pairs.groupBy("query_id", "doc_id", "n_terms")
         .agg(F.sum(F.col("qn") * F.col("score")).alias("total"))
         .where(F.col("total") != 0)
         .select("query_id", "doc_id", (F.col("total") / F.col("n_terms")).alias("score"))

@@ -303,6 +303,9 @@ ORACLES = {
     "top10_plain": _sql(["ranked"], """
         SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(score, 6) AS score
         FROM ranked WHERE rank <= 10"""),
+    "top10_pruned": _sql(["ranked"], """
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(score, 6) AS score
+        FROM ranked WHERE rank <= 10"""),
     "top2000_plain": _sql(["ranked"], """
         SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(score, 6) AS score
         FROM ranked WHERE rank <= 2000"""),

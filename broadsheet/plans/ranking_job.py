@@ -14,7 +14,7 @@ from broadsheet.cluster import (
 )
 from broadsheet.functions.stopwords import ENGLISH
 from broadsheet.functions.tokens import Limits
-from broadsheet.operators import ranking, scoring, stats, terms
+from broadsheet.operators import pruning, ranking, scoring, stats, terms
 from broadsheet.operators.articles import (
     FILE, article_tokens, articles_with_title, from_files, index_texts, one_per_id,
 )
@@ -78,6 +78,26 @@ class Corpus:
             scoring.dph_term_score(tf, n_docs, avg_length), asked, self.terms_small
         )
 
+    def best_scores(self, k: int, sample: int = pruning.SAMPLE) -> DataFrame:
+        """Rows of ``scores`` among which are the ``k`` best of every query, and the others only
+        as far as they could be: see ``pruning``. One document of so many is scored in full
+        before the rest. Worth it for few queries of a large corpus, whose best are far above
+        most; where nothing can be left out it costs two readings of the kept tokens more."""
+        n_docs, avg_length = self._scalars
+        telling = self.surfaces.where(F.col("corpus_tf") <= n_docs)
+
+        def term_scores(tokens: DataFrame) -> DataFrame:
+            tf = stats.term_frequency(tokens, telling, self.surfaces_small)
+            return scoring.dph_term_score(tf, n_docs, avg_length)
+
+        few = self.tokens.where(pruning.sampled(F.col("doc_id"), sample))
+        some = scoring.dph_query_score(term_scores(few), self.terms, self.terms_small)
+        scored = term_scores(self.tokens)
+        essential = checkpointed(pruning.essential_terms(
+            self.terms, pruning.term_bounds(scored), pruning.floors(some, k)))
+        return scoring.sum_of_terms(
+            pruning.possible_pairs(scored, self.terms, essential, self.terms_small))
+
     @cached_property
     def _scalars(self) -> tuple[Column, Column]:
         row = self.corpus_stats().first()
@@ -172,7 +192,8 @@ def rank_documents(articles: DataFrame, queries: DataFrame, k: int = ranking.TOP
                    min_distance: float = ranking.MIN_DISTANCE,
                    stopwords: Iterable[str] = ENGLISH, partitions: int | None = None,
                    duplicates: str = "error", missing_ids: str = "error",
-                   chunk: int = ranking.CHUNK, limits: Limits = Limits()) -> DataFrame:
+                   chunk: int = ranking.CHUNK, limits: Limits = Limits(),
+                   prune: bool = False) -> DataFrame:
     """Rank the articles for each query: ``(query_id, original_query, results)``.
 
     ``articles`` has ``title``, ``contents`` and a unique ``doc_id`` (``id`` if there is
@@ -187,7 +208,9 @@ def rank_documents(articles: DataFrame, queries: DataFrame, k: int = ranking.TOP
     one article of each id instead. So are articles without an id; ``missing_ids="drop"``
     leaves them out of everything. ``chunk`` is how many candidates of a query the choice of
     distant titles looks at in one round; it does not change the result. ``limits`` says
-    what the tokeniser drops; ``NO_LIMITS`` keeps everything.
+    what the tokeniser drops; ``NO_LIMITS`` keeps everything. ``prune`` leaves out pairs that
+    cannot be among the first ``chunk`` of their query before they are scored; it does not
+    change the result, see ``Corpus.best_scores``.
     """
     for name, value in (("duplicates", duplicates), ("missing_ids", missing_ids)):
         if value not in ("error", "drop"):
@@ -203,8 +226,8 @@ def rank_documents(articles: DataFrame, queries: DataFrame, k: int = ranking.TOP
     corpus = prepare(articles, queries, stopwords, partitions, limits)
     try:
         entries = checkpointed(ranking.diverse_top_k(
-            corpus.scores(), corpus.tokens, corpus.n_queries, k, min_distance, chunk,
-            scores_of=corpus.scores,
+            corpus.best_scores(chunk) if prune else corpus.scores(),
+            corpus.tokens, corpus.n_queries, k, min_distance, chunk, scores_of=corpus.scores,
         ))
         files = corpus.files(entries)
     finally:
