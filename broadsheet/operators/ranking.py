@@ -124,6 +124,7 @@ def _take_from_chunk(chunks: DataFrame, k: int, min_distance: float, chunk: int)
     return chunks.select(
         "query_id",
         F.aggregate("candidates", F.col("taken"), step).alias("taken"),
+        F.size("taken").alias("known"),
         rank_key(F.col("last.score")).alias("last_key"),
         F.col("last.doc_id").alias("last_doc"),
         (F.coalesce("n", F.lit(0)) >= chunk).alias("more"),
@@ -131,17 +132,19 @@ def _take_from_chunk(chunks: DataFrame, k: int, min_distance: float, chunk: int)
 
 
 def _remaining(pairs: DataFrame, state: DataFrame, min_distance: float) -> DataFrame:
-    """The pairs of open queries after their last candidate and not near a taken title."""
+    """The pairs of open queries after their last candidate and not near a taken title. They have
+    been compared with those that were ``known`` before the last round, so only the others are."""
     key = rank_key(F.col("score"))
     after = (key < F.col("last_key")) | (
         (key == F.col("last_key")) & (F.col("doc_id") > F.col("last_doc"))
     )
     rejected = F.exists(
-        "taken", lambda t: too_near(t["title"], F.col("title"), min_distance,
-                                    t["letters"], F.col("_letters"))
+        "_new", lambda t: too_near(t["title"], F.col("title"), min_distance,
+                                   t["letters"], F.col("letters"))
     )
-    later = pairs.join(broadcast_if(state, is_small(state)), "query_id").where(after)
-    return later.withColumn("_letters", letters(F.col("title"))).where(~rejected).select("query_id", "doc_id", "score", "title")
+    new = state.withColumn("_new", F.slice("taken", F.col("known") + 1, F.size("taken"))).drop("taken")
+    later = pairs.join(broadcast_if(new, is_small(state)), "query_id").where(after)
+    return later.where(~rejected).select(*pairs.columns)
 
 
 def diverse_top_k(scores: DataFrame, titles: DataFrame, n_queries: int, k: int = TOP_K,
@@ -162,9 +165,9 @@ def diverse_top_k(scores: DataFrame, titles: DataFrame, n_queries: int, k: int =
     """
     finished = []
 
-    def named(pairs: DataFrame) -> DataFrame:
+    def named(pairs: DataFrame, *more: Column) -> DataFrame:
         # A candidate without a title row stays: how many there are decides if more follow.
-        return pairs.join(titles.select("doc_id", "title"), "doc_id", "left")
+        return pairs.join(titles.select("doc_id", "title", *more), "doc_id", "left")
 
     chunks = _chunks(named(top_k(scores, chunk)), n_queries, min_distance).withColumn(
         "taken", F.slice("candidates", 1, 0))
@@ -177,7 +180,9 @@ def diverse_top_k(scores: DataFrame, titles: DataFrame, n_queries: int, k: int =
         if still_open.isEmpty():
             break
         if pairs is None:
-            pairs = named(scores_of(still_open.select("query_id")) if scores_of else scores)
+            # The letters of a title are counted once, not for each query that it is a pair with.
+            pairs = named(scores_of(still_open.select("query_id")) if scores_of else scores,
+                          letters(F.col("title")).alias("letters"))
         pairs = checkpointed(_remaining(pairs, still_open, min_distance))
         best = top_k(pairs, chunk).join(pairs.select("query_id", "doc_id", "title"), ["query_id", "doc_id"])
         chunks = still_open.select("query_id", "taken").join(

@@ -1,10 +1,12 @@
 import random
+import time
 
 import pytest
 from plain_model import edit_distance, greedy
 from pyspark.sql import functions as F
 
 import broadsheet.cluster
+from broadsheet.functions import distance
 from broadsheet.operators import indexing, ranking
 
 SCORES = "query_id long, doc_id long, score double"
@@ -222,3 +224,28 @@ def test_long_titles_in_the_diverse_ranking(spark):
     ranked = sorted(titles)
     for chunk in (2, 50):
         assert diverse(spark, pairs, titles, chunk=chunk)[0] == greedy([(d, titles[d]) for d in ranked], 10, 0.5)
+
+
+def test_titles_of_books_are_told_near_piece_by_piece(spark):
+    """Letter by letter, the 60 pairs of 20,000 letters each would take minutes."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8))) for _ in range(300)]
+    titles = {d: " ".join(rng.choice(words) for _ in range(5000))[:20_000 + d] for d in range(61)}
+    started = time.perf_counter()
+    assert diverse(spark, [(1, d, 100.0 - d) for d in titles], titles, k=25, min_distance=0.9, chunk=5) == {1: [0]}
+    assert time.perf_counter() - started < 60
+
+
+@pytest.mark.parametrize("enough", [0.0, 0.5, 0.9])
+def test_most_distance_is_a_bound(spark, enough):
+    rng = random.Random(4)
+    texts = ["", "a", "b" * 9, "é中\U0001f600" * 40] + [
+        "".join(rng.choice("ab é") for _ in range(rng.randint(1, 200))) for _ in range(30)]
+    pairs = spark.createDataFrame([(a, b) for a in texts for b in texts if a or b], "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    rows = pairs.select(distance.most_distance(a, b, enough).alias("most"), F.levenshtein(a, b).alias("edits"),
+                        F.greatest(F.length(a), F.length(b)).alias("longer"),
+                        distance.too_near(a, b, enough).alias("near")).collect()
+    for r in rows:
+        assert r.edits <= r.most <= r.longer
+        assert r.near == (enough > 0 and r.edits / r.longer < enough)
