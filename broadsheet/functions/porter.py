@@ -150,16 +150,16 @@ def stem(token: Column) -> Column:
     return F.when(whole, token).otherwise(F.regexp_replace(word[0], "^Y", "y"))
 
 
-def starts(term: Column) -> Column:
-    """Letters, three at most, one of which every token with this stem starts with.
+def starts(term: Column, letters: int = 3) -> Column:
+    """Beginnings, of so many ``letters`` at most, one of which every token with this stem has.
 
     The rules take letters off the end of a word or change its last letter, so that a stem
-    of four letters has its first three from the token, and one of three its first two.
-    In one of two letters, a last "i" may have been a "y".
+    has all its letters but the last from the token. ("-bility" becomes "-ble", but never keeps
+    that "e".) In one of two letters, a last "i" may have been a "y".
     """
     length = F.length(term)
     either = F.array(term, F.concat(F.left(term, F.lit(1)), F.lit("y")))
-    same = F.when(length <= 3, F.lit(2)).otherwise(F.lit(3))
+    same = F.when(length <= 2, F.lit(2)).otherwise(F.least(length - 1, F.lit(letters)))
     return F.when((length == 2) & term.endswith("i"), either).otherwise(
         F.array(F.left(term, same))
     )

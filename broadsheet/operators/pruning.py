@@ -65,13 +65,15 @@ def possible_pairs(term_scores: DataFrame, terms: DataFrame, essential: DataFram
     each query of which it has an essential term.
 
     ``term_scores`` are partitioned by ``doc_id``. Which queries a document may be among the best
-    of is found within its rows, one for each query term it has; where the query terms are
+    of is found once, from all its query terms; where the query terms are
     broadcast (``small``) nothing is shuffled, and no row is made for any other query."""
     asking = essential.groupBy("term").agg(F.collect_set("query_id").alias("_asking"))
     asked = term_scores.join(broadcast_if(asking, small and is_small(asking)), "term", "left")
-    of_document = Window.partitionBy("doc_id")
-    possible = F.array_distinct(F.flatten(F.collect_list("_asking").over(of_document)))
-    alive = asked.withColumn("_possible", possible).where(F.size("_possible") > 0)
+    # Once for each document, not once for each of its terms.
+    documents = asked.groupBy("doc_id").agg(
+        F.collect_list(F.struct("term", "score")).alias("_terms"),
+        F.array_distinct(F.flatten(F.collect_list("_asking"))).alias("_possible"))
+    alive = documents.where(F.size("_possible") > 0).select("doc_id", "_possible", F.inline("_terms"))
     queries = broadcast_if(terms.withColumnRenamed("term", "_term"), small)
     return alive.join(
         queries,

@@ -17,6 +17,11 @@ from broadsheet.functions.tokens import Limits, remove_stopwords, tokenize
 FREQUENT_TOKENS = 50_000
 FREQUENT_CHARS = 64
 
+# How many letters of a token are compared with the beginnings of terms, and how many different
+# beginnings there may be, else fewer letters are taken. It sets the work, not the result.
+START_LETTERS = 5, 4, 3
+MAX_STARTS = 48_000
+
 
 def stem_vocabulary(tokens: DataFrame) -> DataFrame:
     """``(token, n, stem)``: the distinct values of a column ``token``, how often each
@@ -72,17 +77,21 @@ def query_terms(parsed: DataFrame) -> DataFrame:
     return counts.withColumn("n_terms", F.sum("qn").over(whole_query))
 
 
-def term_starts(terms: DataFrame) -> tuple[int, list[str]]:
+def term_starts(terms: DataFrame, most: int = MAX_STARTS) -> tuple[int, list[str]]:
     """How many bytes the rows take, and letters that any token with one of these terms as its
     stem starts with.
 
-    Three letters each at most, so at most 36 + 36^2 + 36^3 values come to the driver,
-    however many terms there are.
+    Five letters each at most, four or three if there are more than ``most`` different beginnings.
+    Of three letters there are at most 36 + 36^2 + 36^3, so no more values than that, or than
+    ``most``, come to the driver, however many terms there are.
     """
-    row = terms.agg(
-        F.sum(row_bytes(terms)).alias("bytes"), F.collect_set(starts(F.col("term"))).alias("starts")
-    ).first()
-    return row["bytes"] or 0, sorted({start for group in row["starts"] for start in group})
+    n_bytes = terms.agg(F.sum(row_bytes(terms))).first()[0] or 0
+    for letters in START_LETTERS:
+        found = terms.select(F.explode(starts(F.col("term"), letters)).alias("start")).distinct()
+        last = letters == START_LETTERS[-1]
+        rows = (found if last else found.limit(most + 1)).collect()
+        if last or len(rows) <= most:
+            return n_bytes, sorted(row["start"] for row in rows)
 
 
 def keep_possible_tokens(tokens: DataFrame, starts: list[str]) -> DataFrame:
@@ -112,7 +121,7 @@ def count_tokens(tokens: DataFrame) -> DataFrame:
     runs = F.transform("_starts", lambda i, j: F.struct(
         F.element_at("_sorted", i).alias("token"),
         (F.coalesce(F.get("_starts", j + 1), n + 1) - i).alias("n")))
-    return tokens.withColumn("_sorted", F.array_sort("tokens")).withColumn("_starts", starts).withColumn(
+    return tokens.withColumn("_sorted", F.sort_array("tokens")).withColumn("_starts", starts).withColumn(
         "tokens", runs).drop("_sorted", "_starts")
 
 

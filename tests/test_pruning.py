@@ -112,3 +112,14 @@ def test_documents_are_not_shuffled(spark):
     above_the_kept_tokens = plan.split("InMemoryRelation")[0]
     assert "Window" in above_the_kept_tokens and "hashpartitioning" not in above_the_kept_tokens
     prepared.release()
+
+
+def test_queries_of_a_document_are_found_once(spark):
+    """Not again for each of its terms: the list of them is made by one row per document."""
+    scores = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0), (2, "b", 3.0)], "doc_id long, term string, score double")
+    terms = spark.createDataFrame([(7, "a", 1, 2), (7, "b", 1, 2), (8, "b", 2, 2)],
+                                  "query_id long, term string, qn long, n_terms long")
+    found = pruning.possible_pairs(scores, terms, terms.where("term = 'a'"), True)
+    assert sorted((r.query_id, r.doc_id, r.term, r.qn, r.score) for r in found.collect()) == [
+        (7, 1, "a", 1, 1.0), (7, 1, "b", 1, 2.0)]
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()

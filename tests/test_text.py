@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from broadsheet.functions.porter import STEP_2, STEP_3, STEP_4, starts, stem
 from broadsheet.functions.stopwords import ENGLISH, as_tokens
 from broadsheet.functions.tokens import remove_stopwords, tokenize
-from broadsheet.operators.terms import count_tokens, keep_possible_tokens, text_to_terms
+from broadsheet.operators.terms import count_tokens, keep_possible_tokens, term_starts, text_to_terms
 
 
 def one(spark, column, text):
@@ -137,3 +137,20 @@ def test_tokens_are_counted_in_their_row(spark):
     found = {r.doc_id: [tuple(t) for t in r.tokens] for r in df.collect()}
     assert found == {0: [("a", 2), ("b", 3), ("c", 1)], 1: [], 2: [("x", 1)], 3: [("y", 2)]}
     assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("letters", [4, 5, 19])
+def test_a_token_has_all_letters_of_its_stem_but_the_last(spark, letters):
+    words = made_up_words(20000)
+    df = spark.createDataFrame([(w, plain_stem(w)) for w in words], "token string, stem string")
+    found = F.exists(starts(F.col("stem"), letters), lambda s: F.startswith("token", s))
+    assert df.where(~found).count() == 0
+
+
+def test_beginnings_are_as_long_as_their_number_allows(spark):
+    rows = [(1, t, 1, 4) for t in ("rainfal", "rainbow", "raincoat", "sun")]
+    df = spark.createDataFrame(rows, "query_id long, term string, qn long, n_terms long")
+    assert term_starts(df)[1] == ["rainb", "rainc", "rainf", "su"]
+    assert term_starts(df, most=3)[1] == ["rain", "su"]
+    assert term_starts(df, most=1)[1] == ["rai", "su"]
+    assert term_starts(df.where("false")) == (0, [])
