@@ -6,7 +6,9 @@ taken from its own counts of counts. Counts, continuation counts and discounted
 from Spark joins and aggregates. The finished model is a table of logarithms: of the
 probability of every n-gram seen, and of the weight every context leaves to the shorter one.
 It is dealt into shards by the middle word, so that a shard has all it takes to price the
-trigrams around its words; a document's probability is the sum of what the shards say.
+trigrams around its words, but for single words: these are dealt by themselves, with the bigrams
+they end, as a word is priced alone where its bigram was never seen. A document's probability is
+the sum of what the shards say.
 
 A document is kept if its perplexity is not above the quantile, in its language, of trusted
 texts that were not trained on. Every second trusted text of a language is left out of the
@@ -32,13 +34,11 @@ from broadsheet.llm.textarrays import mix, signed, text_slices, totals, word_spa
 from broadsheet.llm.words import pieces, span_hashes
 from broadsheet.operators.indexing import number_rows
 
-# Trusted texts the model is counted on, at most: those of the least hash.
-TRAIN_ROWS = 2_000
 QUANTILE = 0.995
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _START, _END = np.uint64(0x1234567), np.uint64(0x89ABCDE)
-_KINDS = ("p3", "left3", "p2", "left2", "p1")
+_KINDS = ("p3", "left3", "p2", "left2", "p1", "ends")
 _NGRAM = "uvw long, uv long, v long, vw long, w long, n long"
 
 
@@ -100,8 +100,9 @@ def _own(count: str, discounts: list[float]) -> Column:
 
 
 def train(texts: DataFrame) -> tuple[DataFrame, float]:
-    """``(kind, key, v, value)``, the logarithms of the model of ``texts(text)``, and that of
-    the probability of an unknown word. ``v`` is the middle word, null for single words."""
+    """``(kind, key, v, value, w)``, the logarithms of the model of ``texts(text)``, and that of
+    the probability of an unknown word. ``v`` is the middle word, or the single word itself; ``w``
+    is the last word of a bigram, else null."""
     tri = written(texts.mapInArrow(_count_rows, _NGRAM).groupBy("uvw", "uv", "v", "vw", "w").agg(
         F.sum("n").alias("n")), "trigrams")
     bi = written(tri.groupBy("vw", "v", "w").agg(F.count("*").alias("k")), "bigrams")
@@ -111,25 +112,26 @@ def train(texts: DataFrame) -> tuple[DataFrame, float]:
         F.sum("k"), F.count("*"),
         F.sum(F.when(F.col("k") == 1, d1[0]).when(F.col("k") == 2, d1[1]).otherwise(d1[2]))).first()
     if not kinds:
-        empty = tri.select(F.lit(0).alias("kind"), F.col("uvw").alias("key"), "v", F.lit(0.0).alias("value"))
+        empty = tri.select(F.lit(0).alias("kind"), F.col("uvw").alias("key"), "v", F.lit(0.0).alias("value"), "w")
         return empty, math.log10(1.0)
     unknown = left / total / (kinds + 1)
     uni = uni.withColumn("total", F.lit(total)).select("w", (_own("k", d1) + unknown).alias("p1"))
     after2 = _contexts(bi, "v", "k", d2)
     bi = written(bi.join(after2, "v").join(uni, "w").select(
-        "vw", "v", (_own("k", d2) + F.col("left") * F.col("p1")).alias("p2")), "p2")
+        "vw", "v", (_own("k", d2) + F.col("left") * F.col("p1")).alias("p2"), "w"), "p2")
     after3 = _contexts(tri, "uv", "n", d3)
     tri = tri.join(after3, "uv").join(bi.select("vw", "p2"), "vw")
     parts = [
         tri.select("uvw", "v", (_own("n", d3) + F.col("left") * F.col("p2")).alias("p")),
-        tri.select("uv", "v", "left").distinct(), bi.select("vw", "v", "p2"),
+        tri.select("uv", "v", "left").distinct(), bi.select("vw", "v", "p2", "w"),
         after2.select("v", F.col("v").alias("middle"), "left"),
-        uni.select("w", F.lit(None).cast("long"), "p1"),
+        uni.select("w", F.col("w").alias("word"), "p1"),
     ]
     every = None
     for kind, part in enumerate(parts):
-        part = part.toDF("key", "v", "p").select(
-            F.lit(kind).alias("kind"), "key", "v", F.log10("p").alias("value"))
+        last = F.col("w") if _KINDS[kind] == "p2" else F.lit(None).cast("long").alias("w")
+        part = part.toDF("key", "v", "p", *part.columns[3:]).select(
+            F.lit(kind).alias("kind"), "key", "v", F.log10("p").alias("value"), last)
         every = part if every is None else every.union(part)
     return written(every, "model"), math.log10(unknown)
 
@@ -150,11 +152,17 @@ class _Model(StoredTable):
 
 
 def _shards(model: DataFrame) -> Iterator[tuple[int, int, _Model]]:
-    """``(shard, shards, tables)``, written: tasks read them, and the driver none of them. Every
-    shard has all single words, which the bound on training rows keeps few."""
+    """``(shard, shards, tables)``, written: tasks read them, and the driver none of them. Where
+    there are several, a shard also has the bigrams that its words end, without their values."""
     n = max(1, math.ceil(model.count() / SHARD_ENTRIES))
+    if n > 1:
+        bigrams = model.where(F.col("kind") == _KINDS.index("p2"))
+        ends = bigrams.select(F.lit(_KINDS.index("ends")).alias("kind"), "key", F.col("w").alias("v"),
+                              F.lit(0.0).alias("value"), "w")
+        n = math.ceil((model.count() + bigrams.count()) / SHARD_ENTRIES)
+        model = model.union(ends)
     for i in range(n):
-        rows = model.where(F.col("v").isNull() | (F.pmod("v", F.lit(n)) == i))
+        rows = model if n == 1 else model.where(F.pmod("v", F.lit(n)) == i)
         yield i, n, _Model(stored(rows.select(F.col("kind").cast("tinyint"), "key", "value"), "model"))
 
 
@@ -170,7 +178,11 @@ def _score_rows(shard: int, n_shards: int, shared: _Model, unknown: float):
             for first, end, data, offsets in text_slices(batch.column("text"), lower=True):
                 row, u, v, w = _trigrams(data, offsets)
                 tokens = np.bincount(row, minlength=end - first)
+                price1 = np.zeros(end - first)
                 if n_shards > 1:
+                    own = np.flatnonzero(signed(w) % n_shards == shard)
+                    own = own[~find(model["ends"][0], _pair(v[own], w[own]))[1]]
+                    price1 = totals(row[own], looked_up(model["p1"], w[own], unknown)[0], end - first)
                     own = signed(v) % n_shards == shard
                     row, u, v, w = row[own], u[own], v[own], w[own]
                 uv = _pair(u, v)
@@ -181,12 +193,13 @@ def _score_rows(shard: int, n_shards: int, shared: _Model, unknown: float):
                 price[rest] += p2
                 rest = rest[~seen]
                 price[rest] += looked_up(model["left2"], v[rest], 0.0)[0]
-                price[rest] += looked_up(model["p1"], w[rest], unknown)[0]
+                if n_shards == 1:
+                    price[rest] += looked_up(model["p1"], w[rest], unknown)[0]
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(first, end - first),
                     batch.column("lang").slice(first, end - first),
                     batch.column("text_key").slice(first, end - first),
-                    pa.array(tokens * (shard == 0)), pa.array(totals(row, price, end - first)),
+                    pa.array(tokens * (shard == 0)), pa.array(totals(row, price, end - first) + price1),
                 ], names=["doc_id", "lang", "text_key", "n_tokens", "log10_prob"])
 
     return work
@@ -208,7 +221,7 @@ def _scores(docs: DataFrame, model: DataFrame, unknown: float) -> DataFrame:
         F.lit(10.0), F.least(-F.col("log10_prob") / F.greatest("n_tokens", F.lit(1)), F.lit(300.0))))
 
 
-def _train_keys(docs: DataFrame, trusted: DataFrame, train_rows: int) -> DataFrame:
+def _train_keys(docs: DataFrame, trusted: DataFrame, train_rows: int | None) -> DataFrame:
     """``text_key`` of the trusted texts to train on. The different texts of each language,
     in the order of their keys, are dealt out in turn: to the training, and to the
     thresholds. Copies of a text have one key, so none is on both sides."""
@@ -216,17 +229,18 @@ def _train_keys(docs: DataFrame, trusted: DataFrame, train_rows: int) -> DataFra
     texts = docs.select(F.col("doc_id").cast("long").alias("trusted"), own.alias("own"), text_key()).join(
         trusted, "trusted").groupBy("text_key").agg(F.min("own").alias("own"))
     numbered = number_rows(texts, [F.col("text_key")], "number", within="own")
-    return numbered.where("number % 2 = 0").orderBy("text_key").limit(train_rows).select("text_key")
+    own = numbered.where("number % 2 = 0").select("text_key")
+    return own if train_rows is None else own.orderBy("text_key").limit(train_rows)
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE,
-             train_rows: int = TRAIN_ROWS) -> DataFrame:
+             train_rows: int | None = None) -> DataFrame:
     """``(doc_id, lang, n_tokens, log10_prob, perplexity, threshold, kept)`` per document.
 
     ``docs`` has ``doc_id``, ``text`` and ``lang``, ``labels`` has ``doc_id`` and ``quality``
     (1: trusted); other columns are ignored. The model is counted on every second trusted text
-    of each language, at most ``train_rows`` in all, copies of a text once; the thresholds are
-    quantiles over all trusted documents with other texts. Words are lower-cased (A-Z); a
+    of each language, copies of a text once (all of these, unless ``train_rows`` says how many at
+    most); the thresholds are quantiles over all trusted documents with other texts. Words are lower-cased (A-Z); a
     text's end counts as a word, so a null or empty text has one. A language with no trusted
     text beyond those trained on, null among them, takes the quantile over all languages;
     where no trusted text is left for thresholds at all, or none is trusted, all are kept.
@@ -236,11 +250,12 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE,
         "trusted is not null and quality = 1").select("trusted").distinct()
     chosen = written(_train_keys(docs, trusted, train_rows), "chosen")
     texts = docs.select(text_key(), F.col("text").cast("string").alias("text"))
-    model, unknown = train(texts.join(F.broadcast(chosen), "text_key").groupBy("text_key").agg(
+    small = is_small(chosen)
+    model, unknown = train(texts.join(broadcast_if(chosen, small), "text_key").groupBy("text_key").agg(
         F.first("text").alias("text")).select("text"))
     scores = written(_scores(docs, model, unknown), "scores")
     held_out = scores.join(trusted, F.col("doc_id") == F.col("trusted")).join(
-        F.broadcast(chosen), "text_key", "left_anti")
+        broadcast_if(chosen, small), "text_key", "left_anti")
     limit = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000)).alias("limit")
     overall = held_out.agg(limit).first()["limit"]
     limits = held_out.groupBy("lang").agg(limit).withColumnRenamed("lang", "_lang")

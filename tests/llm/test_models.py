@@ -297,3 +297,26 @@ def test_every_row_has_its_score(unnamed_docs, monkeypatch, entries):
     assert Counter((r["doc_id"], r["n_tokens"]) for r in rows) == expected
     twice = [r for r in rows if r["doc_id"] == 10]
     assert len(twice) == 2 and twice[0] == twice[1]
+
+
+def test_quality_counts_every_second_trusted_text(spark, monkeypatch):
+    """All of them, also more than any sample; single words are in one shard, not in all."""
+    docs = spark.range(4203).selectExpr("id AS doc_id", "concat('word', id, ' and word', id + 1) AS text", "'en' AS lang")
+    labels = spark.range(4203).selectExpr("id AS doc_id", "1 AS quality")
+    counted, train = [], quality.train
+    monkeypatch.setattr(quality, "train", lambda texts: (counted.append(texts.count()), train(texts))[1])
+    whole = {r["doc_id"]: r["log10_prob"] for r in quality.classify(docs, labels).collect()}
+    assert counted == [2102]
+    monkeypatch.setattr(quality, "SHARD_ENTRIES", 7000)
+    shards, tables = quality._shards, []
+    monkeypatch.setattr(quality, "_shards", lambda model: (
+        tables.append(len(shard.value["p1"][0])) or (i, n, shard) for i, n, shard in shards(model)))
+    parts = {r["doc_id"]: r["log10_prob"] for r in quality.classify(docs, labels).collect()}
+    assert len(tables) > 2 and max(tables) < 0.7 * sum(tables)
+    assert parts == pytest.approx(whole, rel=1e-9)
+
+
+def test_texts_are_scored_in_one_reading(small_docs):
+    """Prices and words are looked up together, and what one shard says is not added up."""
+    plan = ppm.score_texts(small_docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Aggregate" not in plan and "Union" not in plan
