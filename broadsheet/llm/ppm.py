@@ -14,6 +14,7 @@ and a text's score is a sum of looked-up prices.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -132,40 +133,40 @@ def trie_prices(counts: DataFrame, order: int) -> DataFrame:
         F.col("price") - unseen).alias("price"))
 
 
-def _price_rows(order: int, prices):
+def _score_rows(order: int, prices, counts, end_count: int, total: int, kinds: int, first_shard: bool):
+    """What a shard of prices and one of words say, either of which may be None: a text is read and
+    cut into words once for both."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = prices.value
-        for batch in batches:
-            for first, end, data, offsets in text_slices(batch.column("text"), lower=True):
-                stream, bounds, *_ = byte_stream(data, offsets, order)
-                keys, row = windows(stream, bounds, order)
-                at, there = find(table["key"], keys)
-                price = np.where(there, table["price"][at], 0.0) if len(table["key"]) else np.zeros(len(keys))
-                yield _part(batch, first, end, score=totals(row, price, end - first))
-
-    return work
+        price_table, word_table = prices and prices.value, counts and counts.value
+        space = total + 0.5 * (kinds + 1)
 
+        def priced(stream: np.ndarray, bounds: np.ndarray, n: int) -> dict:
+            keys, row = windows(stream, bounds, order)
+            at, there = find(price_table["key"], keys)
+            price = np.where(there, price_table["price"][at], 0.0) if len(price_table["key"]) else np.zeros(len(keys))
+            return {"score": totals(row, price, n)}
+
+        def based(names: np.ndarray, bounds: np.ndarray, n_rows: int) -> dict:
+            row = np.repeat(np.arange(n_rows), np.diff(bounds))
+            at, there = find(word_table["key"], names)
+            n = np.where(there, word_table["n"][at], 0) if len(word_table["key"]) else np.zeros(len(names), np.int64)
+            # Each shard adds what its words have over an unknown word; the first adds the rest.
+            gain = totals(row, np.log10((n + 0.5) / 0.5), n_rows)
+            known = np.bincount(row, n > 0, n_rows).astype(np.int64)
+            tokens = np.zeros(n_rows, np.int64)
+            if first_shard:
+                tokens = np.diff(bounds) + 1
+                gain += tokens * np.log10(0.5 / space) + np.log10((end_count + 0.5) / 0.5)
+                known += end_count > 0
+            return {"base_score": gain, "n_tokens": tokens, "n_known": known}
 
-def _base_rows(counts, end_count: int, total: int, kinds: int, first_shard: bool):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = counts.value
-        space = total + 0.5 * (kinds + 1)
         for batch in batches:
             for first, end, data, offsets in text_slices(batch.column("text"), lower=True):
-                starts, ends, bounds = word_spans(data, offsets)
-                names = span_hashes(pieces(data), starts, ends)
-                row = np.repeat(np.arange(end - first), np.diff(bounds))
-                at, there = find(table["key"], names)
-                n = np.where(there, table["n"][at], 0) if len(table["key"]) else np.zeros(len(names), np.int64)
-                # Each shard adds what its words have over an unknown word; the first adds the rest.
-                gain = totals(row, np.log10((n + 0.5) / 0.5), end - first)
-                known = np.bincount(row, n > 0, end - first).astype(np.int64)
-                tokens = np.zeros(end - first, np.int64)
-                if first_shard:
-                    tokens = np.diff(bounds) + 1
-                    gain += tokens * np.log10(0.5 / space) + np.log10((end_count + 0.5) / 0.5)
-                    known += end_count > 0
-                yield _part(batch, first, end, base_score=gain, n_tokens=tokens, n_known=known)
+                stream, bounds, starts, ends, words = byte_stream(data, offsets, order)
+                values = priced(stream, bounds, end - first) if prices else {}
+                if counts:
+                    values |= based(span_hashes(pieces(data), starts, ends), words, end - first)
+                yield _part(batch, first, end, **values)
 
     return work
 
@@ -213,9 +214,9 @@ def score_texts(docs: DataFrame, order: int = ORDER, held_out: tuple[int, int] =
 
     schema = ("doc_id long, held_out boolean, text_key string, score double, base_score double, "
               "n_tokens long, n_known long")
-    parts = [keyed.mapInArrow(_price_rows(order, shard), schema) for shard in shards(prices)]
-    parts += [keyed.mapInArrow(_base_rows(shard, ends, total, kinds, i == 0), schema)
-              for i, shard in enumerate(shards(words))]
-    return added_up(parts, ["doc_id", "held_out", "text_key"]).select(
+    parts = [keyed.mapInArrow(_score_rows(order, shard, some, ends, total, kinds, i == 0), schema)
+             for i, (shard, some) in enumerate(zip_longest(shards(prices), shards(words)))]
+    every = parts[0] if len(parts) == 1 else added_up(parts, ["doc_id", "held_out", "text_key"])
+    return every.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
         "base_score", "score")
