@@ -19,7 +19,8 @@ SHARD_ENTRIES = 4_000_000
 
 class StoredTable:
     """A table in the shared folder, which tasks read as a whole: ``value`` is a dict of arrays,
-    the columns, sorted by ``key`` as unsigned numbers. It does not pass through the driver."""
+    the columns, sorted by ``key`` as unsigned numbers; ``slots`` is for many look-ups in no order.
+    It does not pass through the driver."""
 
     def __init__(self, path: str, key: str = "key"):
         self.path, self.key = path, key
@@ -49,6 +50,46 @@ class StoredTable:
         order = np.argsort(columns[self.key])
         return {name: columns.pop(name)[order] for name in list(columns)}
 
+    def slots(self) -> tuple[Slots, dict[str, np.ndarray]]:
+        """The keys in slots, and the other columns in their order."""
+        columns = self.columns()
+        slots, order = Slots.of(columns.pop(self.key).view(np.uint64))
+        return slots, {name: columns.pop(name)[order] for name in list(columns)}
+
+
+class Slots:
+    """Different keys in the order of a multiple of them modulo 2**64, and where each of its leading
+    bits begin: a look-up reads two or three places where a search by halves reads twenty."""
+
+    _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, multiples: np.ndarray):
+        bits = max(1, (2 * len(multiples)).bit_length())
+        self.size, self.shift = len(multiples), np.uint64(64 - bits)
+        # The last entry ends every search.
+        self.multiples = np.append(multiples, np.uint64(2**64 - 1))
+        count = np.bincount((multiples >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.first = (np.cumsum(count) - count).astype(np.int32)
+
+    @classmethod
+    def of(cls, keys: np.ndarray) -> tuple[Slots, np.ndarray]:
+        """The slots of keys, and the order in which they hold them."""
+        multiples = keys * cls._FACTOR
+        order = np.argsort(multiples)
+        return cls(multiples[order]), order
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the wanted keys, and which of them are there; a place is valid in any case
+        unless there are no keys."""
+        multiples = wanted * self._FACTOR
+        at = self.first[(multiples >> self.shift).astype(np.int64)]
+        rest = np.flatnonzero(self.multiples[at] < multiples)
+        while len(rest):
+            at[rest] += 1
+            rest = rest[self.multiples[at[rest]] < multiples[rest]]
+        there = (self.multiples[at] == multiples) & (at < self.size)
+        return np.minimum(at, max(self.size - 1, 0)), there
+
 
 def stored(table: DataFrame, name: str) -> str:
     """The path of a new folder in the shared one that a table has been written to."""

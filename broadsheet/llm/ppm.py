@@ -61,12 +61,15 @@ def windows(stream: np.ndarray, bounds: np.ndarray, order: int) -> tuple[np.ndar
 
 def _count_rows(order: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def counted(kind: int, keys: np.ndarray, train: np.ndarray) -> pa.RecordBatch:
-            unique, inverse = np.unique(keys, return_inverse=True)
-            n = np.bincount(inverse, train, len(unique)).astype(np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(unique), kind)), pa.array(signed(unique)), pa.array(n)],
-                names=["kind", "key", "n"])
+        def counted(kind: int, train: np.ndarray, others: np.ndarray) -> pa.RecordBatch:
+            """How often the keys stand in the training, and with 0 those of the others only.
+            Sorting without places is several times faster than with them."""
+            keys, n = np.unique(train, return_counts=True)
+            more, _ = np.unique(others, return_counts=True)
+            more = more[~find(keys, more)[1]]
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(keys) + len(more), kind)), pa.array(signed(np.append(keys, more))),
+                pa.array(np.append(n, np.zeros(len(more), np.int64)))], names=["kind", "key", "n"])
 
         for batch in batches:
             train = ~batch.column("held_out").to_numpy(zero_copy_only=False)
@@ -74,11 +77,11 @@ def _count_rows(order: int):
                 stream, bounds, starts, ends, words = byte_stream(data, offsets, order)
                 keys, row = windows(stream, bounds, order)
                 own = train[first:end]
-                yield counted(0, keys, own[row])
+                trained = own[row]
+                yield counted(0, keys[trained], keys[~trained])
                 names = span_hashes(pieces(data), starts, ends)
                 word_row = np.repeat(np.arange(end - first), np.diff(words))
-                some = own[word_row]
-                yield counted(1, names[some], np.ones(int(some.sum())))
+                yield counted(1, names[own[word_row]], names[:0])
 
     return work
 
@@ -137,19 +140,20 @@ def _score_rows(order: int, prices, counts, end_count: int, total: int, kinds: i
     """What a shard of prices and one of words say, either of which may be None: a text is read and
     cut into words once for both."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        price_table, word_table = prices and prices.value, counts and counts.value
+        price_keys, price_table = prices.slots() if prices else (None, None)
+        word_keys, word_table = counts.slots() if counts else (None, None)
         space = total + 0.5 * (kinds + 1)
 
         def priced(stream: np.ndarray, bounds: np.ndarray, n: int) -> dict:
             keys, row = windows(stream, bounds, order)
-            at, there = find(price_table["key"], keys)
-            price = np.where(there, price_table["price"][at], 0.0) if len(price_table["key"]) else np.zeros(len(keys))
+            at, there = price_keys.find(keys)
+            price = np.where(there, price_table["price"][at], 0.0) if price_keys.size else np.zeros(len(keys))
             return {"score": totals(row, price, n)}
 
         def based(names: np.ndarray, bounds: np.ndarray, n_rows: int) -> dict:
             row = np.repeat(np.arange(n_rows), np.diff(bounds))
-            at, there = find(word_table["key"], names)
-            n = np.where(there, word_table["n"][at], 0) if len(word_table["key"]) else np.zeros(len(names), np.int64)
+            at, there = word_keys.find(names)
+            n = np.where(there, word_table["n"][at], 0) if word_keys.size else np.zeros(len(names), np.int64)
             # Each shard adds what its words have over an unknown word; the first adds the rest.
             gain = totals(row, np.log10((n + 0.5) / 0.5), n_rows)
             known = np.bincount(row, n > 0, n_rows).astype(np.int64)

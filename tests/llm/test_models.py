@@ -320,3 +320,46 @@ def test_texts_are_scored_in_one_reading(small_docs):
     """Prices and words are looked up together, and what one shard says is not added up."""
     plan = ppm.score_texts(small_docs)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "Aggregate" not in plan and "Union" not in plan
+
+
+def test_slots_find_what_is_there():
+    rng = np.random.default_rng(3)
+    every = np.unique(rng.integers(0, 2**63, 5000).astype(np.uint64) >> rng.integers(0, 60, 5000).astype(np.uint64))
+    odd = np.array([0, 2**64 - 1, pow(0x9E3779B97F4A7C15, -1, 2**64) * (2**64 - 1) % 2**64], np.uint64)
+    every = np.unique(np.append(every, odd))
+    for keys in every[::2], every[1::2], every[:1], every[:0], every:
+        slots, order = lookup.Slots.of(keys)
+        at, there = slots.find(every)
+        assert (there == np.isin(every, keys)).all()
+        assert (keys[order][at[there]] == every[there]).all()
+        assert not len(keys) or ((0 <= at) & (at < len(keys))).all()
+
+
+def test_windows_are_counted_and_looked_up_without_search_by_halves(small_docs, monkeypatch):
+    """The two steps that took the operator over its CPU seconds: an argsort for counting, and a
+    binary search for each byte of the texts."""
+    import pyarrow as pa
+
+    texts = small_docs.select("text").limit(40).toArrow().column("text").combine_chunks()
+    held = np.arange(len(texts)) % 5 == 1
+    batch = pa.RecordBatch.from_arrays([texts, pa.array(held)], names=["text", "held_out"])
+    plain, unique = Counter(), np.unique
+    for text, out in zip(texts.to_pylist(), held):
+        s = b"\n" * 5 + b"".join(b" " + w.encode() for w in words_of(text)) + b"\n"
+        for i in range(5, len(s)):
+            plain[int.from_bytes(s[i - 5:i + 1], "big")] += not out
+    monkeypatch.setattr(np, "unique", lambda x, return_counts: unique(x, return_counts=return_counts))
+    counted, *_ = ppm._count_rows(5)(iter([batch]))
+    assert dict(zip(counted.column("key").to_pylist(), counted.column("n").to_pylist())) == plain
+
+    class Table:
+        def slots(self):
+            slots, order = lookup.Slots.of(np.array(list(plain), np.uint64))
+            return slots, {"price": np.ones(len(plain))[order]}
+
+    monkeypatch.setattr(ppm, "find", None)
+    batch = batch.append_column("doc_id", pa.array(range(len(texts)))).append_column(
+        "text_key", pa.array([""] * len(texts)))
+    rows, *_ = ppm._score_rows(5, Table(), None, 0, 0, 0, False)(iter([batch]))
+    assert rows.column("score").to_pylist() == [1 + sum(len(w.encode()) + 1 for w in words_of(t))
+                                                for t in texts.to_pylist()]
