@@ -33,7 +33,7 @@ class StoredTable:
         files, folder = file_system(self.path)
         parts: dict[str, list[np.ndarray]] = {}
         # File by file, so that no more than the arrays are held.
-        for info in files.get_file_info(FileSelector(folder)):
+        for info in files.get_file_info(FileSelector(folder, allow_not_found=True)):
             if info.base_name.endswith(".parquet"):
                 with files.open_input_file(info.path) as source:
                     table = pq.ParquetFile(source).read(use_threads=False)

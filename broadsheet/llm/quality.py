@@ -3,12 +3,16 @@
 A trigram model of words is counted on trusted documents: trigrams by how often they occur,
 bigrams and words by how many different words they follow, each order with three discounts
 taken from its own counts of counts. Counts, continuation counts and discounted weights come
-from Spark joins and aggregates. The finished model is a table of logarithms: of the
-probability of every n-gram seen, and of the weight every context leaves to the shorter one.
-It is dealt into shards by the middle word, so that a shard has all it takes to price the
-trigrams around its words, but for single words: these are dealt by themselves, with the bigrams
-they end, as a word is priced alone where its bigram was never seen. A document's probability is
-the sum of what the shards say.
+from Spark joins and aggregates. Kept are the different trigrams, as three words and their
+counts, sorted so that Parquet stores them in some ten bytes each, and a table of words.
+
+The logarithm of a probability is a sum of what a word, a pair of words and a trigram say by
+themselves: a word what it has as a single word and leaves as a context, a pair what it has
+beyond that and leaves, a trigram what it has beyond its pairs. So all of it is dealt into
+shards by hash. Where a task cannot hold the model, the shards are made and used in a fixed
+number of rounds: each reads the texts once, sends their pairs and trigrams of the round to the
+shards, and adds up what these say. So no table grows with the input in a task, no pass
+over the texts is added as the model grows, and only a round's share is on disk at a time.
 
 A document is kept if its perplexity is not above the quantile, in its language, of trusted
 texts that were not trained on. Every second trusted text of a language is left out of the
@@ -19,17 +23,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from broadsheet.cluster import broadcast_if, is_small
-from broadsheet.llm.lookup import (
-    SHARD_ENTRIES, StoredTable, added_up, find, stored, text_key,
-)
-from broadsheet.llm.scratch import written
+from broadsheet.cluster import broadcast_if, delete_folder, is_small, new_folder
+from broadsheet.llm.lookup import SHARD_ENTRIES, Slots, StoredTable, text_key
+from broadsheet.llm.scratch import free_shuffles, written
 from broadsheet.llm.textarrays import mix, signed, text_slices, totals, word_spans
 from broadsheet.llm.words import pieces, span_hashes
 from broadsheet.operators.indexing import number_rows
@@ -38,46 +41,61 @@ QUANTILE = 0.995
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _START, _END = np.uint64(0x1234567), np.uint64(0x89ABCDE)
-_KINDS = ("p3", "left3", "p2", "left2", "p1", "ends")
-_NGRAM = "uvw long, uv long, v long, vw long, w long, n long"
+_KINDS = ("p1", "pairs", "trigrams")
+
+# What does not fit a shard is counted and looked up in so many rounds, each of at least as many shards.
+ROUNDS = 8
+STEPS = 4
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(mix(a * _A) ^ (b * _B))
 
 
-def _trigrams(data: np.ndarray, offsets: np.ndarray):
-    """``(row, u, v, w)``: every word and every end with the two words before it."""
+def _dealt(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` parts a pair of words belongs to; as ``_part`` has it."""
+    return signed(a ^ (b << np.uint64(1))) % n
+
+
+def _part(a: str, b: str, n: int) -> Column:
+    return F.pmod(F.col(a).bitwiseXOR(F.shiftleft(b, 1)), F.lit(n).cast("long"))
+
+
+def _stream(data: np.ndarray, offsets: np.ndarray):
+    """``(row, stream, first)``: every text as two starts, its words and an end, and the place of
+    the first start of each."""
     starts, ends, bounds = word_spans(data, offsets)
     names = span_hashes(pieces(data), starts, ends)
     n = len(offsets) - 1
     row = np.repeat(np.arange(n), np.diff(bounds))
     stream = np.full(len(names) + 3 * n, _START)
     stream[np.arange(len(names)) + 3 * row + 2] = names
-    last = bounds[1:] + 3 * np.arange(n) + 2
-    stream[last] = _END
-    whole = np.repeat(np.arange(n), np.diff(bounds) + 3)
-    first = bounds[:-1] + 3 * np.arange(n)
-    own = np.ones(len(stream), bool)
-    own[first] = own[first + 1] = False
-    at = np.flatnonzero(own)
-    return whole[at], stream[at - 2], stream[at - 1], stream[at]
-
-
-def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, _, data, offsets in text_slices(batch.column("text"), lower=True):
-            _, u, v, w = _trigrams(data, offsets)
-            uv, vw = _pair(u, v), _pair(v, w)
-            uvw, example, n = np.unique(_pair(uv, w), return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(x)) for x in (uvw, uv[example], v[example], vw[example], w[example])]
-                + [pa.array(n)], names=["uvw", "uv", "v", "vw", "w", "n"])
-
-
-def _discounts(table: DataFrame, count: str) -> list[float]:
+    stream[bounds[1:] + 3 * np.arange(n) + 2] = _END
+    return np.repeat(np.arange(n), np.diff(bounds) + 3), stream, bounds[:-1] + 3 * np.arange(n)
+
+
+def _count_rows(part: int, parts: int):
+    """The trigrams whose last two words belong to a part, and how often they are there."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, offsets in text_slices(batch.column("text"), lower=True):
+                _, stream, first = _stream(data, offsets)
+                own = np.ones(len(stream), bool)
+                own[first] = own[first + 1] = False
+                at = np.flatnonzero(own)
+                if parts > 1:
+                    at = at[_dealt(stream[at - 1], stream[at], parts) == part]
+                u, v, w = stream[at - 2], stream[at - 1], stream[at]
+                _, example, n = np.unique(_pair(_pair(u, v), w), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(x[example])) for x in (u, v, w)] + [pa.array(n)], names=["u", "v", "w", "n"])
+
+    return work
+
+
+def _discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
     """The three discounts of an order, from its numbers of n-grams counted 1 to 4 times."""
-    n = [0, *table.agg(*[F.count(F.when(F.col(count) == i, 1)) for i in (1, 2, 3, 4)]).first()]
+    n = [0, n1, n2, n3, n4]
     if not n[1] or not n[2]:
         return [0.5, 0.5, 0.5]
     y = n[1] / (n[1] + 2 * n[2])
@@ -85,142 +103,318 @@ def _discounts(table: DataFrame, count: str) -> list[float]:
     return [min(max(d, 0.1), i - 0.1) for i, d in zip((1, 2, 3), own)]
 
 
-def _contexts(table: DataFrame, context: str, count: str, discounts: list[float]) -> DataFrame:
-    """``(context, total, left)``: the counts after a context, and the weight it leaves."""
-    d1, d2, d3 = discounts
-    taken = F.when(F.col(count) == 1, d1).when(F.col(count) == 2, d2).otherwise(d3)
-    return table.groupBy(context).agg(
-        F.sum(count).alias("total"), (F.sum(taken) / F.sum(count)).alias("left"))
+def _counted(count: str, where: str = "true") -> list[Column]:
+    return [F.count(F.when((F.col(count) == i) & F.expr(where), 1)) for i in (1, 2, 3, 4)]
 
 
-def _own(count: str, discounts: list[float]) -> Column:
+def _taken(count: str, discounts: list[float]) -> Column:
     d1, d2, d3 = discounts
-    taken = F.when(F.col(count) == 1, d1).when(F.col(count) == 2, d2).otherwise(d3)
-    return (F.col(count) - taken) / F.col("total")
-
-
-def train(texts: DataFrame) -> tuple[DataFrame, float]:
-    """``(kind, key, v, value, w)``, the logarithms of the model of ``texts(text)``, and that of
-    the probability of an unknown word. ``v`` is the middle word, or the single word itself; ``w``
-    is the last word of a bigram, else null."""
-    tri = written(texts.mapInArrow(_count_rows, _NGRAM).groupBy("uvw", "uv", "v", "vw", "w").agg(
-        F.sum("n").alias("n")), "trigrams")
-    bi = written(tri.groupBy("vw", "v", "w").agg(F.count("*").alias("k")), "bigrams")
-    uni = written(bi.groupBy("w").agg(F.count("*").alias("k")), "words")
-    d3, d2, d1 = _discounts(tri, "n"), _discounts(bi, "k"), _discounts(uni, "k")
-    total, kinds, left = uni.agg(
-        F.sum("k"), F.count("*"),
-        F.sum(F.when(F.col("k") == 1, d1[0]).when(F.col("k") == 2, d1[1]).otherwise(d1[2]))).first()
-    if not kinds:
-        empty = tri.select(F.lit(0).alias("kind"), F.col("uvw").alias("key"), "v", F.lit(0.0).alias("value"), "w")
-        return empty, math.log10(1.0)
-    unknown = left / total / (kinds + 1)
-    uni = uni.withColumn("total", F.lit(total)).select("w", (_own("k", d1) + unknown).alias("p1"))
-    after2 = _contexts(bi, "v", "k", d2)
-    bi = written(bi.join(after2, "v").join(uni, "w").select(
-        "vw", "v", (_own("k", d2) + F.col("left") * F.col("p1")).alias("p2"), "w"), "p2")
-    after3 = _contexts(tri, "uv", "n", d3)
-    tri = tri.join(after3, "uv").join(bi.select("vw", "p2"), "vw")
-    parts = [
-        tri.select("uvw", "v", (_own("n", d3) + F.col("left") * F.col("p2")).alias("p")),
-        tri.select("uv", "v", "left").distinct(), bi.select("vw", "v", "p2", "w"),
-        after2.select("v", F.col("v").alias("middle"), "left"),
-        uni.select("w", F.col("w").alias("word"), "p1"),
-    ]
-    every = None
-    for kind, part in enumerate(parts):
-        last = F.col("w") if _KINDS[kind] == "p2" else F.lit(None).cast("long").alias("w")
-        part = part.toDF("key", "v", "p", *part.columns[3:]).select(
-            F.lit(kind).alias("kind"), "key", "v", F.log10("p").alias("value"), last)
-        every = part if every is None else every.union(part)
-    return written(every, "model"), math.log10(unknown)
-
-
-class _Model(StoredTable):
-    """Per kind the keys, sorted, and their logarithms."""
+    return F.when(F.col(count) == 1, d1).when(F.col(count) == 2, d2).otherwise(d3)
+
+
+@dataclass(frozen=True)
+class Model:
+    """``grams(u, v, w, n, k, first)``: the different trigrams, how often they occur, how many
+    different words stand before their last two, and whether they are the first with these;
+    ``words(word, total, left, p1)``: the numbers after a word, the weight it leaves and its own
+    probability; the discounts of trigrams and bigrams; and how many entries it has."""
+
+    grams: DataFrame
+    words: DataFrame
+    d3: list[float]
+    d2: list[float]
+    entries: int
+
+
+def train(texts: DataFrame) -> tuple[Model, float]:
+    """The model of ``texts(text)``, and the logarithm of the probability of an unknown word."""
+    spark = texts.sparkSession
+    texts = written(texts, "texts")
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = 1 if size <= 5 * SHARD_ENTRIES else ROUNDS
+    folder, schema = new_folder(spark, "trigrams"), "u long, v long, w long, n long, k long, first boolean"
+    alike = Window.partitionBy("v", "w")
+    for part in range(parts):
+        counted = texts.mapInArrow(_count_rows(part, parts), "u long, v long, w long, n long").repartition("v", "w")
+        counted.groupBy("u", "v", "w").agg(F.sum("n").alias("n")).select(
+            "u", "v", "w", "n", F.count("*").over(alike).alias("k"),
+            (F.col("u") == F.min("u").over(alike)).alias("first")).write.mode("append").parquet(folder)
+        free_shuffles(spark)
+    _delete(texts)
+    grams = spark.read.schema(schema).parquet(folder)
+    *counts, trigrams, bigrams = grams.agg(
+        *_counted("n"), *_counted("k", "first"), F.count("*"), F.count(F.when(F.col("first"), 1))).first()
+    d3, d2 = _discounts(*counts[:4]), _discounts(*counts[4:])
+    after = written(grams.groupBy("v").agg(F.count("*").alias("total"), (
+        F.sum(F.when(F.col("first"), _taken("k", d2))) / F.count("*")).alias("left")), "after")
+    uni = written(grams.where("first").groupBy("w").agg(F.count("*").alias("k1")), "words")
+    free_shuffles(spark)
+    d1 = _discounts(*uni.agg(*_counted("k1")).first())
+    total, kinds, left = uni.agg(F.sum("k1"), F.count("*"), F.sum(_taken("k1", d1))).first()
+    unknown = left / total / (kinds + 1) if kinds else 1.0
+    p1 = (F.col("k1") - _taken("k1", d1)) / F.lit(total).cast("long") + F.lit(unknown)
+    words = written(uni.join(after, F.col("w") == F.col("v"), "full").select(
+        F.coalesce("w", "v").alias("word"), "total", "left", p1.alias("p1")), "words")
+    _delete(after), _delete(uni)
+    return Model(grams, words, d3, d2, trigrams + 2 * bigrams + kinds), math.log10(unknown)
+
+
+def _delete(table: DataFrame) -> None:
+    """Delete the folder of a table made by ``written``, also one without files."""
+    for file in table.inputFiles()[:1]:
+        delete_folder(table.sparkSession, file.rsplit("/", 1)[0])
+
+
+class _Shard(StoredTable):
+    """Per kind the keys, sorted, and what they say."""
+
+    def __init__(self, paths: list[str]):
+        self.paths = paths
 
     @property
     def value(self) -> dict:
-        rows = self.columns()
-        kind, keys, values = rows.pop("kind"), rows.pop("key").view(np.uint64), rows.pop("value")
+        every = [StoredTable(path).columns() for path in self.paths]
+        rows = {name: np.concatenate([x[name] for x in every if x] or [np.zeros(0, kind)])
+                for name, kind in (("kind", np.int8), ("key", np.int64), ("value", np.float64))}
+        kind, keys, values = rows["kind"], rows["key"].view(np.uint64), rows["value"]
         tables = {}
         for code, name in enumerate(_KINDS):
-            own = np.flatnonzero(kind == code).astype(np.int32)
+            own = np.flatnonzero(kind == code)
             own = own[np.argsort(keys[own])]
             tables[name] = keys[own], values[own]
         return tables
 
+    def lookups(self, *kinds: str) -> dict:
+        """For each kind a function of keys: what they say, or what is said otherwise."""
+        return {kind: _looked_up(*table) for kind, table in self.value.items() if kind in kinds}
+
+
+def _looked_up(keys: np.ndarray, values: np.ndarray):
+    slots, order = Slots.of(keys)
+    values = np.append(values[order], 0.0)
+
+    def look(wanted: np.ndarray, otherwise: float = 0.0) -> np.ndarray:
+        at, there = slots.find(wanted)
+        return np.where(there, values[at], otherwise)
+
+    return look
+
+
+def _shard_rows(d3: list[float]):
+    """What pairs and trigrams say. ``p`` is what a pair says (``n`` = 0) or the probability of
+    the last word of a trigram after its middle word."""
+    def work(table: pa.Table) -> pa.Table:
+        u, v, w, n, p = (table.column(x).to_numpy() for x in ("u", "v", "w", "n", "p"))
+        pair = _pair(u.view(np.uint64), v.view(np.uint64))
+        tri = n > 0
+        taken = np.array([0.0, *d3])[np.minimum(n[tri], 3)]
+        context, at = np.unique(pair[tri], return_inverse=True)
+        total = np.bincount(at, n[tri], len(context))
+        left = np.bincount(at, taken, len(context)) / total
+        p2 = p[tri]
+        price = np.log10((n[tri] - taken) / total[at] + left[at] * p2) - np.log10(left[at]) - np.log10(p2)
+        pairs, at = np.unique(np.append(context, pair[~tri]), return_inverse=True)
+        said = np.bincount(at, np.append(np.log10(left), p[~tri]), len(pairs))
+        keys = np.append(pairs, _pair(pair[tri], w.view(np.uint64)[tri]))
+        kind = np.repeat(np.array([1, 2], np.int8), [len(pairs), len(price)])
+        shard = np.full(len(keys), table.column("shard")[0].as_py(), np.int32)
+        return pa.table({"shard": shard, "kind": kind, "key": signed(keys), "value": np.append(said, price)})
 
-def _shards(model: DataFrame) -> Iterator[tuple[int, int, _Model]]:
-    """``(shard, shards, tables)``, written: tasks read them, and the driver none of them. Where
-    there are several, a shard also has the bigrams that its words end, without their values."""
-    n = max(1, math.ceil(model.count() / SHARD_ENTRIES))
-    if n > 1:
-        bigrams = model.where(F.col("kind") == _KINDS.index("p2"))
-        ends = bigrams.select(F.lit(_KINDS.index("ends")).alias("kind"), "key", F.col("w").alias("v"),
-                              F.lit(0.0).alias("value"), "w")
-        n = math.ceil((model.count() + bigrams.count()) / SHARD_ENTRIES)
-        model = model.union(ends)
-    for i in range(n):
-        rows = model if n == 1 else model.where(F.pmod("v", F.lit(n)) == i)
-        yield i, n, _Model(stored(rows.select(F.col("kind").cast("tinyint"), "key", "value"), "model"))
-
+    return work
 
-def _score_rows(shard: int, n_shards: int, shared: _Model, unknown: float):
-    def looked_up(table, keys, otherwise):
-        at, there = find(table[0], keys)
-        return (np.where(there, table[1][at], otherwise) if len(table[0]) else
-                np.full(len(keys), otherwise)), there
 
+def _shards(model: Model) -> Iterator[tuple[int, int, _Shard]]:
+    """``(shard, shards, tables)``, written round by round: tasks read them, and the driver none of
+    them. Words, pairs and trigrams are in one shard each."""
+    spark = model.grams.sparkSession
+    rounds = 1 if model.entries <= SHARD_ENTRIES else ROUNDS
+    # Shards of a sixteenth of the bound at first, of a quarter at most, as a task that makes one
+    # has all its columns at once.
+    n = ROUNDS * max(ROUNDS, math.ceil(model.entries / (ROUNDS * max(1, SHARD_ENTRIES // 4))))
+    after = model.words.select(F.col("word").alias("v"), "total", "left")
+    own = model.words.where("p1 is not null").select(F.col("word").alias("w"), "p1")
+    small = is_small(model.words)
+    # Where joins shuffle, a round's shards are made a part at a time.
+    steps = 1 if small else STEPS
+    names = ["shard", "u", "v", "w", "n", "k", "pair"]
+    for turn in range(rounds):
+        # The bigrams, and the trigrams with what they need of theirs.
+        trigrams = model.grams.select(_part("u", "v", n), "u", "v", "w", "n", "k", F.lit(False)).toDF(*names)
+        pairs = model.grams.where("first").select(_part("v", "w", n), F.lit(0).cast("long"), "v", "w",
+                                                  F.lit(0).cast("long"), "k", F.lit(True)).toDF(*names)
+        p2 = (F.col("k") - _taken("k", model.d2)) / F.col("total") + F.col("left") * F.col("p1")
+        said = F.log10(p2) - F.log10("left") - F.log10("p1")
+        rows = trigrams.union(pairs).where(F.col("shard") % rounds == turn)
+        rows = rows.join(broadcast_if(after, small), "v").join(broadcast_if(own, small), "w").select(
+            F.col("shard").cast("int").alias("shard"), F.when(F.col("pair"), F.col("v")).otherwise(F.col("u")).alias("u"),
+            F.when(F.col("pair"), F.col("w")).otherwise(F.col("v")).alias("v"), "w", "n",
+            F.when(F.col("pair"), said).otherwise(p2).alias("p"))
+        schema = "shard int, kind tinyint, key long, value double"
+        words = model.words.select(F.pmod("word", F.lit(n)).cast("int").alias("shard"), F.lit(0).cast("tinyint").alias("kind"),
+                                   F.col("word").alias("key"), (F.coalesce(F.log10("left"), F.lit(0.0)) + F.coalesce(
+                                       F.log10("p1"), F.lit(0.0))).alias("value"))
+        folder = new_folder(spark, "model")
+        for step in range(steps):
+            some = rows.where(F.floor(F.col("shard") / rounds) % steps == step)
+            some.groupBy("shard").applyInArrow(_shard_rows(model.d3), schema).write.mode("append").partitionBy(
+                "shard").parquet(f"{folder}/grams")
+            free_shuffles(spark)
+        words.where(F.col("shard") % rounds == turn).write.partitionBy("shard").parquet(f"{folder}/words")
+        paths = {shard: [f"{folder}/{part}/shard={shard}" for part in ("words", "grams")] for shard in range(turn, n, rounds)}
+        if rounds == 1:
+            yield 0, 1, _Shard([path for own_paths in paths.values() for path in own_paths])
+        else:
+            for shard in paths:
+                yield shard, n, _Shard(paths[shard])
+
+
+def _score_rows(shared: _Shard, unknown: float):
+    """Tokens and logarithms of whole texts, where a task can hold the model."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = shared.lookups(*_KINDS)
         for batch in batches:
-            for first, end, data, offsets in text_slices(batch.column("text"), lower=True):
-                row, u, v, w = _trigrams(data, offsets)
-                tokens = np.bincount(row, minlength=end - first)
-                price1 = np.zeros(end - first)
-                if n_shards > 1:
-                    own = np.flatnonzero(signed(w) % n_shards == shard)
-                    own = own[~find(model["ends"][0], _pair(v[own], w[own]))[1]]
-                    price1 = totals(row[own], looked_up(model["p1"], w[own], unknown)[0], end - first)
-                    own = signed(v) % n_shards == shard
-                    row, u, v, w = row[own], u[own], v[own], w[own]
-                uv = _pair(u, v)
-                price, seen = looked_up(model["p3"], _pair(uv, w), 0.0)
-                rest = np.flatnonzero(~seen)
-                price[rest] = looked_up(model["left3"], uv[rest], 0.0)[0]
-                p2, seen = looked_up(model["p2"], _pair(v[rest], w[rest]), 0.0)
-                price[rest] += p2
-                rest = rest[~seen]
-                price[rest] += looked_up(model["left2"], v[rest], 0.0)[0]
-                if n_shards == 1:
-                    price[rest] += looked_up(model["p1"], w[rest], unknown)[0]
+            for start, end, data, offsets in text_slices(batch.column("text"), lower=True):
+                row, stream, first = _stream(data, offsets)
+                n = end - start
+                word, pair, after = _places(row, first)
+                keys = _pair(stream[pair], stream[pair + 1])
+                tri = np.flatnonzero(after)
+                price = totals(row[word], model["p1"](stream[word], unknown), n)
+                price += totals(row[pair], model["pairs"](keys), n)
+                price += totals(row[pair[tri]], model["trigrams"](_pair(keys[tri], stream[pair[tri] + 2])), n)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(first, end - first),
-                    batch.column("lang").slice(first, end - first),
-                    batch.column("text_key").slice(first, end - first),
-                    pa.array(tokens * (shard == 0)), pa.array(totals(row, price, end - first) + price1),
+                    *[batch.column(name).slice(start, n) for name in ("doc_id", "lang", "text_key")],
+                    pa.array(np.bincount(row, minlength=n) - 2), pa.array(price),
                 ], names=["doc_id", "lang", "text_key", "n_tokens", "log10_prob"])
 
     return work
 
 
-def perplexities(docs: DataFrame, model: DataFrame, unknown: float) -> DataFrame:
+def _places(row: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in a stream: of words, with one start and the end; of pairs; and whether a word
+    comes after the pair."""
+    own = np.ones(len(row), bool)
+    own[first] = False
+    pair = np.flatnonzero(own) - 1
+    after = np.ones(len(pair), bool)
+    # One place of each row is left out, so its last pair is so many before the next row.
+    after[np.append(first[1:], len(row)) - 1 - np.arange(1, len(first) + 1)] = False
+    return pair + 1, pair, after
+
+
+_SENT = "shard int, ids binary, counts binary, keys binary, trigrams binary, prices binary, tokens binary"
+
+
+def _sent_rows(turn: int, rounds: int, n_shards: int, shards: list[_Shard], unknown: float):
+    """What words say, and the pairs and trigrams of a round, one row for each slice and shard:
+    the texts, how many pairs each has there, and the pairs, each with the trigram after it."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        said = _Shard([shard.paths[0] for shard in shards]).lookups("p1")["p1"]
+        for batch in batches:
+            ids = batch.column("text_id").to_numpy()
+            for start, end, data, offsets in text_slices(batch.column("text"), lower=True):
+                row, stream, first = _stream(data, offsets)
+                n, own = end - start, ids[start:end]
+                word, pair, after = _places(row, first)
+                word = word[signed(stream[word]) % n_shards % rounds == turn]
+                price = totals(row[word], said(stream[word], unknown), n)
+                tokens = (np.bincount(row, minlength=n) - 2) * (turn == 0)
+                part = _dealt(stream[pair], stream[pair + 1], n_shards)
+                some = np.flatnonzero(part % rounds == turn)
+                some = some[np.argsort(part[some], kind="stable")]
+                part, pair, after = part[some], pair[some], after[some]
+                keys = _pair(stream[pair], stream[pair + 1])
+                # The last pair of a text has itself for a trigram, which is none.
+                trigrams = keys.copy()
+                tri = np.flatnonzero(after)
+                trigrams[tri] = _pair(keys[tri], stream[pair[tri] + 2])
+                bounds = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+                none = [b""] * (len(bounds) - 1)
+                out = {name: [*none] for name in ("ids", "counts", "keys", "trigrams")}
+                for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
+                    texts, counts = np.unique(row[pair[a:b]], return_counts=True)
+                    out["ids"][i], out["counts"][i] = own[texts].tobytes(), counts.astype(np.int32).tobytes()
+                    out["keys"][i], out["trigrams"][i] = keys[a:b].tobytes(), trigrams[a:b].tobytes()
+                where = np.append(part[bounds[:-1]], turn + rounds * (int(own[0]) % (n_shards // rounds)))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(where.astype(np.int32)), pa.array([*out["ids"], own.tobytes()]),
+                    pa.array([*out["counts"], b""]), pa.array([*out["keys"], b""]), pa.array([*out["trigrams"], b""]),
+                    pa.array([*none, price.tobytes()]), pa.array([*none, tokens.astype(np.int64).tobytes()]),
+                ], names=["shard", "ids", "counts", "keys", "trigrams", "prices", "tokens"])
+
+    return work
+
+
+def _answered(turn: int, shards: dict[int, _Shard]):
+    """What the shards say on what was sent to them, added up by text."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, model = None, {}
+        for batch in batches:
+            for i, shard in enumerate(batch.column("shard").to_pylist()):
+                ids, counts, keys, trigrams, prices, tokens = (
+                    np.frombuffer(batch.column(name)[i].as_buffer(), kind) for name, kind in (
+                        ("ids", np.int64), ("counts", np.int32), ("keys", np.uint64),
+                        ("trigrams", np.uint64), ("prices", np.float64), ("tokens", np.int64)))
+                if len(keys):
+                    if held != shard:
+                        model, held = {}, shard
+                        model = shards[shard].lookups("pairs", "trigrams")
+                    prices = totals(np.repeat(np.arange(len(ids)), counts),
+                                    model["pairs"](keys) + model["trigrams"](trigrams), len(ids))
+                    tokens = np.zeros(len(ids), np.int64)
+                rows = np.full(len(ids), int(turn == 0 and not len(keys)), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, rows, tokens, prices)],
+                                                 names=["text_id", "rows", "tokens", "price"])
+
+    return work
+
+
+def perplexities(docs: DataFrame, model: Model, unknown: float) -> DataFrame:
     """``(doc_id, lang, n_tokens, log10_prob, perplexity)`` of whole texts."""
     return _scores(docs, model, unknown).drop("text_key")
 
 
-def _scores(docs: DataFrame, model: DataFrame, unknown: float) -> DataFrame:
+def _scores(docs: DataFrame, model: Model, unknown: float) -> DataFrame:
     """``perplexities`` with the ``text_key`` of each row."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
                         text_key(), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, lang string, text_key string, n_tokens long, log10_prob double"
-    parts = [texts.mapInArrow(_score_rows(i, n, shard, unknown), schema) for i, n, shard in _shards(model)]
-    every = parts[0] if len(parts) == 1 else added_up(parts, ["doc_id", "lang", "text_key"])
+    rounds: dict[int, dict[int, _Shard]] = {}
+    parts, text_id = [], F.conv(F.substring("text_key", 1, 15), 16, 10).cast("long").alias("text_id")
+    for i, n, shard in _shards(model):
+        if n == 1:
+            every = texts.mapInArrow(_score_rows(shard, unknown), (
+                "doc_id long, lang string, text_key string, n_tokens long, log10_prob double"))
+            break
+        turn = rounds.setdefault(i % ROUNDS, {})
+        turn[i] = shard
+        if len(turn) == n // ROUNDS:
+            parts.append(_round(texts.select(text_id, "text"), i % ROUNDS, n, turn, unknown))
+    else:
+        sums = parts[0]
+        for part in parts[1:]:
+            sums = sums.union(part)
+        # Copies of a text have each been counted, and say the same.
+        sums = sums.groupBy("text_id").agg(*[F.sum(x).alias(x) for x in ("rows", "tokens", "price")])
+        every = texts.select("doc_id", "lang", "text_key", text_id).join(sums, "text_id").select(
+            "doc_id", "lang", "text_key", F.expr("tokens div rows").alias("n_tokens"),
+            (F.col("price") / F.col("rows")).alias("log10_prob"))
     return every.withColumn("perplexity", F.pow(
         F.lit(10.0), F.least(-F.col("log10_prob") / F.greatest("n_tokens", F.lit(1)), F.lit(300.0))))
 
 
+def _round(texts: DataFrame, turn: int, n_shards: int, shards: dict[int, _Shard], unknown: float) -> DataFrame:
+    """``(text_id, rows, tokens, price)``: what the shards of a round say of each text; written, and
+    the shards deleted."""
+    sent = texts.mapInArrow(_sent_rows(turn, ROUNDS, n_shards, list(shards.values()), unknown), _SENT)
+    said = sent.repartition("shard").sortWithinPartitions("shard").mapInArrow(
+        _answered(turn, shards), "text_id long, rows long, tokens long, price double")
+    out = written(said.groupBy("text_id").agg(*[F.sum(x).alias(x) for x in ("rows", "tokens", "price")]), "scores")
+    for folder in {path.rsplit("/", 2)[0] for shard in shards.values() for path in shard.paths}:
+        delete_folder(texts.sparkSession, folder)
+    free_shuffles(texts.sparkSession)
+    return out
+
+
 def _train_keys(docs: DataFrame, trusted: DataFrame, train_rows: int | None) -> DataFrame:
     """``text_key`` of the trusted texts to train on. The different texts of each language,
     in the order of their keys, are dealt out in turn: to the training, and to the

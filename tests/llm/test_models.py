@@ -363,3 +363,24 @@ def test_windows_are_counted_and_looked_up_without_search_by_halves(small_docs,
     rows, *_ = ppm._score_rows(5, Table(), None, 0, 0, 0, False)(iter([batch]))
     assert rows.column("score").to_pylist() == [1 + sum(len(w.encode()) + 1 for w in words_of(t))
                                                 for t in texts.to_pylist()]
+
+
+def test_the_model_is_made_and_used_in_rounds(spark, small_docs, monkeypatch):
+    """Whatever its size, in as many readings of the texts; joins of words may shuffle; a round's
+    shards are gone after it, and no task makes all of a model that one can hold."""
+    train, some = small_docs.where("doc_id < 6").select("text"), small_docs.where("doc_id between 4 and 9")
+    whole, unknown = quality.train(train)
+    assert len(next(quality._shards(whole))[2].paths) >= 2 * quality.ROUNDS
+    expected = {r["doc_id"]: r["log10_prob"] for r in quality.perplexities(some, whole, unknown).collect()}
+    monkeypatch.setattr(quality, "SHARD_ENTRIES", 2000)
+    monkeypatch.setattr(quality, "ROUNDS", 2)
+    monkeypatch.setattr(quality, "STEPS", 2)
+    monkeypatch.setattr(quality, "is_small", lambda table: False)
+    turns, turn = [], quality._round
+    monkeypatch.setattr(quality, "_round", lambda texts, i, n, shards, unknown: (
+        turns.append((i, shards)), turn(texts, i, n, shards, unknown))[1])
+    model, unknown = quality.train(train)
+    got = {r["doc_id"]: r["log10_prob"] for r in quality.perplexities(some, model, unknown).collect()}
+    assert got == pytest.approx(expected, rel=1e-9)
+    assert [i for i, _ in turns] == [0, 1] and min(len(shards) for _, shards in turns) > 2
+    assert not any(len(shard.value["trigrams"][0]) for _, shards in turns for shard in shards.values())
