@@ -44,7 +44,7 @@ _START, _END = np.uint64(0x1234567), np.uint64(0x89ABCDE)
 _KINDS = ("p1", "pairs", "trigrams")
 
 # What does not fit a shard is counted and looked up in so many rounds, each of at least as many shards.
-ROUNDS = 8
+ROUNDS = 9
 STEPS = 4
 
 
