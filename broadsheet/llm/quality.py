@@ -13,6 +13,8 @@ shards by hash. Where a task cannot hold the model, the shards are made and used
 number of rounds: each reads the texts once, sends their pairs and trigrams of the round to the
 shards, and adds up what these say. So no table grows with the input in a task, no pass
 over the texts is added as the model grows, and only a round's share is on disk at a time.
+Nor does a table of words pass through the driver: trigrams meet what is known of their middle
+word when they have been counted, and of their last word in their round, by joins that shuffle.
 
 A document is kept if its perplexity is not above the quantile, in its language, of trusted
 texts that were not trained on. Every second trusted text of a language is left out of the
@@ -45,7 +47,8 @@ _KINDS = ("p1", "pairs", "trigrams")
 
 # What does not fit a shard is counted and looked up in so many rounds, each of at least as many shards.
 ROUNDS = 9
-STEPS = 4
+# A round's shards may be made in steps: less is shuffled at a time, and the trigrams are read in each.
+STEPS = 1
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -54,7 +57,12 @@ def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _dealt(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     """Which of ``n`` parts a pair of words belongs to; as ``_part`` has it."""
-    return signed(a ^ (b << np.uint64(1))) % n
+    return _rest(signed(a ^ (b << np.uint64(1))), n)
+
+
+def _rest(x: np.ndarray, n: int) -> np.ndarray:
+    """``x % n``, several times faster."""
+    return x - x // n * n
 
 
 def _part(a: str, b: str, n: int) -> Column:
@@ -114,10 +122,11 @@ def _taken(count: str, discounts: list[float]) -> Column:
 
 @dataclass(frozen=True)
 class Model:
-    """``grams(u, v, w, n, k, first)``: the different trigrams, how often they occur, how many
-    different words stand before their last two, and whether they are the first with these;
-    ``words(word, total, left, p1)``: the numbers after a word, the weight it leaves and its own
-    probability; the discounts of trigrams and bigrams; and how many entries it has."""
+    """``grams(u, v, w, n, k, first, total, left, turn)``: the different trigrams, how often they
+    occur, how many different words stand before their last two, whether they are the first with
+    these, the numbers after their middle word and the weight it leaves, and their round;
+    ``words(word, left, p1)``: the weight a word leaves and its own probability; the discounts of
+    trigrams and bigrams; and how many entries it has."""
 
     grams: DataFrame
     words: DataFrame
@@ -138,10 +147,10 @@ def train(texts: DataFrame) -> tuple[Model, float]:
         counted = texts.mapInArrow(_count_rows(part, parts), "u long, v long, w long, n long").repartition("v", "w")
         counted.groupBy("u", "v", "w").agg(F.sum("n").alias("n")).select(
             "u", "v", "w", "n", F.count("*").over(alike).alias("k"),
-            (F.col("u") == F.min("u").over(alike)).alias("first")).write.mode("append").parquet(folder)
+            (F.col("u") == F.min("u").over(alike)).alias("first")).write.parquet(f"{folder}/part={part}")
         free_shuffles(spark)
     _delete(texts)
-    grams = spark.read.schema(schema).parquet(folder)
+    grams = spark.read.schema(f"{schema}, part int").parquet(folder)
     *counts, trigrams, bigrams = grams.agg(
         *_counted("n"), *_counted("k", "first"), F.count("*"), F.count(F.when(F.col("first"), 1))).first()
     d3, d2 = _discounts(*counts[:4]), _discounts(*counts[4:])
@@ -154,8 +163,19 @@ def train(texts: DataFrame) -> tuple[Model, float]:
     unknown = left / total / (kinds + 1) if kinds else 1.0
     p1 = (F.col("k1") - _taken("k1", d1)) / F.lit(total).cast("long") + F.lit(unknown)
     words = written(uni.join(after, F.col("w") == F.col("v"), "full").select(
-        F.coalesce("w", "v").alias("word"), "total", "left", p1.alias("p1")), "words")
-    _delete(after), _delete(uni)
+        F.coalesce("w", "v").alias("word"), "left", p1.alias("p1")), "words")
+    _delete(uni)
+    known = new_folder(spark, "grams")
+    for part in range(parts):
+        # In this order a round's trigrams are together, and equal contexts take little room.
+        grams.where(F.col("part") == part).drop("part").join(after, "v").select(
+            *[f.split()[0] for f in schema.split(", ")], "total", "left",
+            _part("u", "v", ROUNDS).cast("int").alias("turn")).sortWithinPartitions("turn", "v", "u").write.mode(
+            "append").parquet(known)
+        delete_folder(spark, f"{folder}/part={part}")
+        free_shuffles(spark)
+    _delete(after)
+    grams = spark.read.schema(f"{schema}, total long, left double, turn int").parquet(known)
     return Model(grams, words, d3, d2, trigrams + 2 * bigrams + kinds), math.log10(unknown)
 
 
@@ -173,20 +193,23 @@ class _Shard(StoredTable):
 
     @property
     def value(self) -> dict:
+        tables = {}
+        for name, (keys, values) in self._tables(_KINDS).items():
+            order = np.argsort(keys)
+            tables[name] = keys[order], values[order]
+        return tables
+
+    def _tables(self, kinds: tuple[str, ...]) -> dict:
         every = [StoredTable(path).columns() for path in self.paths]
         rows = {name: np.concatenate([x[name] for x in every if x] or [np.zeros(0, kind)])
                 for name, kind in (("kind", np.int8), ("key", np.int64), ("value", np.float64))}
-        kind, keys, values = rows["kind"], rows["key"].view(np.uint64), rows["value"]
-        tables = {}
-        for code, name in enumerate(_KINDS):
-            own = np.flatnonzero(kind == code)
-            own = own[np.argsort(keys[own])]
-            tables[name] = keys[own], values[own]
-        return tables
+        del every
+        own = {name: rows["kind"] == _KINDS.index(name) for name in kinds}
+        return {name: (rows["key"][at].view(np.uint64), rows["value"][at]) for name, at in own.items()}
 
     def lookups(self, *kinds: str) -> dict:
         """For each kind a function of keys: what they say, or what is said otherwise."""
-        return {kind: _looked_up(*table) for kind, table in self.value.items() if kind in kinds}
+        return {kind: _looked_up(*table) for kind, table in self._tables(kinds).items()}
 
 
 def _looked_up(keys: np.ndarray, values: np.ndarray):
@@ -231,31 +254,26 @@ def _shards(model: Model) -> Iterator[tuple[int, int, _Shard]]:
     # Shards of a sixteenth of the bound at first, of a quarter at most, as a task that makes one
     # has all its columns at once.
     n = ROUNDS * max(ROUNDS, math.ceil(model.entries / (ROUNDS * max(1, SHARD_ENTRIES // 4))))
-    after = model.words.select(F.col("word").alias("v"), "total", "left")
     own = model.words.where("p1 is not null").select(F.col("word").alias("w"), "p1")
-    small = is_small(model.words)
-    # Where joins shuffle, a round's shards are made a part at a time.
-    steps = 1 if small else STEPS
-    names = ["shard", "u", "v", "w", "n", "k", "pair"]
+    above = ((F.col("k") - _taken("k", model.d2)) / F.col("total")).alias("above")
     for turn in range(rounds):
-        # The bigrams, and the trigrams with what they need of theirs.
-        trigrams = model.grams.select(_part("u", "v", n), "u", "v", "w", "n", "k", F.lit(False)).toDF(*names)
-        pairs = model.grams.where("first").select(_part("v", "w", n), F.lit(0).cast("long"), "v", "w",
-                                                  F.lit(0).cast("long"), "k", F.lit(True)).toDF(*names)
-        p2 = (F.col("k") - _taken("k", model.d2)) / F.col("total") + F.col("left") * F.col("p1")
+        # The trigrams, and the bigrams with no number and their last word twice.
+        trigrams = model.grams.where(F.col("turn") == turn) if rounds > 1 else model.grams
+        pairs = model.grams.where("first").where(_part("v", "w", rounds) == turn)
+        rows = trigrams.select("u", "v", "w", "n", above, "left").union(pairs.select(
+            "v", "w", "w", F.lit(0).cast("long"), above, "left"))
+        p2 = F.col("above") + F.col("left") * F.col("p1")
         said = F.log10(p2) - F.log10("left") - F.log10("p1")
-        rows = trigrams.union(pairs).where(F.col("shard") % rounds == turn)
-        rows = rows.join(broadcast_if(after, small), "v").join(broadcast_if(own, small), "w").select(
-            F.col("shard").cast("int").alias("shard"), F.when(F.col("pair"), F.col("v")).otherwise(F.col("u")).alias("u"),
-            F.when(F.col("pair"), F.col("w")).otherwise(F.col("v")).alias("v"), "w", "n",
-            F.when(F.col("pair"), said).otherwise(p2).alias("p"))
+        step_of = F.floor(_part("u", "v", n) / rounds) % STEPS
         schema = "shard int, kind tinyint, key long, value double"
         words = model.words.select(F.pmod("word", F.lit(n)).cast("int").alias("shard"), F.lit(0).cast("tinyint").alias("kind"),
                                    F.col("word").alias("key"), (F.coalesce(F.log10("left"), F.lit(0.0)) + F.coalesce(
                                        F.log10("p1"), F.lit(0.0))).alias("value"))
         folder = new_folder(spark, "model")
-        for step in range(steps):
-            some = rows.where(F.floor(F.col("shard") / rounds) % steps == step)
+        for step in range(STEPS):
+            some = (rows.where(step_of == step) if STEPS > 1 else rows).join(own, "w").select(
+                _part("u", "v", n).cast("int").alias("shard"), "u", "v", "w", "n",
+                F.when(F.col("n") == 0, said).otherwise(p2).alias("p"))
             some.groupBy("shard").applyInArrow(_shard_rows(model.d3), schema).write.mode("append").partitionBy(
                 "shard").parquet(f"{folder}/grams")
             free_shuffles(spark)
@@ -315,14 +333,22 @@ def _sent_rows(turn: int, rounds: int, n_shards: int, shards: list[_Shard], unkn
             for start, end, data, offsets in text_slices(batch.column("text"), lower=True):
                 row, stream, first = _stream(data, offsets)
                 n, own = end - start, ids[start:end]
-                word, pair, after = _places(row, first)
-                word = word[signed(stream[word]) % n_shards % rounds == turn]
+                # The rounds divide the shards, so a hash has its round without its shard.
+                some = _rest(signed(stream), rounds) == turn
+                some[first] = False
+                word = np.flatnonzero(some)
                 price = totals(row[word], said(stream[word], unknown), n)
-                tokens = (np.bincount(row, minlength=n) - 2) * (turn == 0)
+                tokens = np.bincount(row, minlength=n) - 2 if turn == 0 else np.zeros(n, np.int64)
+                next_first = np.append(first[1:], len(stream))
+                some = np.append(_dealt(stream[:-1], stream[1:], rounds) == turn, False)
+                some[next_first - 1] = False
+                pair = np.flatnonzero(some)
+                some[:] = True
+                some[next_first - 2] = False
                 part = _dealt(stream[pair], stream[pair + 1], n_shards)
-                some = np.flatnonzero(part % rounds == turn)
-                some = some[np.argsort(part[some], kind="stable")]
-                part, pair, after = part[some], pair[some], after[some]
+                order = np.argsort(part, kind="stable")
+                part, pair = part[order], pair[order]
+                after = some[pair]
                 keys = _pair(stream[pair], stream[pair + 1])
                 # The last pair of a text has itself for a trigram, which is none.
                 trigrams = keys.copy()

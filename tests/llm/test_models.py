@@ -384,3 +384,21 @@ def test_the_model_is_made_and_used_in_rounds(spark, small_docs, monkeypatch):
     assert got == pytest.approx(expected, rel=1e-9)
     assert [i for i, _ in turns] == [0, 1] and min(len(shards) for _, shards in turns) > 2
     assert not any(len(shard.value["trigrams"][0]) for _, shards in turns for shard in shards.values())
+
+
+def test_no_words_of_the_model_pass_through_the_driver(small_docs, monkeypatch):
+    """However few they are: joins with them shuffle, and their number grows with the texts."""
+    monkeypatch.setattr(quality, "SHARD_ENTRIES", 2000)
+    monkeypatch.setattr(quality, "ROUNDS", 2)
+    monkeypatch.setattr(quality, "broadcast_if", lambda table, small: pytest.fail("broadcast"))
+    model, unknown = quality.train(small_docs.where("doc_id < 4").select("text"))
+    assert quality.perplexities(small_docs.where("doc_id < 6"), model, unknown).count() == 6
+
+
+def test_rounds_divide_shards(spark):
+    """The part of a pair is the same in Spark and in tasks, and says its round."""
+    a, b = np.random.default_rng(1).integers(-2**63, 2**63, (2, 500))
+    parts = quality._dealt(a.view(np.uint64), b.view(np.uint64), 63)
+    assert (parts % 9 == quality._dealt(a.view(np.uint64), b.view(np.uint64), 9)).all() and len(set(parts)) == 63
+    rows = spark.createDataFrame([(int(x), int(y)) for x, y in zip(a, b)], "a long, b long").select(quality._part("a", "b", 63))
+    assert sorted(r[0] for r in rows.collect()) == sorted(parts)
