@@ -30,6 +30,9 @@ ORDER = 5
 HELD_OUT = 1, 5  # remainder and divisor of crc32(doc_id as text)
 END = 10  # the byte after the last word, and before the first
 
+# Bytes of text that are scored at a time, beside the tables: some 100 bytes of arrays for each.
+SCORED_BYTES = 400_000
+
 
 def byte_stream(data: np.ndarray, offsets: np.ndarray, pad: int) -> tuple[np.ndarray, ...]:
     """Every text as its words, each with a space before it, and an end, after ``pad`` ends
@@ -165,7 +168,7 @@ def _score_rows(order: int, prices, counts, end_count: int, total: int, kinds: i
             return {"base_score": gain, "n_tokens": tokens, "n_known": known}
 
         for batch in batches:
-            for first, end, data, offsets in text_slices(batch.column("text"), lower=True):
+            for first, end, data, offsets in text_slices(batch.column("text"), lower=True, size=SCORED_BYTES):
                 stream, bounds, starts, ends, words = byte_stream(data, offsets, order)
                 values = priced(stream, bounds, end - first) if prices else {}
                 if counts:

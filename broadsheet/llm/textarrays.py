@@ -36,11 +36,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def text_slices(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_slices(column: pa.Array, lower: bool = False,
+                size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, end row, bytes, offsets)`` of a string column, slice by slice.
 
     ``offsets`` has one entry more than there are rows. A null is an empty text. ``lower``
-    turns A-Z into a-z.
+    turns A-Z into a-z. A slice has ``size`` bytes at most, or one text.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -54,7 +55,7 @@ def text_slices(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, in
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < n:
-        end = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1
         end = min(max(end, first + 1), n)
         part = data[offsets[first]:offsets[end]]
         yield first, end, _LOWER[part] if lower else part, offsets[first:end + 1] - offsets[first]

@@ -402,3 +402,39 @@ def test_rounds_divide_shards(spark):
     assert (parts % 9 == quality._dealt(a.view(np.uint64), b.view(np.uint64), 9)).all() and len(set(parts)) == 63
     rows = spark.createDataFrame([(int(x), int(y)) for x, y in zip(a, b)], "a long, b long").select(quality._part("a", "b", 63))
     assert sorted(r[0] for r in rows.collect()) == sorted(parts)
+
+
+def peak_bytes(work):
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        out = work()
+        return out, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_slots_take_little_beside_their_keys():
+    keys = np.random.default_rng(4).integers(0, 2**63, 1_000_000).astype(np.uint64)
+    (slots, order), peak = peak_bytes(lambda: lookup.Slots.of(keys))
+    assert peak < 40 * len(keys)
+    at, there = slots.find(keys[::7])
+    assert there.all() and (keys[order][at] == keys[::7]).all()
+
+
+def test_texts_are_scored_a_little_at_a_time():
+    import pyarrow as pa
+
+    class Table:
+        def slots(self):
+            return lookup.Slots.of(np.array([5], np.uint64))[0], {"price": np.ones(1), "n": np.ones(1, np.int64)}
+
+    texts = [f"word{i} and more {i % 7} of it " * 100 for i in range(1500)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(texts), pa.array([False] * len(texts)), pa.array(range(len(texts))), pa.array([""] * len(texts))],
+        names=["text", "held_out", "doc_id", "text_key"])
+    score = ppm._score_rows(5, Table(), Table(), 1, 9, 9, True)
+    parts, peak = peak_bytes(lambda: list(score(iter([batch]))))
+    assert [n for part in parts for n in part.column("n_tokens").to_pylist()] == [601] * len(texts)
+    assert peak < 40_000_000
