@@ -46,7 +46,7 @@ _START, _END = np.uint64(0x1234567), np.uint64(0x89ABCDE)
 _KINDS = ("p1", "pairs", "trigrams")
 
 # What does not fit a shard is counted and looked up in so many rounds, each of at least as many shards.
-ROUNDS = 9
+ROUNDS = 7
 # A round's shards may be made in steps: less is shuffled at a time, and the trigrams are read in each.
 STEPS = 1
 
@@ -278,6 +278,8 @@ def _shards(model: Model) -> Iterator[tuple[int, int, _Shard]]:
                 "shard").parquet(f"{folder}/grams")
             free_shuffles(spark)
         words.where(F.col("shard") % rounds == turn).write.partitionBy("shard").parquet(f"{folder}/words")
+        # Not only after the steps: what the last job shuffled is held until another has run.
+        free_shuffles(spark)
         paths = {shard: [f"{folder}/{part}/shard={shard}" for part in ("words", "grams")] for shard in range(turn, n, rounds)}
         if rounds == 1:
             yield 0, 1, _Shard([path for own_paths in paths.values() for path in own_paths])
