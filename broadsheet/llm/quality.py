@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from broadsheet.cluster import broadcast_if, delete_folder, is_small, new_folder
 from broadsheet.llm.lookup import SHARD_ENTRIES, Slots, StoredTable, text_key
 from broadsheet.llm.scratch import free_shuffles, written
-from broadsheet.llm.textarrays import mix, signed, text_slices, totals, word_spans
+from broadsheet.llm.textarrays import SLICE_BYTES, mix, signed, text_slices, totals, word_spans
 from broadsheet.llm.words import pieces, span_hashes
 from broadsheet.operators.indexing import number_rows
 
@@ -50,6 +50,9 @@ ROUNDS = 7
 # A round's shards may be made in steps: less is shuffled at a time, and the trigrams are read in each.
 STEPS = 1
 
+# Bytes of text that are taken into arrays at a time: these fit a processor's cache, as 2 MB do not.
+_SLICE_BYTES = 400_000
+
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(mix(a * _A) ^ (b * _B))
@@ -86,7 +89,7 @@ def _count_rows(part: int, parts: int):
     """The trigrams whose last two words belong to a part, and how often they are there."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in text_slices(batch.column("text"), lower=True):
+            for _, _, data, offsets in text_slices(batch.column("text"), True, _SLICE_BYTES):
                 _, stream, first = _stream(data, offsets)
                 own = np.ones(len(stream), bool)
                 own[first] = own[first + 1] = False
@@ -168,7 +171,7 @@ def train(texts: DataFrame) -> tuple[Model, float]:
     known = new_folder(spark, "grams")
     for part in range(parts):
         # In this order a round's trigrams are together, and equal contexts take little room.
-        grams.where(F.col("part") == part).drop("part").join(after, "v").select(
+        grams.where(F.col("part") == part).drop("part").join(after.hint("shuffle_hash"), "v").select(
             *[f.split()[0] for f in schema.split(", ")], "total", "left",
             _part("u", "v", ROUNDS).cast("int").alias("turn")).sortWithinPartitions("turn", "v", "u").write.mode(
             "append").parquet(known)
@@ -247,15 +250,20 @@ def _shard_rows(d3: list[float]):
 
 
 def _shards(model: Model) -> Iterator[tuple[int, int, _Shard]]:
-    """``(shard, shards, tables)``, written round by round: tasks read them, and the driver none of
-    them. Words, pairs and trigrams are in one shard each."""
+    """``(shard, shards, tables)``, written round by round, words once for all rounds: tasks read
+    them, and the driver none of them. Words, pairs and trigrams are in one shard each."""
     spark = model.grams.sparkSession
     rounds = 1 if model.entries <= SHARD_ENTRIES else ROUNDS
-    # Shards of a sixteenth of the bound at first, of a quarter at most, as a task that makes one
-    # has all its columns at once.
-    n = ROUNDS * max(ROUNDS, math.ceil(model.entries / (ROUNDS * max(1, SHARD_ENTRIES // 4))))
+    # Shards of an eighth of the bound at most, as a task that makes one has all its columns at once
+    # and as much again while it sorts them.
+    n = ROUNDS * max(2 * ROUNDS, math.ceil(model.entries / (ROUNDS * max(1, SHARD_ENTRIES // 8))))
     own = model.words.where("p1 is not null").select(F.col("word").alias("w"), "p1")
     above = ((F.col("k") - _taken("k", model.d2)) / F.col("total")).alias("above")
+    words = new_folder(spark, "model")
+    model.words.select(
+        F.pmod("word", F.lit(n)).cast("int").alias("shard"), F.lit(0).cast("tinyint").alias("kind"),
+        F.col("word").alias("key"), (F.coalesce(F.log10("left"), F.lit(0.0)) + F.coalesce(
+            F.log10("p1"), F.lit(0.0))).alias("value")).repartition("shard").write.partitionBy("shard").parquet(words)
     for turn in range(rounds):
         # The trigrams, and the bigrams with no number and their last word twice.
         trigrams = model.grams.where(F.col("turn") == turn) if rounds > 1 else model.grams
@@ -266,21 +274,16 @@ def _shards(model: Model) -> Iterator[tuple[int, int, _Shard]]:
         said = F.log10(p2) - F.log10("left") - F.log10("p1")
         step_of = F.floor(_part("u", "v", n) / rounds) % STEPS
         schema = "shard int, kind tinyint, key long, value double"
-        words = model.words.select(F.pmod("word", F.lit(n)).cast("int").alias("shard"), F.lit(0).cast("tinyint").alias("kind"),
-                                   F.col("word").alias("key"), (F.coalesce(F.log10("left"), F.lit(0.0)) + F.coalesce(
-                                       F.log10("p1"), F.lit(0.0))).alias("value"))
         folder = new_folder(spark, "model")
         for step in range(STEPS):
-            some = (rows.where(step_of == step) if STEPS > 1 else rows).join(own, "w").select(
+            some = (rows.where(step_of == step) if STEPS > 1 else rows).join(
+                own.hint("shuffle_hash"), "w").select(
                 _part("u", "v", n).cast("int").alias("shard"), "u", "v", "w", "n",
                 F.when(F.col("n") == 0, said).otherwise(p2).alias("p"))
             some.groupBy("shard").applyInArrow(_shard_rows(model.d3), schema).write.mode("append").partitionBy(
                 "shard").parquet(f"{folder}/grams")
             free_shuffles(spark)
-        words.where(F.col("shard") % rounds == turn).write.partitionBy("shard").parquet(f"{folder}/words")
-        # Not only after the steps: what the last job shuffled is held until another has run.
-        free_shuffles(spark)
-        paths = {shard: [f"{folder}/{part}/shard={shard}" for part in ("words", "grams")] for shard in range(turn, n, rounds)}
+        paths = {shard: [f"{words}/shard={shard}", f"{folder}/grams/shard={shard}"] for shard in range(turn, n, rounds)}
         if rounds == 1:
             yield 0, 1, _Shard([path for own_paths in paths.values() for path in own_paths])
         else:
@@ -293,7 +296,7 @@ def _score_rows(shared: _Shard, unknown: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.lookups(*_KINDS)
         for batch in batches:
-            for start, end, data, offsets in text_slices(batch.column("text"), lower=True):
+            for start, end, data, offsets in text_slices(batch.column("text"), True, _SLICE_BYTES):
                 row, stream, first = _stream(data, offsets)
                 n = end - start
                 word, pair, after = _places(row, first)
@@ -330,9 +333,11 @@ def _sent_rows(turn: int, rounds: int, n_shards: int, shards: list[_Shard], unkn
     the texts, how many pairs each has there, and the pairs, each with the trigram after it."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         said = _Shard([shard.paths[0] for shard in shards]).lookups("p1")["p1"]
+        # A slice has some pairs for each shard, however many there are.
+        size = min(SLICE_BYTES, _SLICE_BYTES * math.ceil(n_shards / (2 * rounds * rounds)))
         for batch in batches:
             ids = batch.column("text_id").to_numpy()
-            for start, end, data, offsets in text_slices(batch.column("text"), lower=True):
+            for start, end, data, offsets in text_slices(batch.column("text"), True, size):
                 row, stream, first = _stream(data, offsets)
                 n, own = end - start, ids[start:end]
                 # The rounds divide the shards, so a hash has its round without its shard.
@@ -437,7 +442,7 @@ def _round(texts: DataFrame, turn: int, n_shards: int, shards: dict[int, _Shard]
     said = sent.repartition("shard").sortWithinPartitions("shard").mapInArrow(
         _answered(turn, shards), "text_id long, rows long, tokens long, price double")
     out = written(said.groupBy("text_id").agg(*[F.sum(x).alias(x) for x in ("rows", "tokens", "price")]), "scores")
-    for folder in {path.rsplit("/", 2)[0] for shard in shards.values() for path in shard.paths}:
+    for folder in [path for shard in shards.values() for path in shard.paths]:
         delete_folder(texts.sparkSession, folder)
     free_shuffles(texts.sparkSession)
     return out

@@ -23,7 +23,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of jobs that are done with: those of the tables
-    just written. It does so anyway, but only when the driver collects its garbage."""
+    just written. It does so anyway, but only when the driver collects its garbage. What the
+    last job shuffled is held until another has run, so one that shuffles nothing is run first."""
+    spark.range(1).collect()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -395,6 +396,41 @@ def test_no_words_of_the_model_pass_through_the_driver(small_docs, monkeypatch):
     assert quality.perplexities(small_docs.where("doc_id < 6"), model, unknown).count() == 6
 
 
+def test_a_round_leaves_nothing_shuffled(spark, small_docs, monkeypatch):
+    """Neither its own shuffles nor its shards, for the next round to be made beside them; words are
+    written once for all rounds, and the shards of a model stay small in a task."""
+    context = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+
+    def shuffled():
+        files = context.blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    def new(before):
+        end = time.time() + 5
+        while shuffled() - before and time.time() < end:
+            time.sleep(0.1)
+        return shuffled() - before
+
+    monkeypatch.setattr(quality, "SHARD_ENTRIES", 4000)
+    monkeypatch.setattr(quality, "ROUNDS", 2)
+    model, unknown = quality.train(small_docs.where("doc_id < 4").select("text"))
+    before, left, sizes, words, turn = shuffled(), [], [], set(), quality._round
+
+    def watched(texts, i, n, shards, unknown):
+        left.append(new(before))
+        sizes.extend(sum(len(keys) for keys, _ in shard.value.values()) for shard in shards.values())
+        words.update(shard.paths[0].rsplit("/", 1)[0] for shard in shards.values())
+        out = turn(texts, i, n, shards, unknown)
+        left.append(new(before))
+        left.append({i for i, shard in shards.items() if any(len(keys) for keys, _ in shard.value.values())})
+        return out
+
+    monkeypatch.setattr(quality, "_round", watched)
+    quality.perplexities(small_docs.where("doc_id < 6"), model, unknown)
+    assert left == [set()] * 6 and len(words) == 1
+    assert max(sizes) < 4000 / 4
+
+
 def test_rounds_divide_shards(spark):
     """The part of a pair is the same in Spark and in tasks, and says its round."""
     a, b = np.random.default_rng(1).integers(-2**63, 2**63, (2, 500))
