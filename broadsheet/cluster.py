@@ -112,10 +112,11 @@ def row_bytes(df: DataFrame) -> Column:
     return total.cast("long")
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether ``df`` may be broadcast. Its bytes are added up, so it should be a table that
-    is kept: reading it then computes nothing that is not needed anyway."""
-    return (df.agg(F.sum(row_bytes(df))).first()[0] or 0) <= BROADCAST_BYTES
+def is_small(df: DataFrame, most: int | None = None) -> bool:
+    """Whether ``df`` may be broadcast, and has no more than ``most`` bytes. They are added up, so it
+    should be a table that is kept: reading it then computes nothing that is not needed anyway."""
+    most = BROADCAST_BYTES if most is None else min(most, BROADCAST_BYTES)
+    return (df.agg(F.sum(row_bytes(df))).first()[0] or 0) <= most
 
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from broadsheet.cluster import broadcast_if, checkpointed, is_small
-from broadsheet.functions.distance import letters, too_near
+from broadsheet.functions.nearness import near_listed, near_taken, picked_of
 from broadsheet.operators.indexing import number_rows
 
 # Results per query, and the distance that titles must keep.
@@ -20,6 +20,9 @@ MIN_DISTANCE = 0.5
 # the result.
 CHUNK = 200
 
+# Bytes of taken titles, with what goes with them, that are handed to all tasks as they are.
+HANDED_BYTES = 16_000_000
+
 # Tasks whose best are put together before the best of a query are taken. Spark cuts what a task
 # hands on to the best k by itself up to this k.
 TASKS_OF_A_PART = 32
@@ -75,6 +78,17 @@ def top_k(scores: DataFrame, k: int = TOP_K) -> DataFrame:
         conf.unset(_CUT) if before is None else conf.set(_CUT, before)
 
 
+def _spread(rows: DataFrame, n_queries: int, *by: str) -> DataFrame:
+    """Few bytes, much work: the number of partitions is given, so that they are not put
+    together for being small."""
+    spark = rows.sparkSession
+    parallel = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        spark.sparkContext.defaultParallelism,
+    )
+    return rows.repartition(max(1, min(n_queries, parallel)), *by)
+
+
 def _chunks(candidates: DataFrame, n_queries: int, min_distance: float) -> DataFrame:
     """One row per query: ``candidates``, an array with titles, best first; ``last``, the
     last one; and ``n``, how many there are.
@@ -83,15 +97,8 @@ def _chunks(candidates: DataFrame, n_queries: int, min_distance: float) -> DataF
     that one if it is taken, and near what it is near to if not. (Where no distance is
     asked for, nothing is near, and all are held.)
     """
-    spark = candidates.sparkSession
-    parallel = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        spark.sparkContext.defaultParallelism,
-    )
     best = F.struct("rank", "doc_id", "score")
-    # Few bytes, much work: the number of partitions is given, so that they are not put
-    # together for being small.
-    rows = candidates.repartition(max(1, min(n_queries, parallel)), "query_id")
+    rows = _spread(candidates, n_queries, "query_id")
     alike = ["query_id", "title"] if min_distance > 0 else ["query_id", "title", "rank"]
     by_title = rows.groupBy(*alike).agg(
         F.min(best).alias("best"), F.max(best).alias("last"), F.count("*").alias("n")
@@ -103,27 +110,16 @@ def _chunks(candidates: DataFrame, n_queries: int, min_distance: float) -> DataF
         F.sum("n").alias("n"),
     ).withColumn(
         "candidates",
-        F.transform("candidates", lambda c: F.struct(
-            c["doc_id"], c["score"], c["title"], letters(c["title"]).alias("letters"))),
+        F.transform("candidates", lambda c: F.struct(c["doc_id"], c["score"], c["title"])),
     )
 
 
 def _take_from_chunk(chunks: DataFrame, k: int, min_distance: float, chunk: int) -> DataFrame:
     """Fold the candidates of each query into its ``taken`` array."""
-
-    def step(taken: Column, candidate: Column) -> Column:
-        rejected = F.exists(
-            taken, lambda t: too_near(t["title"], candidate["title"], min_distance,
-                                      t["letters"], candidate["letters"])
-        )
-        full = F.size(taken) >= k
-        return F.when(full | rejected, taken).otherwise(
-            F.concat(taken, F.array(candidate))
-        )
-
-    return chunks.select(
+    picks = picked_of(F.col("taken.title"), F.col("candidates.title"), k, min_distance)
+    return chunks.withColumn("_picks", picks).select(
         "query_id",
-        F.aggregate("candidates", F.col("taken"), step).alias("taken"),
+        F.concat("taken", F.transform("_picks", lambda i: F.col("candidates")[i])).alias("taken"),
         F.size("taken").alias("known"),
         rank_key(F.col("last.score")).alias("last_key"),
         F.col("last.doc_id").alias("last_doc"),
@@ -133,18 +129,27 @@ def _take_from_chunk(chunks: DataFrame, k: int, min_distance: float, chunk: int)
 
 def _remaining(pairs: DataFrame, state: DataFrame, min_distance: float) -> DataFrame:
     """The pairs of open queries after their last candidate and not near a taken title. They have
-    been compared with those that were ``known`` before the last round, so only the others are."""
+    been compared with those that were ``known`` before the last round, so only the others are.
+
+    Which titles those are is handed to the tasks as it is, up to ``HANDED_BYTES``; beyond that
+    it is a column of the pairs."""
     key = rank_key(F.col("score"))
     after = (key < F.col("last_key")) | (
         (key == F.col("last_key")) & (F.col("doc_id") > F.col("last_doc"))
     )
-    rejected = F.exists(
-        "_new", lambda t: too_near(t["title"], F.col("title"), min_distance,
-                                   t["letters"], F.col("letters"))
-    )
-    new = state.withColumn("_new", F.slice("taken", F.col("known") + 1, F.size("taken"))).drop("taken")
-    later = pairs.join(broadcast_if(new, is_small(state)), "query_id").where(after)
-    return later.where(~rejected).select(*pairs.columns)
+    query, title = F.col("query_id").cast("string"), F.col("title")
+    new = state.withColumn("_new", F.slice("taken.title", F.col("known") + 1, F.size("taken")))
+    small = is_small(state, HANDED_BYTES)
+    last = new.select("query_id", "last_key", "last_doc", *([] if small else ["_new"]))
+    later = pairs.join(broadcast_if(last, small), "query_id").where(after)
+    if min_distance > 0:
+        if small:
+            titles_of = {row[0]: row[1] for row in new.select(query, "_new").collect()}
+            rejected = near_taken(query, title, titles_of, min_distance)
+        else:
+            rejected = near_listed(query, title, F.col("_new"), min_distance)
+        later = later.where(~rejected)
+    return later.select(*pairs.columns)
 
 
 def diverse_top_k(scores: DataFrame, titles: DataFrame, n_queries: int, k: int = TOP_K,
@@ -165,24 +170,23 @@ def diverse_top_k(scores: DataFrame, titles: DataFrame, n_queries: int, k: int =
     """
     finished = []
 
-    def named(pairs: DataFrame, *more: Column) -> DataFrame:
+    def named(pairs: DataFrame) -> DataFrame:
         # A candidate without a title row stays: how many there are decides if more follow.
-        return pairs.join(titles.select("doc_id", "title", *more), "doc_id", "left")
+        return pairs.join(titles.select("doc_id", "title"), "doc_id", "left")
 
     chunks = _chunks(named(top_k(scores, chunk)), n_queries, min_distance).withColumn(
         "taken", F.slice("candidates", 1, 0))
     pairs = None
     while True:
-        state = checkpointed(_take_from_chunk(chunks, k, min_distance, chunk))
+        # Not spread by query: they may be so already, in partitions put together.
+        state = checkpointed(_take_from_chunk(_spread(chunks, n_queries), k, min_distance, chunk))
         is_open = F.col("more") & (F.size("taken") < k)
         finished.append(state.where(~is_open).select("query_id", "taken"))
         still_open = state.where(is_open)
         if still_open.isEmpty():
             break
         if pairs is None:
-            # The letters of a title are counted once, not for each query that it is a pair with.
-            pairs = named(scores_of(still_open.select("query_id")) if scores_of else scores,
-                          letters(F.col("title")).alias("letters"))
+            pairs = named(scores_of(still_open.select("query_id")) if scores_of else scores)
         pairs = checkpointed(_remaining(pairs, still_open, min_distance))
         best = top_k(pairs, chunk).join(pairs.select("query_id", "doc_id", "title"), ["query_id", "doc_id"])
         chunks = still_open.select("query_id", "taken").join(

@@ -1,12 +1,13 @@
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from plain_model import edit_distance, greedy
 from pyspark.sql import functions as F
 
 import broadsheet.cluster
-from broadsheet.functions import distance
+from broadsheet.functions import distance, nearness
 from broadsheet.operators import indexing, ranking
 
 SCORES = "query_id long, doc_id long, score double"
@@ -249,3 +250,93 @@ def test_most_distance_is_a_bound(spark, enough):
     for r in rows:
         assert r.edits <= r.most <= r.longer
         assert r.near == (enough > 0 and r.edits / r.longer < enough)
+
+
+def titles_of_all_lengths(rng):
+    alphabets = ["ab", "etaoin shrdlu", "abcdefghijklmnopqrstuvwxyz é中\U0001f600", "".join(map(chr, range(0x4e00, 0x4ee0)))]
+    return [None, "", "a"] + ["".join(rng.choices(rng.choice(alphabets), k=int(2 ** rng.uniform(0, 9))))
+                              for _ in range(60)]
+
+
+@pytest.mark.parametrize("min_distance", [0.3, 0.75, 0.9, 1.0, 1.5])
+def test_near_titles_of_many_pairs_at_once(monkeypatch, min_distance):
+    """Pieces and bits say what the table of distances says, in lots and slices of any size."""
+    rng = random.Random(12)
+    texts = titles_of_all_lengths(rng)
+    taken = {str(q): rng.choices(texts, k=rng.randint(0, 4)) for q in range(20)}
+    rows = [(str(rng.randint(0, 22)), rng.choice(texts)) for _ in range(400)] + [(None, "a")]
+
+    def near(a, b):
+        longest = max(len(a or ""), len(b or ""))
+        return None not in (a, b) and longest > 0 and (
+            abs(len(a) - len(b)) / longest < min_distance and edit_distance(a, b) / longest < min_distance)
+
+    expected = [any(near(t, title) for t in taken.get(query, [])) for query, title in rows]
+    columns = [pa.array(column, pa.string()) for column in zip(*rows)]
+    assert nearness.Taken(taken, min_distance).near(*columns).tolist() == expected
+    for name, value in (("LANES", 7), ("PIECES_OF_PAIRS", 5), ("PIECES_OF_TITLES", 3), ("LONG", 10)):
+        monkeypatch.setattr(nearness, name, value)
+    assert nearness.Taken(taken, min_distance).near(*columns).tolist() == expected
+    for a, b in [(rng.choice(texts), rng.choice(texts)) for _ in range(150)]:
+        assert nearness.are_near(a, b, min_distance) == near(a, b)
+
+
+def test_edits_of_a_title_as_one_number():
+    rng = random.Random(13)
+    for _ in range(100):
+        a, b = ("".join(rng.choices("etaoin é", k=rng.randint(0, 90))) for _ in range(2))
+        assert nearness.edits(a, b) == edit_distance(a, b)
+    assert nearness.edits("a" * 3000 + "b", "a" * 2000) == 1001
+
+
+def test_pairs_that_are_near_by_few_letters_take_microseconds():
+    """300 titles against three each of 100 queries: 30,000 pairs, of which one in a hundred is far.
+    Letter by letter, and with the columns of ``distance``, they take over 200 microseconds each."""
+    rng = random.Random(14)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8))) for _ in range(300)]
+
+    def title():
+        return " ".join(rng.choices(words, k=rng.randint(20, 150)))
+
+    taken = {str(q): [title() for _ in range(3)] for q in range(100)}
+    rows = [(str(q), t) for t in (title() for _ in range(300)) for q in range(100)]
+    queries, titles = (pa.array(column) for column in zip(*rows))
+    started = time.perf_counter()
+    found = nearness.Taken(taken, 0.9).near(queries, titles)
+    assert time.perf_counter() - started < 2
+    assert found.mean() > 0.9
+
+
+def test_taken_titles_handed_to_tasks_or_joined(spark, monkeypatch):
+    """Ids of queries that are strings, a document without a title, and a state that is not handed on."""
+    rng = random.Random(15)
+    titles = {d: " ".join(rng.choices(["flood", "coast", "cup", "vote", "x" * 90], k=rng.randint(1, 6))) for d in range(200)}
+    pairs = [(f"q{q}", d, float(rng.randint(0, 50))) for q in range(4) for d in range(201)]
+    scores = spark.createDataFrame(pairs, "query_id string, doc_id long, score double").repartition(3)
+    named = spark.createDataFrame(list(titles.items()), "doc_id long, title string")
+    found = []
+    for handed in (ranking.HANDED_BYTES, 0):
+        monkeypatch.setattr(ranking, "HANDED_BYTES", handed)
+        rows = ranking.diverse_top_k(scores, named, 4, k=12, min_distance=0.7, chunk=3).collect()
+        found.append(sorted((r.query_id, r["rank"], r.doc_id) for r in rows))
+    assert found[0] == found[1] and found[0]
+    for q in range(4):
+        ranked = [d for _, d in sorted((-s, d) for p, d, s in pairs if p == f"q{q}")]
+        left = [(d, titles.get(d)) for d in ranked]
+        taken = []
+        for d, t in left:
+            if len(taken) < 12 and not any(nearness.are_near(t, o, 0.7) for _, o in taken):
+                taken.append((d, t))
+        assert [d for p, _, d in found[0] if p == f"q{q}"] == [d for d, _ in taken]
+
+
+def test_queries_are_taken_from_in_tasks_of_their_own(spark, monkeypatch):
+    """Also in later rounds, whose rows are few bytes."""
+    tasks = []
+    take = ranking._take_from_chunk
+    monkeypatch.setattr(ranking, "_take_from_chunk", lambda chunks, *a: tasks.append(
+        chunks.rdd.getNumPartitions()) or take(chunks, *a))
+    titles = {d: chr(97 + d % 20) * 9 for d in range(60)}
+    assert all(len(own) == 20 for own in diverse(
+        spark, [(q, d, 60.0 - d) for q in range(8) for d in titles], titles, k=20, chunk=9).values())
+    assert len(tasks) > 2 and min(tasks) == 4
