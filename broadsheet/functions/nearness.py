@@ -37,7 +37,7 @@ WIDEST = 16
 # Pieces compared at a time, which stay in the cache of a core, and laid out at a time, of titles and of pairs.
 LANES = 4096
 PIECES_OF_TITLES = 16_384
-PIECES_OF_PAIRS = 1 << 20
+PIECES_OF_PAIRS = 1 << 17
 
 # Titles over this length are told near piece by piece, if they can be, where they are taken one by one.
 LONG = 1024

@@ -165,8 +165,8 @@ def diverse_top_k(scores: DataFrame, titles: DataFrame, n_queries: int, k: int =
     title fill most of a query. A round holds ``chunk + k`` titles per query.
 
     The first round reads ``scores`` and looks titles up for its candidates only. If queries
-    stay open, the scores of those, ``scores_of(queries)``, are written once with their
-    titles, and later rounds read what the round before has left. Ids are unique.
+    stay open, the scores of those, ``scores_of(queries)``, are written once, and later
+    rounds read what the round before has left, and look its titles up. Ids are unique.
     """
     finished = []
 
@@ -186,11 +186,11 @@ def diverse_top_k(scores: DataFrame, titles: DataFrame, n_queries: int, k: int =
         if still_open.isEmpty():
             break
         if pairs is None:
-            pairs = named(scores_of(still_open.select("query_id")) if scores_of else scores)
-        pairs = checkpointed(_remaining(pairs, still_open, min_distance))
-        best = top_k(pairs, chunk).join(pairs.select("query_id", "doc_id", "title"), ["query_id", "doc_id"])
+            pairs = scores_of(still_open.select("query_id")) if scores_of else scores
+        # Written without titles: a title is there once, not once for each query.
+        pairs = checkpointed(_remaining(named(pairs), still_open, min_distance).drop("title"))
         chunks = still_open.select("query_id", "taken").join(
-            _chunks(best, n_queries, min_distance), "query_id", "left"
+            _chunks(named(top_k(pairs, chunk)), n_queries, min_distance), "query_id", "left"
         )
         chunks = chunks.withColumn(
             "candidates", F.coalesce("candidates", F.slice("taken", 1, 0))
